@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import centre_distance, in_box
-from tessera.plans.broadcast import broadcast_if_small, row_count_at_most
+from tessera.plans.broadcast import row_count_at_most
 
 COORD_LIMIT = 1.0e9  # excludes NaN, ±inf and NULL coordinates before cell arithmetic
 BOX_FIELDS = ("min_lon", "min_lat", "max_lon", "max_lat", "c_lon", "c_lat")
@@ -66,15 +66,20 @@ def _cell_count(boxes: DataFrame, size: float) -> int:
     return int(n or 0)
 
 
-def choose_cell_size(boxes: DataFrame, cell: float, max_cells: int) -> float:
-    """Grow ``cell`` (by powers of two) until the boxes cover at most ``max_cells`` cells."""
+def choose_cell_size(boxes: DataFrame, cell: float, max_cells: int) -> tuple[float, int]:
+    """Grow ``cell`` (by powers of two) until the boxes cover at most ``max_cells`` cells.
+
+    Returns the size and the number of (box, cell) pairs, which bounds the rows of the
+    candidate table built from it.
+    """
     size = float(cell)
+    n = _cell_count(boxes, size)
     for _ in range(64):
-        n = _cell_count(boxes, size)
         if n <= max_cells:
-            return size
+            break
         size *= 2 ** max(1, math.ceil(math.log2(math.sqrt(n / max_cells))))
-    return size
+        n = _cell_count(boxes, size)
+    return size, n
 
 
 def cell_candidates(boxes: DataFrame, cell: float) -> DataFrame:
@@ -118,9 +123,10 @@ def assign_region(
 
 
 def _assign_grid(points, good, x, y, out, cell, max_cells, max_broadcast_cells) -> DataFrame:
-    size = choose_cell_size(good, cell, max_cells)
+    size, n_pairs = choose_cell_size(good, cell, max_cells)
     cands = cell_candidates(good, size)
-    cands = broadcast_if_small(cands, max_broadcast_cells)
+    if n_pairs <= max_broadcast_cells:  # rows(cands) <= n_pairs: the size is proven
+        cands = F.broadcast(cands)
     ok = x.between(-COORD_LIMIT, COORD_LIMIT) & y.between(-COORD_LIMIT, COORD_LIMIT)
     keyed = points.withColumn("_cx", F.when(ok, _cell(x, size))).withColumn("_cy", F.when(ok, _cell(y, size)))
     j = keyed.join(

@@ -1,0 +1,21 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has task slots.
+
+    A file written as one row group is read by one task however large the cluster; the
+    CPU-heavy work after it (decoding, higher-order functions) would then run single-threaded.
+    Below ``min_partitions`` (default: ``spark.default.parallelism``) the rows are spread
+    round-robin; at scale a scan already has thousands of splits and nothing changes.
+    Counting partitions plans the scan but runs no job.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

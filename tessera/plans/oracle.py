@@ -92,3 +92,96 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["geo_range"] = ORACLE["geo_assign"]
+
+
+# ---- ratings ----------------------------------------------------------------------------------
+
+_AVG = "uavg AS (SELECT user_id, avg(rating) AS avg_rating, count(*) AS n FROM ratings GROUP BY user_id)"
+_GOOD = f"""{_AVG},
+  good AS (SELECT r.user_id, r.item_id, r.rating FROM ratings r JOIN uavg a ON r.user_id = a.user_id
+           WHERE r.rating >= a.avg_rating)"""
+_NORM = f"""{_AVG},
+  norm AS (SELECT r.user_id, r.item_id, r.rating / a.avg_rating AS rating
+           FROM ratings r JOIN uavg a ON r.user_id = a.user_id)"""
+_PMEAN = "(SELECT avg(rating) FROM profile WHERE rating <> 0)"
+_POPULAR = """
+  popular AS (
+    SELECT c.item_id, c.n, i.title
+    FROM (SELECT item_id, count(*) AS n FROM ratings GROUP BY item_id ORDER BY n DESC, item_id LIMIT 100) c
+    LEFT JOIN items i ON c.item_id = i.item_id)"""
+
+
+def _hex8(seed: int, *cols: str) -> str:
+    key = " || ':' || ".join([f"'{seed}'"] + [f"CAST({c} AS VARCHAR)" for c in cols])
+    return f"CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT)"
+
+
+ORACLE.update(
+    {
+        "user_avg": _q("SELECT * FROM uavg", "ratings", extra=_AVG),
+        "ratings_norm_user": _q("SELECT * FROM norm", "ratings", extra=_NORM),
+        "ratings_norm_max": _q("SELECT user_id, item_id, rating / 5.0 AS rating FROM ratings", "ratings"),
+        "ratings_known": _q("SELECT * FROM profile WHERE rating <> 0", "profile"),
+        "ratings_above_avg": _q("SELECT * FROM good", "ratings", extra=_GOOD),
+        "ratings_with_user": _q(
+            f"""SELECT user_id, item_id, rating FROM norm
+                UNION ALL
+                SELECT CAST(-1 AS BIGINT), item_id, CAST(rating AS DOUBLE) / {_PMEAN} FROM profile WHERE rating <> 0""",
+            "ratings", "profile", extra=_NORM,
+        ),
+        "popular_items": _q("SELECT * FROM popular", "ratings", "items", extra=_POPULAR),
+        "sample_items": _q(
+            f"SELECT * FROM popular ORDER BY {_hex8(42, 'item_id')}, item_id LIMIT 25",
+            "ratings", "items", extra=_POPULAR,
+        ),
+        "hash_split": _q(
+            f"""SELECT user_id, item_id, rating,
+                       CASE WHEN {_hex8(5, 'user_id', 'item_id')} % 1000 < 800 THEN 0 ELSE 1 END AS split
+                FROM ratings""",
+            "ratings",
+        ),
+    }
+)
+
+# ---- content-based nearest neighbours ------------------------------------------------------------
+
+_KNN = f"""{_GOOD},
+  ig AS (SELECT item_id, unnest(string_split(regexp_replace(genres, '\\|+\\z', ''), '|')) AS genre FROM items),
+  uv AS (SELECT g.user_id, ig.genre, count(*) AS n FROM good g JOIN ig ON g.item_id = ig.item_id
+         GROUP BY g.user_id, ig.genre),
+  pgood AS (SELECT * FROM profile WHERE rating <> 0 AND rating >= {_PMEAN}),
+  pv AS (SELECT ig.genre, count(*) AS n FROM pgood g JOIN ig ON g.item_id = ig.item_id GROUP BY ig.genre),
+  cos AS (
+    SELECT user_id, sim FROM (
+      SELECT u.user_id,
+             CAST(sum(u.n * coalesce(p.n, 0)) AS DOUBLE)
+               / (sqrt(CAST(sum(u.n * u.n) AS DOUBLE)) * (SELECT sqrt(CAST(sum(n * n) AS DOUBLE)) FROM pv)) AS sim
+      FROM uv u LEFT JOIN pv p ON u.genre = p.genre GROUP BY u.user_id)
+    WHERE sim IS NOT NULL AND NOT isnan(sim)),
+  nn AS (SELECT * FROM cos WHERE user_id <> -1 ORDER BY sim DESC, user_id LIMIT 5)"""
+
+
+def _recommend(src: str) -> str:
+    return f"""
+      SELECT t.item_id, t.avg_rating, t.n_ratings, i.title
+      FROM (SELECT item_id, avg(rating) AS avg_rating, count(*) AS n_ratings
+            FROM {src} r
+            WHERE r.user_id IN (SELECT user_id FROM nn)
+              AND r.item_id NOT IN (SELECT item_id FROM profile WHERE rating <> 0)
+            GROUP BY item_id ORDER BY avg_rating DESC, item_id LIMIT 20) t
+      LEFT JOIN items i ON t.item_id = i.item_id"""
+
+
+_KT = ("ratings", "items", "profile")
+ORACLE.update(
+    {
+        "item_genres": _q("SELECT * FROM ig", *_KT, extra=_KNN),
+        "user_vectors": _q("SELECT * FROM uv", *_KT, extra=_KNN),
+        "profile_good": _q("SELECT * FROM pgood", *_KT, extra=_KNN),
+        "profile_vector": _q("SELECT * FROM pv", *_KT, extra=_KNN),
+        "user_cosine": _q("SELECT * FROM cos", *_KT, extra=_KNN),
+        "knn_users": _q("SELECT * FROM nn", *_KT, extra=_KNN),
+        "knn_recommend": _q(_recommend("ratings"), *_KT, extra=_KNN),
+        "knn_recommend_good": _q(_recommend("good"), *_KT, extra=_KNN),
+    }
+)

@@ -114,3 +114,119 @@ def country_tags(spark, d):
 @query
 def country_tag_freq(spark, d):
     return tags.country_tag_freq(_pics(spark, d))
+
+
+# ---- ratings --------------------------------------------------------------------------------
+
+from tessera.operators import knn  # noqa: E402
+from tessera.operators import ratings as R  # noqa: E402
+
+SAMPLE_SEED = 42
+SPLIT_SEED = 5
+
+
+@query
+def user_avg(spark, d):
+    return R.user_avg(td.ratings(spark, d))
+
+
+@query
+def ratings_norm_user(spark, d):
+    return R.normalize(td.ratings(spark, d), "user")
+
+
+@query
+def ratings_norm_max(spark, d):
+    return R.normalize(td.ratings(spark, d), "max")
+
+
+@query
+def ratings_known(spark, d):
+    return R.known(td.profile(spark, d))
+
+
+@query
+def ratings_above_avg(spark, d):
+    return R.above_avg(td.ratings(spark, d))
+
+
+@query
+def ratings_with_user(spark, d):
+    norm = R.normalize(td.ratings(spark, d), "user")
+    return R.with_new_user(norm, td.profile(spark, d), td.PROFILE_USER_ID)
+
+
+@query
+def popular_items(spark, d):
+    return R.popular_items(td.ratings(spark, d), td.items(spark, d), k=100)
+
+
+@query
+def sample_items(spark, d):
+    return R.sample_items(R.popular_items(td.ratings(spark, d), td.items(spark, d), k=100), n=25, seed=SAMPLE_SEED)
+
+
+@query
+def hash_split(spark, d):
+    return R.hash_split_column(td.ratings(spark, d), ["user_id", "item_id"], (0.8, 0.2), seed=SPLIT_SEED)
+
+
+# ---- content-based nearest neighbours ---------------------------------------------------------
+
+
+def _vectors(spark, d):
+    return knn.user_vectors(R.above_avg(td.ratings(spark, d)), knn.item_genres(td.items(spark, d)))
+
+
+def _pvec(spark, d):
+    return knn.profile_vector(R.profile_good(td.profile(spark, d)), knn.item_genres(td.items(spark, d)))
+
+
+def _cosine(spark, d):
+    return knn.user_cosine(_vectors(spark, d), _pvec(spark, d))
+
+
+def _neighbours(spark, d):
+    return knn.knn_users(_cosine(spark, d), k=5, exclude=td.PROFILE_USER_ID)
+
+
+@query
+def item_genres(spark, d):
+    return knn.item_genres(td.items(spark, d))
+
+
+@query
+def user_vectors(spark, d):
+    return _vectors(spark, d)
+
+
+@query
+def profile_good(spark, d):
+    return R.profile_good(td.profile(spark, d))
+
+
+@query
+def profile_vector(spark, d):
+    return _pvec(spark, d)
+
+
+@query
+def user_cosine(spark, d):
+    return _cosine(spark, d)
+
+
+@query
+def knn_users(spark, d):
+    return _neighbours(spark, d)
+
+
+@query
+def knn_recommend(spark, d):
+    return knn.knn_recommend(td.ratings(spark, d), _neighbours(spark, d), td.profile(spark, d), td.items(spark, d))
+
+
+@query
+def knn_recommend_good(spark, d):
+    return knn.knn_recommend(
+        td.ratings(spark, d), _neighbours(spark, d), td.profile(spark, d), td.items(spark, d), only_good=True
+    )

@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.codes import shift_codes
+from tessera.plans.layout import ensure_parallelism
 from tessera.sources import schemas as S
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of the driver's test data."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One parquet table of the driver's test data.
+
+    ``spread`` re-distributes a scan that has fewer partitions than task slots (see
+    ``ensure_parallelism``); column pruning and filters still reach the parquet reader.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 def read_photos(spark: SparkSession, path: str) -> DataFrame:
