@@ -185,3 +185,72 @@ ORACLE.update(
         "knn_recommend_good": _q(_recommend("good"), *_KT, extra=_KNN),
     }
 )
+
+
+# ---- metrics and validation ---------------------------------------------------------------------
+
+ORACLE.update(
+    {
+        "mse_pairs": _q(
+            "SELECT avg((rating - prediction) * (rating - prediction)) AS mse, count(*) AS n FROM predicted",
+            "predicted",
+        ),
+        "auc_exact": _q(
+            """SELECT CAST(sum(p * (2 * below + q)) AS DOUBLE) / CAST(2 * sum(p) * sum(q) AS DOUBLE) AS auc,
+                      sum(p) AS n_pos, sum(q) AS n_neg
+               FROM (SELECT p, q, coalesce(sum(q) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+                                                        AND 1 PRECEDING), 0) AS below
+                     FROM (SELECT score, sum(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) AS p,
+                                  sum(CASE WHEN label > 0.5 THEN 0 ELSE 1 END) AS q
+                           FROM scored GROUP BY score))""",
+            "scored",
+        ),
+        "exclude_seen": _q(
+            """SELECT t.item_id, t.n, i.title
+               FROM (SELECT item_id, count(*) AS n FROM ratings
+                     WHERE item_id NOT IN (SELECT item_id FROM profile WHERE rating <> 0)
+                     GROUP BY item_id ORDER BY n DESC, item_id LIMIT 20) t
+               LEFT JOIN items i ON t.item_id = i.item_id""",
+            "ratings", "items", "profile",
+        ),
+        "validate_domain": _q(
+            """SELECT id, raw, value, reason, reason IS NULL AS is_valid FROM (
+                 SELECT id, raw, value,
+                        CASE WHEN raw IS NULL THEN 'blank'
+                             WHEN value IS NULL THEN 'not an integer'
+                             WHEN NOT (value >= 0 AND value <= 5) THEN 'out of range' END AS reason
+                 FROM (SELECT id, raw,
+                              CASE WHEN raw = '' THEN 0
+                                   WHEN regexp_full_match(raw, '[+-]?[0-9]+') THEN TRY_CAST(raw AS INTEGER) END AS value
+                       FROM answers))""",
+            "answers",
+        ),
+    }
+)
+
+
+# ---- credit table -------------------------------------------------------------------------------
+
+_SHIFTED = set(
+    "balance savings employment sexMarried guarantors residenceDuration assets concCredit apartment "
+    "credits occupation dependents hasPhone foreign".split()
+)
+_CREDIT_COLS = (
+    "creditability balance duration history purpose amount savings employment instPercent sexMarried "
+    "guarantors residenceDuration assets age concCredit apartment credits occupation dependents hasPhone foreign"
+).split()
+_CREDIT = "credit AS (SELECT id, " + ", ".join(
+    f'"{c}" - 1 AS "{c}"' if c in _SHIFTED else f'"{c}"' for c in _CREDIT_COLS
+) + " FROM credit_raw)"
+
+ORACLE.update(
+    {
+        "credit_parse": _q("SELECT * FROM credit", "credit_raw", extra=_CREDIT),
+        "label_index": _q(
+            """SELECT creditability, n,
+                      CAST(row_number() OVER (ORDER BY n DESC, CAST(creditability AS VARCHAR)) - 1 AS DOUBLE) AS label
+               FROM (SELECT creditability, count(*) AS n FROM credit GROUP BY creditability)""",
+            "credit_raw", extra=_CREDIT,
+        ),
+    }
+)

@@ -230,3 +230,124 @@ def knn_recommend_good(spark, d):
     return knn.knn_recommend(
         td.ratings(spark, d), _neighbours(spark, d), td.profile(spark, d), td.items(spark, d), only_good=True
     )
+
+
+# ---- metrics and validation -------------------------------------------------------------------
+
+from tessera.operators import metrics, validate  # noqa: E402
+
+
+@query
+def mse_pairs(spark, d):
+    return metrics.mse(td.predicted(spark, d), "rating", "prediction")
+
+
+@query
+def auc_exact(spark, d):
+    return metrics.auc(td.scored(spark, d), "label", "score")
+
+
+@query
+def exclude_seen(spark, d):
+    ranked = R.item_counts(td.ratings(spark, d))
+    top = R.exclude_seen(ranked, R.known(td.profile(spark, d)), "n", n=20)
+    return R.with_titles(top, td.items(spark, d))
+
+
+@query
+def validate_domain(spark, d):
+    return validate.validate_int(td.answers(spark, d), "raw", lo=0, hi=5, blank_as=0)
+
+
+# ---- ALS (model queries: rows-only checks) ------------------------------------------------------
+
+from tessera.operators import als  # noqa: E402
+from tessera.operators import classify  # noqa: E402
+from tessera.functions.codes import shift_codes  # noqa: E402
+from tessera.sources.schemas import CREDIT_SHIFTED  # noqa: E402
+from tessera.session import shared_path  # noqa: E402
+
+ALS_SEED = 42
+ALS_CONFIG = (8, 20, 0.01)  # rank, iterations, λ for the single-model queries
+
+
+def _als_split(spark, d):
+    norm = R.normalize(td.ratings(spark, d), "user")
+    ids = als.IdMap(norm)
+    train, test = R.hash_split(ids.to_int(norm), ["user_id", "item_id"], (0.8, 0.2), seed=SPLIT_SEED)
+    return train, test
+
+
+@query
+def als_fit(spark, d):
+    train, _ = _als_split(spark, d)
+    model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
+    return model.userFactors
+
+
+@query
+def als_mse(spark, d):
+    train, test = _als_split(spark, d)
+    model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
+    return als.evaluate_mse(model, test)
+
+
+@query
+def als_grid(spark, d):
+    train, test = _als_split(spark, d)
+    return als.grid_report(train, test, als.grid_configs(), seed=ALS_SEED)
+
+
+@query
+def als_recommend(spark, d):
+    rank, iters, reg = als.CHOSEN_CONFIG
+    return als.recommend_new_user(
+        td.ratings(spark, d), td.profile(spark, d), td.PROFILE_USER_ID, td.items(spark, d),
+        n=20, rank=rank, max_iter=iters, reg=reg, seed=ALS_SEED,
+    )
+
+
+# ---- credit classifier --------------------------------------------------------------------------
+
+CREDIT_SEED = classify.SEED
+
+
+def _credit(spark, d):
+    return shift_codes(td.credit_raw(spark, d), CREDIT_SHIFTED)
+
+
+def _credit_fit(spark, d):
+    df = _credit(spark, d)
+    train, test = R.hash_split(df, ["id"], (0.75, 0.25), seed=CREDIT_SEED)
+    model = classify.build(df).fit(train)
+    return df, train, test, model
+
+
+@query
+def credit_parse(spark, d):
+    return _credit(spark, d)
+
+
+@query
+def label_index(spark, d):
+    return classify.label_index(_credit(spark, d))
+
+
+@query
+def credit_fit(spark, d):
+    _, train, test, model = _credit_fit(spark, d)
+    return classify.best_params(model, train, test)
+
+
+@query
+def credit_score(spark, d):
+    _, _, test, model = _credit_fit(spark, d)
+    return classify.score(model, test)
+
+
+@query
+def credit_score_saved(spark, d):
+    df, _, _, model = _credit_fit(spark, d)
+    path = shared_path(spark, "models", "credit", d.rstrip("/").split("/")[-1])
+    classify.save(model, path)
+    return classify.score(classify.load(path), df)
