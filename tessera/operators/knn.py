@@ -1,9 +1,9 @@
 """Content-based nearest neighbours over genre-count vectors.
 
 Vectors are long tables ``(user_id, genre, n)``. The genre vocabulary is tiny, so joining on
-``genre`` as a shuffle key would put whole genres in single tasks; the profile side is
-therefore broadcast (its size is bounded by the vocabulary and checked), and the per-user
-sums run as one grouped aggregate keyed by user, partially aggregated map-side.
+``genre`` as a shuffle key would put whole genres in single tasks; the profile side (one row
+per genre) is joined as a broadcast, which AQE plans from its measured size, and the
+per-user sums run as one grouped aggregate keyed by user, partially aggregated map-side.
 """
 
 from __future__ import annotations
@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import split_genres
 from tessera.operators import ratings as R
-from tessera.plans.broadcast import broadcast_if_small
-
-VOCABULARY_MAX_ROWS = 1_000_000
-
 
 def item_genres(items: DataFrame, item: str = "item_id", genres: str = "genres") -> DataFrame:
     """``item_id, genre``: one row per genre of each item (placeholder text kept as a genre)."""
@@ -49,7 +45,9 @@ def user_cosine(vectors: DataFrame, pvec: DataFrame, user: str = "user_id") -> D
     ``sim = dot / (sqrt(Σn²) · sqrt(Σp²))``, absent genres counting 0, so users sharing no
     genre score 0. An empty profile gives NULL similarities, which are dropped.
     """
-    p = broadcast_if_small(pvec.select("genre", F.col("n").alias("p")), VOCABULARY_MAX_ROWS)
+    # One row per genre: AQE measures this side after its aggregation stage and plans a
+    # broadcast join from the real size; no extra pass is spent counting it up front.
+    p = pvec.select("genre", F.col("n").alias("p"))
     pnorm = pvec.select(F.sqrt(F.sum(F.col("n") * F.col("n")).cast("double"))).scalar()
     sums = (
         vectors.join(p, "genre", "left")

@@ -38,7 +38,10 @@ def pictures(
         decode_tags(F.col(tags)).alias("tags"),
     )
     located = assign_region(base, boxes, lon="longitude", lat="latitude", out="country", **assign_kwargs)
-    return located.filter(F.col("country").isNotNull() & has_tags("tags")).drop("country_ord")
+    # One predicate over the joined column and the tags: it stays above the join, so decoding
+    # runs where the rows are already spread rather than inside the scan task.
+    keep = F.when(F.col("country").isNotNull(), has_tags("tags")).otherwise(F.lit(False))
+    return located.filter(keep).drop("country_ord")
 
 
 def label(pics: DataFrame) -> DataFrame:

@@ -10,14 +10,26 @@ from tessera.plans.layout import ensure_parallelism
 from tessera.sources import schemas as S
 
 
+# Resolved scans per (application, path, spread): like a catalog table, the file listing and
+# footer schema are read once per session; only metadata is kept, never rows.
+_SCANS: dict[tuple[str, str, bool], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One parquet table of the driver's test data.
 
     ``spread`` re-distributes a scan that has fewer partitions than task slots (see
     ``ensure_parallelism``); column pruning and filters still reach the parquet reader.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if spread else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path, spread)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        if spread:
+            df = ensure_parallelism(df)
+        _SCANS[key] = df
+    return df
 
 
 def read_photos(spark: SparkSession, path: str) -> DataFrame:
