@@ -3,9 +3,9 @@
 A window ordered over a whole table (no ``partitionBy``) runs in one task. Instead the values
 are cut into ``buckets`` contiguous ranges at approximate quantiles (``approxQuantile``: one
 aggregation pass, ``buckets - 1`` numbers returned);
-each range is ranked by a window partitioned by range, and the per-range totals — one row per
-range, a bounded table — give the offsets, which are broadcast back. Results are exact; only
-the balance between ranges is approximate.
+each range is ranked by a window partitioned by range, and the per-range totals — one number
+per range, ``buckets`` at most — give the offsets, applied as a literal array. Results are
+exact; only the balance between ranges is approximate.
 """
 
 from __future__ import annotations
@@ -16,24 +16,33 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 64
 
 
-def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: str = "_bucket") -> DataFrame:
-    """Add ``out``: the index of the quantile range ``col`` falls in (monotone in ``col``)."""
-    if buckets <= 1:
-        return df.withColumn(out, F.lit(0))
+def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: str = "_bucket") -> tuple[DataFrame, int]:
+    """Add ``out``: the index of the quantile range ``col`` falls in (monotone in ``col``).
+
+    Returns the frame and the number of ranges.
+    """
     probs = [i / buckets for i in range(1, buckets)]
     # buckets-1 cut points come back to the driver, like a range partitioner's sample.
-    cuts = sorted(set(df.approxQuantile(col, probs, 1.0 / (4 * buckets))))
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    bounds = F.array(*[F.lit(float(c)) for c in cuts])
-    return df.withColumn(out, F.size(F.filter(bounds, lambda b: b <= F.col(col).cast("double"))))
+    cuts = sorted(set(df.approxQuantile(col, probs, 1.0 / (4 * buckets)))) if probs else []
+    # With no cut the single bucket is still derived from the column (a literal bucket key
+    # would be constant-folded).
+    bounds = [float(c) for c in cuts] or [float("inf")]
+    arr = F.array(*[F.lit(b) for b in bounds])
+    return df.withColumn(out, F.size(F.filter(arr, lambda b: b <= F.col(col).cast("double")))), len(bounds) + 1
+
 
+def _offsets(df: DataFrame, bucket: str, value, n: int):
+    """Column: the sum of ``value`` over all buckets before the row's bucket.
 
-def _offsets(df: DataFrame, bucket: str, value) -> DataFrame:
-    """``bucket, _off``: the sum of ``value`` over all earlier buckets (one row per bucket)."""
-    totals = df.groupBy(bucket).agg(F.sum(value).alias("_tot"))
-    w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)  # bounded: one row per bucket
-    return totals.select(bucket, F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
+    The per-bucket totals are one number per bucket (at most ``n``, a parameter), so they are
+    fetched and applied as a literal array; no window over the whole table, no join.
+    """
+    totals = {r[0]: r[1] or 0 for r in df.groupBy(bucket).agg(F.sum(value)).collect()}
+    offs, acc = [], 0
+    for b in range(n):
+        offs.append(acc)
+        acc += totals.get(b, 0)
+    return F.element_at(F.array(*[F.lit(o) for o in offs]), F.col(bucket) + 1)
 
 
 def running_sum_below(
@@ -41,17 +50,15 @@ def running_sum_below(
 ) -> DataFrame:
     """Add ``out`` = Σ ``value`` over rows with a smaller ``order`` (rows must have distinct
     ``order`` values, e.g. after a ``groupBy(order)``)."""
-    b = range_bucket(df, order, buckets)
+    b, n = range_bucket(df, order, buckets)
     w = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = b.withColumn("_in", F.coalesce(F.sum(value).over(w), F.lit(0)))
-    offs = F.broadcast(_offsets(b, "_bucket", F.col(value)))
-    return local.join(offs, "_bucket").select(*df.columns, (F.col("_off") + F.col("_in")).alias(out))
+    return local.select(*df.columns, (_offsets(b, "_bucket", F.col(value), n) + F.col("_in")).alias(out))
 
 
 def dense_index(df: DataFrame, col: str, out: str = "idx", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``col, out``: each distinct value of ``col`` numbered 0..n-1 in ascending order."""
-    d = range_bucket(df.select(col).distinct().filter(F.col(col).isNotNull()), col, buckets)
+    d, n = range_bucket(df.select(col).distinct().filter(F.col(col).isNotNull()), col, buckets)
     w = Window.partitionBy("_bucket").orderBy(col)
     local = d.withColumn("_r", F.row_number().over(w) - 1)
-    offs = F.broadcast(_offsets(d, "_bucket", F.lit(1)))
-    return local.join(offs, "_bucket").select(col, (F.col("_off") + F.col("_r")).alias(out))
+    return local.select(col, (_offsets(d, "_bucket", F.lit(1), n) + F.col("_r")).alias(out))
