@@ -92,6 +92,7 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["geo_range"] = ORACLE["geo_assign"]
+ORACLE["photo_nonderivative_sql"] = ORACLE["photo_nonderivative"]
 
 
 # ---- ratings ----------------------------------------------------------------------------------

@@ -47,6 +47,13 @@ def photo_nonderivative(spark, d):
     return photos.nonderivative(_interesting(spark, d), td.licenses(spark))
 
 
+@query
+def photo_nonderivative_sql(spark, d):
+    from tessera.plans.sqlviews import nonderivative_sql
+
+    return nonderivative_sql(spark, td.photos(spark, d), td.licenses(spark))
+
+
 @query
 def photo_count(spark, d):
     return td.photos(spark, d).agg(F.count(F.lit(1)).alias("n"))
