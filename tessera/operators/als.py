@@ -80,17 +80,28 @@ class IdMap:
 
 def estimator(
     rank: int, max_iter: int, reg: float, seed: int = 42, user: str = "user_id", item: str = "item_id",
-    rating: str = "rating", checkpoint_interval: int = 10,
+    rating: str = "rating", checkpoint_interval: int = 5, blocks: int | None = None,
 ) -> ALS:
-    """Explicit-feedback ALS; pairs unseen in training are dropped when scored."""
-    return ALS(
+    """Explicit-feedback ALS; pairs unseen in training are dropped when scored.
+
+    ``blocks`` (user and item blocks) defaults to the cluster's parallelism rather than a
+    fixed 10, so every task slot holds one block. Factors are checkpointed every
+    ``checkpoint_interval`` iterations: without it 20 iterations overflow the stack on
+    lineage depth, and a lost executor recomputes at most that many iterations.
+    """
+    est = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user, itemCol=item, ratingCol=rating,
         coldStartStrategy="drop", checkpointInterval=checkpoint_interval, nonnegative=False,
     )
+    if blocks:
+        est = est.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+    return est
 
 
 def fit(train: DataFrame, rank: int, max_iter: int, reg: float, seed: int = 42, **kw) -> ALSModel:
-    ensure_checkpoint_dir(train.sparkSession)
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    kw.setdefault("blocks", spark.sparkContext.defaultParallelism)
     return estimator(rank, max_iter, reg, seed, **kw).fit(train)
 
 

@@ -132,6 +132,18 @@ SAMPLE_SEED = 42
 SPLIT_SEED = 5
 
 
+def _profile(spark, d):
+    """The injected user's profile, written once to the shared checkpoint folder.
+
+    Queries read it four to six times (mean, liked items, genre vector, norm, exclusions);
+    a reliable checkpoint cuts that lineage so the ratings join behind it runs once.
+    """
+    from tessera.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return td.profile(spark, d).checkpoint(eager=True)
+
+
 @query
 def user_avg(spark, d):
     return R.user_avg(td.ratings(spark, d))
@@ -149,7 +161,7 @@ def ratings_norm_max(spark, d):
 
 @query
 def ratings_known(spark, d):
-    return R.known(td.profile(spark, d))
+    return R.known(_profile(spark, d))
 
 
 @query
@@ -160,7 +172,7 @@ def ratings_above_avg(spark, d):
 @query
 def ratings_with_user(spark, d):
     norm = R.normalize(td.ratings(spark, d), "user")
-    return R.with_new_user(norm, td.profile(spark, d), td.PROFILE_USER_ID)
+    return R.with_new_user(norm, _profile(spark, d), td.PROFILE_USER_ID)
 
 
 @query
@@ -185,16 +197,16 @@ def _vectors(spark, d):
     return knn.user_vectors(R.above_avg(td.ratings(spark, d)), knn.item_genres(td.items(spark, d)))
 
 
-def _pvec(spark, d):
-    return knn.profile_vector(R.profile_good(td.profile(spark, d)), knn.item_genres(td.items(spark, d)))
+def _pvec(spark, d, prof):
+    return knn.profile_vector(R.profile_good(prof), knn.item_genres(td.items(spark, d)))
 
 
-def _cosine(spark, d):
-    return knn.user_cosine(_vectors(spark, d), _pvec(spark, d))
+def _cosine(spark, d, prof):
+    return knn.user_cosine(_vectors(spark, d), _pvec(spark, d, prof))
 
 
-def _neighbours(spark, d):
-    return knn.knn_users(_cosine(spark, d), k=5, exclude=td.PROFILE_USER_ID)
+def _neighbours(spark, d, prof):
+    return knn.knn_users(_cosine(spark, d, prof), k=5, exclude=td.PROFILE_USER_ID)
 
 
 @query
@@ -209,33 +221,35 @@ def user_vectors(spark, d):
 
 @query
 def profile_good(spark, d):
-    return R.profile_good(td.profile(spark, d))
+    return R.profile_good(_profile(spark, d))
 
 
 @query
 def profile_vector(spark, d):
-    return _pvec(spark, d)
+    return _pvec(spark, d, _profile(spark, d))
 
 
 @query
 def user_cosine(spark, d):
-    return _cosine(spark, d)
+    return _cosine(spark, d, _profile(spark, d))
 
 
 @query
 def knn_users(spark, d):
-    return _neighbours(spark, d)
+    return _neighbours(spark, d, _profile(spark, d))
 
 
 @query
 def knn_recommend(spark, d):
-    return knn.knn_recommend(td.ratings(spark, d), _neighbours(spark, d), td.profile(spark, d), td.items(spark, d))
+    prof = _profile(spark, d)
+    return knn.knn_recommend(td.ratings(spark, d), _neighbours(spark, d, prof), prof, td.items(spark, d))
 
 
 @query
 def knn_recommend_good(spark, d):
+    prof = _profile(spark, d)
     return knn.knn_recommend(
-        td.ratings(spark, d), _neighbours(spark, d), td.profile(spark, d), td.items(spark, d), only_good=True
+        td.ratings(spark, d), _neighbours(spark, d, prof), prof, td.items(spark, d), only_good=True
     )
 
 
@@ -257,7 +271,7 @@ def auc_exact(spark, d):
 @query
 def exclude_seen(spark, d):
     ranked = R.item_counts(td.ratings(spark, d))
-    top = R.exclude_seen(ranked, R.known(td.profile(spark, d)), "n", n=20)
+    top = R.exclude_seen(ranked, R.known(_profile(spark, d)), "n", n=20)
     return R.with_titles(top, td.items(spark, d))
 
 
@@ -278,38 +292,58 @@ ALS_SEED = 42
 ALS_CONFIG = (8, 20, 0.01)  # rank, iterations, λ for the single-model queries
 
 
-def _als_split(spark, d):
-    norm = R.normalize(td.ratings(spark, d), "user")
+def _als_data(spark, d):
+    """User-normalised ratings with 32-bit ids, persisted while the model queries read them
+    several times (id check, fit, evaluation); callers unpersist."""
+    norm = R.normalize(td.ratings(spark, d), "user").persist()
     ids = als.IdMap(norm)
-    train, test = R.hash_split(ids.to_int(norm), ["user_id", "item_id"], (0.8, 0.2), seed=SPLIT_SEED)
-    return train, test
+    return norm, ids.to_int(norm)
+
+
+def _als_split(data):
+    return R.hash_split(data, ["user_id", "item_id"], (0.8, 0.2), seed=SPLIT_SEED)
 
 
 @query
 def als_fit(spark, d):
-    train, _ = _als_split(spark, d)
-    model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
-    return model.userFactors
+    norm, data = _als_data(spark, d)
+    try:
+        train, _ = _als_split(data)
+        model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
+        factors = model.userFactors.persist()
+        factors.count()  # materialised while the input is still cached
+    finally:
+        norm.unpersist()
+    return factors
 
 
 @query
 def als_mse(spark, d):
-    train, test = _als_split(spark, d)
-    model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
-    return als.evaluate_mse(model, test)
+    norm, data = _als_data(spark, d)
+    try:
+        train, test = _als_split(data)
+        model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
+        row = als.evaluate_mse(model, test).first()
+    finally:
+        norm.unpersist()
+    return spark.createDataFrame([(row["mse"], row["n"])], "mse double, n long")
 
 
 @query
 def als_grid(spark, d):
-    train, test = _als_split(spark, d)
-    return als.grid_report(train, test, als.grid_configs(), seed=ALS_SEED)
+    norm, data = _als_data(spark, d)
+    try:
+        train, test = _als_split(data)
+        return als.grid_report(train, test, als.grid_configs(), seed=ALS_SEED)
+    finally:
+        norm.unpersist()
 
 
 @query
 def als_recommend(spark, d):
     rank, iters, reg = als.CHOSEN_CONFIG
     return als.recommend_new_user(
-        td.ratings(spark, d), td.profile(spark, d), td.PROFILE_USER_ID, td.items(spark, d),
+        td.ratings(spark, d), _profile(spark, d), td.PROFILE_USER_ID, td.items(spark, d),
         n=20, rank=rank, max_iter=iters, reg=reg, seed=ALS_SEED,
     )
 
