@@ -2,8 +2,8 @@
 
 Vectors are long tables ``(user_id, genre, n)``. The genre vocabulary is tiny, so joining on
 ``genre`` as a shuffle key would put whole genres in single tasks; the profile side (one row
-per genre) is joined as a broadcast, which AQE plans from its measured size, and the
-per-user sums run as one grouped aggregate keyed by user, partially aggregated map-side.
+per genre, counted against a bound first) is broadcast, and the per-user sums run as one
+grouped aggregate keyed by user, partially aggregated map-side.
 """
 
 from __future__ import annotations
@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import split_genres
 from tessera.operators import ratings as R
+from tessera.plans.broadcast import broadcast_if_small
+
+VOCABULARY_MAX_ROWS = 1_000_000
+
 
 def item_genres(items: DataFrame, item: str = "item_id", genres: str = "genres") -> DataFrame:
     """``item_id, genre``: one row per genre of each item (placeholder text kept as a genre)."""
@@ -45,9 +49,9 @@ def user_cosine(vectors: DataFrame, pvec: DataFrame, user: str = "user_id") -> D
     ``sim = dot / (sqrt(Σn²) · sqrt(Σp²))``, absent genres counting 0, so users sharing no
     genre score 0. An empty profile gives NULL similarities, which are dropped.
     """
-    # One row per genre: AQE measures this side after its aggregation stage and plans a
-    # broadcast join from the real size; no extra pass is spent counting it up front.
-    p = pvec.select("genre", F.col("n").alias("p"))
+    # One row per genre: broadcast after a bounded count, so the join never shuffles on the
+    # handful of genre keys even where AQE is off. Beyond the bound, AQE's skew join splits.
+    p = broadcast_if_small(pvec.select("genre", F.col("n").alias("p")), VOCABULARY_MAX_ROWS)
     pnorm = pvec.select(F.sqrt(F.sum(F.col("n") * F.col("n")).cast("double"))).scalar()
     sums = (
         vectors.join(p, "genre", "left")
@@ -96,3 +100,11 @@ def knn_recommend(
     if items is None:
         return top
     return R.with_titles(top, items, item)
+
+
+def vector_map(vectors: DataFrame, user: str = "user_id") -> DataFrame:
+    """``user_id, vector``: each user's genre counts as a map genre → n (a display view).
+
+    One entry per genre the user liked, so each map is bounded by the genre vocabulary.
+    """
+    return vectors.groupBy(user).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("genre", "n")))).alias("vector"))

@@ -56,3 +56,12 @@ def test_grids():
     rf = RandomForestClassifier()
     assert len(classify.param_grid(rf)) == 18
     assert len(classify.param_grid(rf, classify.EXTENDED_GRID)) == 14400
+
+
+def test_cross_validation_variant(spark, sf_dir):
+    df = shift_codes(td.credit_raw(spark, sf_dir), schemas.CREDIT_SHIFTED)
+    model = classify.build(df, grid={"maxDepth": [2]}, parallelism=2, folds=2).fit(df)
+    from pyspark.ml.tuning import CrossValidatorModel
+
+    assert isinstance(model.stages[-1], CrossValidatorModel)
+    assert classify.score(model, df).count() == df.count()

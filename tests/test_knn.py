@@ -63,3 +63,9 @@ def test_user_vectors_from_liked(spark):
     items = spark.createDataFrame([(10, "A|B"), (11, "A"), (12, "B")], "item_id long, genres string")
     v = knn.user_vectors(R.above_avg(ratings), knn.item_genres(items))
     assert rows(v) == [(1, "A", 1), (1, "B", 2)]
+
+
+def test_vector_map(spark):
+    vec = _vec(spark, [(1, "b", 2), (1, "a", 1), (2, "c", 3)])
+    got = {r.user_id: r.vector for r in knn.vector_map(vec).collect()}
+    assert got == {1: {"a": 1, "b": 2}, 2: {"c": 3}}

@@ -83,3 +83,17 @@ def test_exclude_seen(spark):
     seen = spark.createDataFrame([(0,), (2,), (29,)], "item_id long")
     got = [r.item_id for r in R.exclude_seen(ranked, seen, "score", 5).collect()]
     assert got == [1, 3, 4, 5, 6]
+
+
+def test_random_split_parity(spark):
+    df = spark.range(1000)
+    a, b = R.random_split(df, (0.8, 0.2), seed=5)
+    assert a.count() + b.count() == 1000 and not set(a.toPandas().id) & set(b.toPandas().id)
+
+
+def test_param_label_column(spark):
+    from tessera.functions.text import param_label
+    from tessera.operators.als import param_label as label_str
+
+    df = spark.createDataFrame([(8, 20, 0.01)], "r int, i int, l double")
+    assert df.select(param_label("r", "i", "l")).first()[0] == "Rank8Iteration20Lambda0.01" == label_str(8, 20, 0.01)
