@@ -94,6 +94,21 @@ ORACLE: dict[str, str] = {
 ORACLE["geo_range"] = ORACLE["geo_assign"]
 ORACLE["photo_nonderivative_sql"] = ORACLE["photo_nonderivative"]
 
+# Raw lines: fields by position (0-based 8, 10, 11), non-numeric or missing fields → NULL.
+_LINE_PICS = _PICS.replace(
+    """    SELECT photo_id, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+           {decoded} AS tags
+    FROM photos)""".format(decoded=_DECODED),
+    """    SELECT row_number() OVER () AS photo_id, TRY_CAST(f[12] AS DOUBLE) AS latitude,
+           TRY_CAST(f[11] AS DOUBLE) AS longitude, {decoded} AS tags
+    FROM (SELECT f, coalesce(f[9], '') AS user_tags
+          FROM (SELECT string_split(value, chr(9)) AS f FROM photo_lines)))""".format(decoded=_DECODED),
+)
+ORACLE["photo_lines_tag_freq"] = _q(
+    "SELECT country, tag, count(*) AS n FROM (SELECT country, unnest(tags) AS tag FROM pics) GROUP BY country, tag",
+    "photo_lines", "boxes", extra=_LINE_PICS,
+)
+
 
 # ---- ratings ----------------------------------------------------------------------------------
 

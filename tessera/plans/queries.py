@@ -123,6 +123,15 @@ def country_tag_freq(spark, d):
     return tags.country_tag_freq(_pics(spark, d))
 
 
+@query
+def photo_lines_tag_freq(spark, d):
+    from tessera.sources.readers import parse_photo_lines
+
+    parsed = parse_photo_lines(td.photo_lines(spark, d))
+    pics = tags.pictures(parsed, td.boxes(spark, d), keep=())
+    return tags.country_tag_freq(pics)
+
+
 # ---- ratings --------------------------------------------------------------------------------
 
 from tessera.operators import knn  # noqa: E402

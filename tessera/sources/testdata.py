@@ -140,6 +140,33 @@ def photos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _hundredths_text(v):
+    """Text of an integer count of hundredths, e.g. -1234 → "-12.34" (same in both engines)."""
+    a = F.abs(v)
+    return F.concat(
+        F.when(v < 0, F.lit("-")).otherwise(F.lit("")),
+        (a / 100).cast("long").cast("string"),
+        F.lit("."),
+        F.lpad((a % 100).cast("string"), 2, "0"),
+    )
+
+
+def photo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw tab-separated photo lines (``value``), 12 fields or fewer: id, blanks, tags at 8,
+    longitude at 10, latitude at 11. Every 23rd line is cut short and every 29th has a
+    non-numeric longitude."""
+    k = F.col("o_orderkey")
+    p = photos(spark, sf_dir)
+    lon = _hundredths_text((k * 7919) % 36000 - 18000)
+    lat = _hundredths_text((k * 104729) % 18000 - 9000)
+    lon = F.when(k % 29 == 0, F.lit("abc")).otherwise(lon)
+    full = F.concat_ws("\t", k.cast("string"), *[F.lit("")] * 7, F.col("user_tags"), F.lit(""), lon, lat)
+    short = F.concat_ws("\t", k.cast("string"), F.lit(""), F.lit("x"))
+    return p.withColumnRenamed("photo_id", "o_orderkey").select(
+        F.when(k % 23 == 0, short).otherwise(full).alias("value")
+    )
+
+
 def profile_user(ratings_df: DataFrame) -> DataFrame:
     """One row: the user with the most rating rows (ties: smallest id)."""
     return (
@@ -292,6 +319,16 @@ SQL: dict[str, str] = {
                     WHEN o_orderkey % 5 = 3 THEN ''
                     ELSE concat({_PRIO}, ',,', {_STATUS}, ',', {_PRIO}) END AS user_tags
         FROM orders""",
+    "photo_lines": """
+        SELECT CASE WHEN photo_id % 23 = 0 THEN concat_ws(chr(9), CAST(photo_id AS VARCHAR), '', 'x')
+               ELSE concat_ws(chr(9), CAST(photo_id AS VARCHAR), '', '', '', '', '', '', '', user_tags, '',
+                    CASE WHEN photo_id % 29 = 0 THEN 'abc' ELSE
+                      (CASE WHEN lo < 0 THEN '-' ELSE '' END) || CAST(abs(lo) // 100 AS VARCHAR) || '.'
+                      || lpad(CAST(abs(lo) % 100 AS VARCHAR), 2, '0') END,
+                    (CASE WHEN la < 0 THEN '-' ELSE '' END) || CAST(abs(la) // 100 AS VARCHAR) || '.'
+                      || lpad(CAST(abs(la) % 100 AS VARCHAR), 2, '0')) END AS value
+        FROM (SELECT photo_id, user_tags, (photo_id * 7919) % 36000 - 18000 AS lo,
+                     (photo_id * 104729) % 18000 - 9000 AS la FROM photos)""",
     "profile_user": """
         SELECT user_id FROM ratings GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1""",
     "profile": """
@@ -351,7 +388,7 @@ SQL: dict[str, str] = {
 def with_ctes(body: str, *names: str) -> str:
     """Prefix ``body`` with the adapter CTEs it needs, in dependency order."""
     order = list(SQL)
-    deps = {"profile_user": ["ratings"], "profile": ["ratings", "items", "profile_user"], "predicted": ["ratings"]}
+    deps = {"photo_lines": ["photos"], "profile_user": ["ratings"], "profile": ["ratings", "items", "profile_user"], "predicted": ["ratings"]}
     need: list[str] = []
 
     def add(n: str) -> None:
