@@ -69,12 +69,12 @@ ORACLE: dict[str, str] = {
     ),
     # tags
     "tags_decode": _q(
-        f"""SELECT photo_id, generate_subscripts(tags, 1) - 1 AS pos, unnest(tags) AS tag
+        f"""SELECT photo_id, CAST(generate_subscripts(tags, 1) - 1 AS INTEGER) AS pos, unnest(tags) AS tag
             FROM (SELECT photo_id, {_DECODED} AS tags FROM photos) WHERE tags IS NOT NULL""",
         "photos",
     ),
     "photo_country_tags": _q(
-        "SELECT photo_id, latitude, longitude, country, len(tags) AS n_tags FROM pics", "photos", "boxes", extra=_PICS
+        "SELECT photo_id, latitude, longitude, country, CAST(len(tags) AS INTEGER) AS n_tags FROM pics", "photos", "boxes", extra=_PICS
     ),
     "photo_label": _q(
         "SELECT photo_id, country, '(' || country || ', ' || array_to_string(tags, ', ') || ')' AS label FROM pics",
@@ -83,7 +83,7 @@ ORACLE: dict[str, str] = {
     "country_photos": _q("SELECT country, photo_id FROM pics", "photos", "boxes", extra=_PICS),
     "country_count": _q("SELECT country, count(*) AS n FROM pics GROUP BY country", "photos", "boxes", extra=_PICS),
     "country_tags": _q(
-        """SELECT country, photo_id, generate_subscripts(tags, 1) - 1 AS pos, unnest(tags) AS tag FROM pics""",
+        """SELECT country, photo_id, CAST(generate_subscripts(tags, 1) - 1 AS INTEGER) AS pos, unnest(tags) AS tag FROM pics""",
         "photos", "boxes", extra=_PICS,
     ),
     "country_tag_freq": _q(
@@ -213,7 +213,7 @@ ORACLE.update(
         ),
         "auc_exact": _q(
             """SELECT CAST(sum(p * (2 * below + q)) AS DOUBLE) / CAST(2 * sum(p) * sum(q) AS DOUBLE) AS auc,
-                      sum(p) AS n_pos, sum(q) AS n_neg
+                      CAST(sum(p) AS BIGINT) AS n_pos, CAST(sum(q) AS BIGINT) AS n_neg
                FROM (SELECT p, q, coalesce(sum(q) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
                                                         AND 1 PRECEDING), 0) AS below
                      FROM (SELECT score, sum(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) AS p,

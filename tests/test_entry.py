@@ -44,13 +44,14 @@ def test_registry_shapes():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_oracle(spark, sf_dir, con, name):
-    df = E.queries()[name](spark, sf_dir)
-    cols = sorted(df.columns)
-    got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
-    cur = con.execute(E.oracle_sql()[name])
-    dcols = [d[0] for d in cur.description]
-    assert sorted(dcols) == cols
-    want = sorted(tuple(_norm(dict(zip(dcols, r))[c]) for c in cols) for r in cur.fetchall())
+    mine = E.queries()[name](spark, sf_dir).toArrow()
+    theirs = con.sql(E.oracle_sql()[name]).to_arrow_table()
+    cols = sorted(mine.column_names)
+    assert sorted(theirs.column_names) == cols
+    # same value types column by column
+    assert {f.name: str(f.type) for f in mine.schema} == {f.name: str(f.type) for f in theirs.schema}
+    got = sorted(tuple(_norm(r[c]) for c in cols) for r in mine.to_pylist())
+    want = sorted(tuple(_norm(r[c]) for c in cols) for r in theirs.to_pylist())
     assert got == want
 
 
