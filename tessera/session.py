@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -17,6 +16,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of DataFrames that are no longer referenced are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -63,15 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder, for written tables and saved models."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, "tessera", *[p.strip("/") for p in parts]])
+    """A path under the cluster's shared folder, for written tables and saved models.
 
-
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local filesystem (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
+    Based on the configured ``spark.checkpoint.dir`` root (not the per-application subfolder
+    Spark creates in it), so a later application finds what an earlier one saved.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return "/".join([base.rstrip("/"), "tessera", *[p.strip("/") for p in parts]])

@@ -1,7 +1,9 @@
 """Adapters from the driver's parquet tables to the engine's inputs.
 
 Each adapter is written twice, once as DataFrame code and once as a DuckDB SQL CTE (``SQL``),
-so that oracle queries start from the same rows. Ratings sit on a half-star grid and all
+so that oracle queries start from the same rows. Rules such as ``key % 6`` only assign
+attribute values (a license, a marker, a tag spelling) to every row; no adapter drops,
+samples or caps rows, so every query's work grows with the driver tables. Ratings sit on a half-star grid and all
 derived numbers are small integers or halves, so sums are exact and the two engines agree
 bit for bit.
 
