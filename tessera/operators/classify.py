@@ -90,13 +90,17 @@ def tuner(rf, grid, label: str = "label", ratio: float = 0.75, seed: int = SEED,
 
 
 def build(df_all: DataFrame, label: str = CREDIT_LABEL, grid: dict | None = None, seed: int = SEED,
-          parallelism: int = 4, folds: int | None = None) -> Pipeline:
-    """Assembler → label index (fitted on ``df_all``) → tuned forest."""
+          parallelism: int = 4, folds: int | None = None, index_on: DataFrame | None = None) -> Pipeline:
+    """Assembler → label index → tuned forest.
+
+    The label index is fitted on ``df_all`` (the whole table, so its order is stable across
+    splits) unless ``index_on`` names another table, e.g. the training split only.
+    """
     rf = forest(seed)
     return Pipeline(
         stages=[
             assembler(feature_columns(df_all, label)),
-            label_indexer(df_all, label),
+            label_indexer(index_on if index_on is not None else df_all, label),
             tuner(rf, param_grid(rf, grid), seed=seed, parallelism=parallelism, folds=folds),
         ]
     )

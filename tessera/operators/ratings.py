@@ -168,3 +168,15 @@ def exclude_seen(
         .orderBy(F.desc(score), F.asc(item))
         .limit(n)
     )
+
+
+def dedupe(ratings: DataFrame, how: str = "avg", keys=("user_id", "item_id"), rating: str = "rating") -> DataFrame:
+    """One row per (user, item) with the mean (``avg``), ``max`` or ``min`` of its ratings;
+    ``keep`` returns the table unchanged (duplicates pass through, as in the reference).
+    Partially aggregated map-side, so a hot pair is folded before the shuffle."""
+    if how == "keep":
+        return ratings
+    agg = {"avg": F.avg, "max": F.max, "min": F.min}.get(how)
+    if agg is None:
+        raise ValueError(f"unknown dedupe {how!r}")
+    return ratings.groupBy(*keys).agg(agg(rating).alias(rating))

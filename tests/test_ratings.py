@@ -97,3 +97,10 @@ def test_param_label_column(spark):
 
     df = spark.createDataFrame([(8, 20, 0.01)], "r int, i int, l double")
     assert df.select(param_label("r", "i", "l")).first()[0] == "Rank8Iteration20Lambda0.01" == label_str(8, 20, 0.01)
+
+
+def test_dedupe(spark):
+    got = rows(R.dedupe(_r(spark)))
+    assert (4, 12, 3.0) in got and len(got) == len(DATA) - 1
+    assert rows(R.dedupe(_r(spark), "max")).count((4, 12, 4.0)) == 1
+    assert R.dedupe(_r(spark), "keep").count() == len(DATA)
