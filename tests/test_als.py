@@ -68,3 +68,13 @@ def test_grid_report_and_fit_or_load(spark, tmp_out):
 @pytest.mark.parametrize("cfg", [als.grid_configs()])
 def test_reference_grid(cfg):
     assert len(cfg) == 12 and cfg[0] == (8, 20, 0.01)
+
+
+def test_same_seed_same_model(spark):
+    r = _ratings(spark)
+    data = als.IdMap(r).to_int(r)
+    a = als.fit(data, 3, 4, 0.1, seed=9).userFactors.orderBy("id").collect()
+    b = als.fit(data.repartition(5), 3, 4, 0.1, seed=9).userFactors.orderBy("id").collect()
+    assert [x.id for x in a] == [x.id for x in b]
+    for x, y in zip(a, b):
+        assert max(abs(p - q) for p, q in zip(x.features, y.features)) < 1e-6
