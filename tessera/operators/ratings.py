@@ -3,9 +3,9 @@
 Tables use ``user_id, item_id, rating``. Per-user statistics are computed with a grouped
 aggregate (partial aggregation map-side, so a user holding a third of all rows is folded
 where it is read) and joined back on ``user_id``; that join is the only shuffle of the
-ratings. AQE turns it into a broadcast join when the per-user table is small at runtime and
-splits a skewed user's partition otherwise. A window over ``user_id`` would instead send a
-hot user's rows to a single task, so it is not used.
+ratings, and users holding a large share of the rows are salted over many tasks
+(``tessera.plans.skew``). A window over ``user_id`` would instead send a hot user's rows to
+a single task, so it is not used.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_bucket, hash_key
+from tessera.plans.skew import join_per_key
 
 MAX_RATING = 5.0
 
@@ -26,8 +27,13 @@ def user_avg(ratings: DataFrame, user: str = "user_id", rating: str = "rating")
 
 
 def with_user_avg(ratings: DataFrame, user: str = "user_id", rating: str = "rating") -> DataFrame:
-    """Ratings with their user's mean attached as ``avg_rating``."""
-    return ratings.join(user_avg(ratings, user, rating).select(user, "avg_rating"), user)
+    """Ratings with their user's mean attached as ``avg_rating``.
+
+    The join is skew-safe: users holding a large share of the rows are salted over many
+    tasks (``tessera.plans.skew``), using the per-user counts the mean already computes.
+    """
+    avg = user_avg(ratings, user, rating)
+    return join_per_key(ratings, avg.select(user, "avg_rating"), user, counts=avg.select(user, "n"))
 
 
 def normalize(
