@@ -13,8 +13,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import geo, photos, tags
+from tessera.functions.codes import shift_codes
+from tessera.functions.text import decode_tags
+from tessera.operators import als, classify, geo, knn, metrics, photos, tags, validate
+from tessera.operators import ratings as R
+from tessera.plans.sqlviews import nonderivative_sql
+from tessera.session import ensure_checkpoint_dir, shared_path
 from tessera.sources import testdata as td
+from tessera.sources.readers import parse_photo_lines
+from tessera.sources.schemas import CREDIT_SHIFTED
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -49,8 +56,6 @@ def photo_nonderivative(spark, d):
 
 @query
 def photo_nonderivative_sql(spark, d):
-    from tessera.plans.sqlviews import nonderivative_sql
-
     return nonderivative_sql(spark, td.photos(spark, d), td.licenses(spark))
 
 
@@ -86,8 +91,6 @@ def _pics(spark, d):
 
 @query
 def tags_decode(spark, d):
-    from tessera.functions.text import decode_tags
-
     return td.photos(spark, d).select(
         "photo_id", F.posexplode(decode_tags(F.col("user_tags"))).alias("pos", "tag")
     )
@@ -125,8 +128,6 @@ def country_tag_freq(spark, d):
 
 @query
 def photo_lines_tag_freq(spark, d):
-    from tessera.sources.readers import parse_photo_lines
-
     parsed = parse_photo_lines(td.photo_lines(spark, d))
     pics = tags.pictures(parsed, td.boxes(spark, d), keep=())
     return tags.country_tag_freq(pics)
@@ -134,8 +135,6 @@ def photo_lines_tag_freq(spark, d):
 
 # ---- ratings --------------------------------------------------------------------------------
 
-from tessera.operators import knn  # noqa: E402
-from tessera.operators import ratings as R  # noqa: E402
 
 SAMPLE_SEED = 42
 SPLIT_SEED = 5
@@ -147,8 +146,6 @@ def _profile(spark, d):
     Queries read it four to six times (mean, liked items, genre vector, norm, exclusions);
     a reliable checkpoint cuts that lineage so the ratings join behind it runs once.
     """
-    from tessera.session import ensure_checkpoint_dir
-
     ensure_checkpoint_dir(spark)
     return td.profile(spark, d).checkpoint(eager=True)
 
@@ -264,8 +261,6 @@ def knn_recommend_good(spark, d):
 
 # ---- metrics and validation -------------------------------------------------------------------
 
-from tessera.operators import metrics, validate  # noqa: E402
-
 
 @query
 def mse_pairs(spark, d):
@@ -291,11 +286,6 @@ def validate_domain(spark, d):
 
 # ---- ALS (model queries: rows-only checks) ------------------------------------------------------
 
-from tessera.operators import als  # noqa: E402
-from tessera.operators import classify  # noqa: E402
-from tessera.functions.codes import shift_codes  # noqa: E402
-from tessera.sources.schemas import CREDIT_SHIFTED  # noqa: E402
-from tessera.session import shared_path  # noqa: E402
 
 ALS_SEED = 42
 ALS_CONFIG = (8, 20, 0.01)  # rank, iterations, λ for the single-model queries
