@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tessera.operators import metrics
 from tessera.operators import ratings as R
 from tessera.operators.prefix import dense_index
+from tessera.plans.cache import persisted
 from tessera.session import ensure_checkpoint_dir
 
 INT_MAX = 2**31 - 1
@@ -137,9 +138,8 @@ def grid_report(
     from tessera.sources.models import fit_or_load
 
     spark: SparkSession = train.sparkSession
-    train, test = train.cache(), test.cache()
     rows = []
-    try:
+    with persisted(train, test) as (train, test):
         for rank, iters, reg in configs:
             def _fit(rank=rank, iters=iters, reg=reg):
                 return fit(train, rank, iters, reg, seed)
@@ -150,9 +150,6 @@ def grid_report(
                 model = _fit()
             m = evaluate_mse(model, test).first()
             rows.append((rank, iters, float(reg), m["mse"], m["n"], param_label(rank, iters, reg)))
-    finally:
-        train.unpersist()
-        test.unpersist()
     schema = "rank int, iteration int, lambda double, mse double, n long, label string"
     return spark.createDataFrame(rows, schema)
 
@@ -181,9 +178,9 @@ def recommend_new_user(
     the rest re-ranked by prediction (ties by id).
     """
     base = R.normalize(ratings, normalization)
-    train = R.with_new_user(base, profile, user_id)
-    ids = IdMap(train)
-    model = fit(ids.to_int(train), rank, max_iter, reg, seed)
+    with persisted(R.with_new_user(base, profile, user_id)) as (train,):
+        ids = IdMap(train)  # the id check and the fit both read the cached table
+        model = fit(ids.to_int(train), rank, max_iter, reg, seed)
     seen = R.known(profile).select("item_id")
     n_seen = seen.count()  # one number; sizes the over-fetch
     me = ids.user_to_int(train.sparkSession.range(1).select(F.lit(user_id).cast(train.schema["user_id"].dataType).alias("user_id")))

@@ -17,6 +17,7 @@ from tessera.functions.codes import shift_codes
 from tessera.functions.text import decode_tags
 from tessera.operators import als, classify, geo, knn, metrics, photos, tags, validate
 from tessera.operators import ratings as R
+from tessera.plans.cache import persisted
 from tessera.plans.sqlviews import nonderivative_sql
 from tessera.session import ensure_checkpoint_dir, shared_path
 from tessera.sources import testdata as td
@@ -291,12 +292,10 @@ ALS_SEED = 42
 ALS_CONFIG = (8, 20, 0.01)  # rank, iterations, λ for the single-model queries
 
 
-def _als_data(spark, d):
-    """User-normalised ratings with 32-bit ids, persisted while the model queries read them
-    several times (id check, fit, evaluation); callers unpersist."""
-    norm = R.normalize(td.ratings(spark, d), "user").persist()
-    ids = als.IdMap(norm)
-    return norm, ids.to_int(norm)
+def _als_norm(spark, d):
+    """User-normalised ratings; the model queries read them several times (id check, fit,
+    evaluation), so they hold them in cache for the duration."""
+    return R.normalize(td.ratings(spark, d), "user")
 
 
 def _als_split(data):
@@ -305,37 +304,28 @@ def _als_split(data):
 
 @query
 def als_fit(spark, d):
-    norm, data = _als_data(spark, d)
-    try:
-        train, _ = _als_split(data)
+    with persisted(_als_norm(spark, d)) as (norm,):
+        train, _ = _als_split(als.IdMap(norm).to_int(norm))
         model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
         factors = model.userFactors.persist()
         factors.count()  # materialised while the input is still cached
-    finally:
-        norm.unpersist()
     return factors
 
 
 @query
 def als_mse(spark, d):
-    norm, data = _als_data(spark, d)
-    try:
-        train, test = _als_split(data)
+    with persisted(_als_norm(spark, d)) as (norm,):
+        train, test = _als_split(als.IdMap(norm).to_int(norm))
         model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
         row = als.evaluate_mse(model, test).first()
-    finally:
-        norm.unpersist()
     return spark.createDataFrame([(row["mse"], row["n"])], "mse double, n long")
 
 
 @query
 def als_grid(spark, d):
-    norm, data = _als_data(spark, d)
-    try:
-        train, test = _als_split(data)
+    with persisted(_als_norm(spark, d)) as (norm,):
+        train, test = _als_split(als.IdMap(norm).to_int(norm))
         return als.grid_report(train, test, als.grid_configs(), seed=ALS_SEED)
-    finally:
-        norm.unpersist()
 
 
 @query
