@@ -154,6 +154,17 @@ def grid_report(
     return spark.createDataFrame(rows, schema)
 
 
+def report_table(report: DataFrame) -> DataFrame:
+    """The grid report as written to disk: ``rank iteration lambda mse`` with λ as ``%.2f``
+    and MSE as ``%f`` (always ``.`` decimals)."""
+    return report.select(
+        "rank",
+        "iteration",
+        F.format_string("%.2f", "lambda").alias("lambda"),
+        F.format_string("%f", "mse").alias("mse"),
+    )
+
+
 def best_config(report: DataFrame) -> DataFrame:
     """The configuration with the least MSE (ties: smaller rank, iterations, λ)."""
     return report.orderBy("mse", "rank", "iteration", "lambda").limit(1)

@@ -37,3 +37,14 @@ def test_read_boxes(spark, tmp_out):
         f.write("code,min_lon,min_lat,max_lon,max_lat,c_lon,c_lat\nAA,0,0,1,1,0.5,0.5\nBB,0,0,1,1,0.5,0.5\n")
     b = readers.read_boxes(spark, f"{tmp_out}/b.csv").collect()
     assert [x.code for x in sorted(b, key=lambda x: x.ord)] == ["AA", "BB"]
+
+
+def test_grid_report_format(spark, tmp_out):
+    from tessera.operators.als import report_table
+
+    rep = spark.createDataFrame([(8, 20, 0.01, 0.6434242, 10, "x"), (12, 30, 10.0, 13.531052, 10, "y")],
+                                "rank int, iteration int, lambda double, mse double, n long, label string")
+    sinks.write_report(report_table(rep), f"{tmp_out}/g")
+    part = [f for f in os.listdir(f"{tmp_out}/g") if f.endswith(".csv")][0]
+    with open(f"{tmp_out}/g/{part}") as f:
+        assert f.read().splitlines() == ["rank iteration lambda mse", "8 20 0.01 0.643424", "12 30 10.00 13.531052"]
