@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_bucket, hash_key
 from tessera.plans.skew import join_per_key
+from tessera.session import ensure_checkpoint_dir
 
 MAX_RATING = 5.0
 
@@ -32,7 +33,10 @@ def with_user_avg(ratings: DataFrame, user: str = "user_id", rating: str = "rati
     The join is skew-safe: users holding a large share of the rows are salted over many
     tasks (``tessera.plans.skew``), using the per-user counts the mean already computes.
     """
-    avg = user_avg(ratings, user, rating)
+    ensure_checkpoint_dir(ratings.sparkSession)
+    # One pass writes the per-user table (one row per user) to the shared checkpoint folder;
+    # the hot-key choice and the join both read it instead of re-aggregating the ratings.
+    avg = user_avg(ratings, user, rating).checkpoint(eager=True)
     return join_per_key(ratings, avg.select(user, "avg_rating"), user, counts=avg.select(user, "n"))
 
 
