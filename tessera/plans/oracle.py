@@ -92,6 +92,7 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["geo_range"] = ORACLE["geo_assign"]
+ORACLE["geo_grid"] = ORACLE["geo_assign"]
 ORACLE["photo_nonderivative_sql"] = ORACLE["photo_nonderivative"]
 
 # Raw lines: fields by position (0-based 8, 10, 11), non-numeric or missing fields → NULL.

@@ -78,6 +78,12 @@ def geo_assign(spark, d):
     return geo.assign_region(td.points(spark, d), td.boxes(spark, d), strategy="grid")
 
 
+@query
+def geo_grid(spark, d):
+    """The grid strategy with 5° cells: fewer, fuller candidate lists; the same answers."""
+    return geo.assign_region(td.points(spark, d), td.boxes(spark, d), strategy="grid", cell=5.0)
+
+
 @query
 def geo_range(spark, d):
     return geo.assign_region(td.points(spark, d), td.boxes(spark, d), strategy="range", id_col="id")
