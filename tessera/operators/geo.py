@@ -103,15 +103,18 @@ def assign_region(
     out: str = "region",
     strategy: str = "grid",
     cell: float = 1.0,
-    max_cells: int = 2_000_000,
-    max_broadcast_cells: int = 2_000_000,
+    max_cells: int = 500_000,
+    max_broadcast_cells: int = 500_000,
     max_broadcast_boxes: int = 100_000,
     wrap: bool = False,
     id_col: str | None = None,
 ) -> DataFrame:
     """Add ``{out}`` (box code) and ``{out}_ord`` to every point; NULL where no box holds it.
 
-    All input rows are kept, duplicates included, in both strategies.
+    ``grid`` keeps every input row, duplicates included. ``range`` groups by ``id_col``, which
+    must then be unique per row; without it a row id is generated (stable for a scan, not
+    across a re-shuffled input). The cell budget (``max_cells`` box-cell pairs, a few tens of
+    MB of candidate lists at most) bounds what the grid broadcasts.
     """
     good = usable_boxes(boxes, wrap=wrap)
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
