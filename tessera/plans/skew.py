@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def target_parts(df: DataFrame, parts: int | None = None) -> int:
@@ -54,7 +55,8 @@ def salted_join(
     makes broadcasting it safe. ``how`` is ``inner`` or ``left`` (rows of ``big`` kept).
     """
     flag = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
-    cols = list(salt_cols or big.columns)
+    # Any deterministic function of the row works as a salt; map columns cannot be hashed.
+    cols = list(salt_cols or [f.name for f in big.schema.fields if not isinstance(f.dataType, T.MapType)])
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(parts))).otherwise(F.lit(0))
     b = big.join(flag, key, "left").withColumn("_salt", salt).drop("_hot")
     fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
