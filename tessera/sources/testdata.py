@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.plans.skew import join_per_key
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.readers import read_table
 from tessera.sources.schemas import LICENSE_COLUMNS
 
@@ -194,8 +195,11 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings with a per-item predictor on the half-star grid: floor(2·mean)/2."""
     r = ratings(spark, sf_dir)
-    pred = r.groupBy("item_id").agg(
-        (F.floor(F.avg("rating") * 2) / 2).alias("prediction"), F.count(F.lit(1)).alias("n")
+    ensure_checkpoint_dir(spark)
+    pred = (
+        r.groupBy("item_id")
+        .agg((F.floor(F.avg("rating") * 2) / 2).alias("prediction"), F.count(F.lit(1)).alias("n"))
+        .checkpoint(eager=True)  # one row per item, read by the hot-key choice and the join
     )
     return join_per_key(r, pred.select("item_id", "prediction"), "item_id", counts=pred.select("item_id", "n"))
 

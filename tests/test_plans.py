@@ -25,3 +25,8 @@ def test_license_table_is_broadcast(spark, sf_dir):
 def test_tag_frequency_aggregates_partially(spark, sf_dir):
     text = plan_string(REGISTRY["country_tag_freq"](spark, sf_dir))
     assert "partial_count" in text
+
+
+def test_per_user_join_is_salted(spark, sf_dir):
+    text = plan_string(REGISTRY["ratings_norm_user"](spark, sf_dir))
+    assert "_salt" in text and "xxhash64" in text
