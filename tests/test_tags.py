@@ -61,3 +61,16 @@ def test_country_stats(spark):
     m = {r.country: r.freq for r in tags.tag_freq_map(tags.country_tag_freq(p)).collect()}
     assert m == {"A": {"a": 2, "b": 2}, "B": {"a": 1, "c": 1}}
     assert rows(tags.label(p).select("photo_id", "label")) == [(1, "(A, a, b, a)"), (2, "(A, b)"), (3, "(B, a, c)")]
+
+
+def test_text_lines_to_tag_counts(spark, tmp_out):
+    from tessera.sources.readers import parse_photo_lines, read_lines
+
+    def line(pid, lon, lat, t):
+        return "\t".join([str(pid)] + [""] * 7 + [t, "", str(lon), str(lat)] + [""] * 11)
+
+    with open(f"{tmp_out}/p.txt", "w") as f:
+        f.write("\n".join([line(1, 5, 5, "a%2Cb"), line(2, 5, 5, "a"), "3\tshort", line(4, "x", 5, "a")]) + "\n")
+    boxes = spark.createDataFrame([("A", 0, 0.0, 0.0, 10.0, 10.0, 5.0, 5.0)], BOX_SCHEMA)
+    pics = tags.pictures(parse_photo_lines(read_lines(spark, f"{tmp_out}/p.txt")), boxes, keep=())
+    assert rows(tags.country_tag_freq(pics)) == [("A", "a", 2), ("A", "b", 1)]
