@@ -13,12 +13,20 @@ from pyspark.sql import functions as F
 from tessera.functions._util import as_col
 
 
-def hash_key(seed: int, *cols) -> Column:
-    """Integer in [0, 2^32) from md5 of the seed and the key columns."""
+def hash_key(seed: int, *cols, fn: str = "md5") -> Column:
+    """Integer in [0, 2^32) from a hash of the seed and the key columns.
+
+    ``md5`` (default) is reproducible in other engines (the oracle uses it); ``xxhash64`` is
+    the cheaper choice for very large tables and equally independent of partitioning.
+    """
+    if fn == "xxhash64":
+        return F.pmod(F.xxhash64(F.lit(seed), *[as_col(c) for c in cols]), F.lit(2**32))
+    if fn != "md5":
+        raise ValueError(f"unknown hash {fn!r}")
     text = F.concat_ws(":", F.lit(str(seed)), *[as_col(c).cast("string") for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def hash_bucket(seed: int, *cols, buckets: int = 1000) -> Column:
+def hash_bucket(seed: int, *cols, buckets: int = 1000, fn: str = "md5") -> Column:
     """``hash_key`` folded into ``buckets`` equal bins."""
-    return hash_key(seed, *cols) % F.lit(buckets)
+    return hash_key(seed, *cols, fn=fn) % F.lit(buckets)

@@ -134,7 +134,8 @@ def sample_items(candidates: DataFrame, n: int = 25, seed: int = 42, item: str =
 
 
 def hash_split_column(
-    df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0.8, 0.2), seed: int = 5, out: str = "split"
+    df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0.8, 0.2), seed: int = 5, out: str = "split",
+    fn: str = "md5",
 ) -> DataFrame:
     """Add ``out`` = index of the side each row falls in, from a hash of ``keys``.
 
@@ -142,7 +143,7 @@ def hash_split_column(
     ``randomSplit``, a row's side does not depend on partitioning or task retries.
     """
     total = float(sum(weights))
-    bucket = hash_bucket(seed, *[F.col(k) for k in keys], buckets=1000)
+    bucket = hash_bucket(seed, *[F.col(k) for k in keys], buckets=1000, fn=fn)
     bounds, acc = [], 0.0
     for w in weights[:-1]:
         acc += w / total
@@ -154,10 +155,10 @@ def hash_split_column(
 
 
 def hash_split(
-    df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0.8, 0.2), seed: int = 5
+    df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0.8, 0.2), seed: int = 5, fn: str = "md5"
 ) -> list[DataFrame]:
     """Split ``df`` into disjoint parts that cover it, by a hash of ``keys``."""
-    tagged = hash_split_column(df, keys, weights, seed, "_split")
+    tagged = hash_split_column(df, keys, weights, seed, "_split", fn)
     return [tagged.filter(F.col("_split") == i).drop("_split") for i in range(len(weights))]
 
 

@@ -104,3 +104,10 @@ def test_dedupe(spark):
     assert (4, 12, 3.0) in got and len(got) == len(DATA) - 1
     assert rows(R.dedupe(_r(spark), "max")).count((4, 12, 4.0)) == 1
     assert R.dedupe(_r(spark), "keep").count() == len(DATA)
+
+
+def test_hash_split_xxhash_variant(spark):
+    df = spark.range(20000).select(F.col("id").alias("user_id"), (F.col("id") % 97).alias("item_id"))
+    train, test = R.hash_split(df, ["user_id", "item_id"], (0.8, 0.2), seed=5, fn="xxhash64")
+    a, b = {r.user_id for r in train.collect()}, {r.user_id for r in test.collect()}
+    assert not a & b and len(a | b) == 20000 and 0.77 < len(a) / 20000 < 0.83
