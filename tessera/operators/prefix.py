@@ -13,9 +13,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
+
 DEFAULT_BUCKETS = 64
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Write the (already reduced) input once to the shared checkpoint folder: the quantile
+    cuts, the per-range totals and the ranking all read it, instead of recomputing the
+    aggregation behind it three times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: str = "_bucket") -> tuple[DataFrame, int]:
     """Add ``out``: the index of the quantile range ``col`` falls in (monotone in ``col``).
 
@@ -50,6 +60,7 @@ def running_sum_below(
 ) -> DataFrame:
     """Add ``out`` = Σ ``value`` over rows with a smaller ``order`` (rows must have distinct
     ``order`` values, e.g. after a ``groupBy(order)``)."""
+    df = _materialize(df)
     b, n = range_bucket(df, order, buckets)
     w = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = b.withColumn("_in", F.coalesce(F.sum(value).over(w), F.lit(0)))
@@ -58,7 +69,7 @@ def running_sum_below(
 
 def dense_index(df: DataFrame, col: str, out: str = "idx", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``col, out``: each distinct value of ``col`` numbered 0..n-1 in ascending order."""
-    d, n = range_bucket(df.select(col).distinct().filter(F.col(col).isNotNull()), col, buckets)
+    d, n = range_bucket(_materialize(df.select(col).distinct().filter(F.col(col).isNotNull())), col, buckets)
     w = Window.partitionBy("_bucket").orderBy(col)
     local = d.withColumn("_r", F.row_number().over(w) - 1)
     return local.select(col, (_offsets(d, "_bucket", F.lit(1), n) + F.col("_r")).alias(out))
