@@ -14,6 +14,7 @@ bit for bit.
 | points(id, lon, lat) | orders | coordinates spread by two multiplicative hashes of the key |
 | boxes(code, ord, ...) | nation | 60° × 40° boxes placed by the nation key |
 | photos(...) | orders | reference photo columns with invalid markers, licenses and encoded tags by key |
+| photo_lines(value) | photos | the same photos as raw tab-separated text lines, some short or non-numeric |
 | licenses(Name, ...) | fixed rows | the five licenses of the reference's license file |
 | profile(item_id, title, rating) | ratings | the most active user's items, integer ratings, 0 = unknown |
 | scored(id, label, score) | labels ⋈ documents | label = quality, score = n_chars % 100 |
