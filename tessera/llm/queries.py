@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality
+from tessera.llm import bitpack, license, quality, shards, urls
 from tessera.llm.common import crc_of_id, table
 
 REGISTRY = {}
@@ -17,6 +17,59 @@ def register(fn):
     return fn
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@register
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = shards.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 16)
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@register
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("matches", lambda m: m["kind"] == "exact")
+    joined = lambda ms: F.array_join(F.sort_array(F.array_distinct(F.transform(ms, lambda m: m["label"]))), ",")
+    starts = F.transform(base, lambda m: m["first_word"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["score"])), F.lit(0.0)).alias("score"),
+        F.transform("matches", lambda m: F.struct(m["label"], m["start"], m["end"], m["edits"])).alias("spans"),
+    )
+
+
+@register
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitpack.token_index(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
+
+
+@register
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = urls.filter_urls(pages, urls.rule_table(spark, urls.LISTED), prefix="list_")
+    judged = urls.filter_urls(listed, urls.rule_table(spark, urls.RULES))
+    verdict = F.coalesce("verdict", "list_verdict", F.lit("allow"))
+    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+
+
 @register
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
