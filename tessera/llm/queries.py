@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bitpack, license, quality, shards, urls
+from tessera.llm import ann, bitpack, decontaminate, license, quality, shards, urls
 from tessera.llm.common import crc_of_id, table
 
 REGISTRY = {}
@@ -56,6 +56,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 @register
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.token_index(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
@@ -70,6 +75,21 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 
 
+@register
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
 @register
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
