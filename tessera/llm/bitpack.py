@@ -121,7 +121,7 @@ class PieceEncoder:
         split = [t.split() for t in texts]
         if len(self.cache) > CACHE:
             self.cache.clear()
-        new = list(set().union(*split) - self.cache.keys()) if split else []
+        new = [p for p in set().union(*split) if p not in self.cache]
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
             got = self.tokenizer.encode_batch([p.decode() for p in part], add_special_tokens=False)

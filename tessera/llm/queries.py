@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, bitpack, decontaminate, license, quality, shards, urls
+from tessera.llm import ann, bitpack, decontaminate, jaccard, license, quality, shards, urls
 from tessera.llm.common import crc_of_id, table
 
 REGISTRY = {}
@@ -90,6 +90,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 @register
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
