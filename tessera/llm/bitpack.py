@@ -21,6 +21,7 @@ longer than a file's bound and then has a file of its own; other columns are lef
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch, slices
+from tessera.llm.common import scratch, slices, written
 
 BLOCK = 4096
 FILE_IDS = 4 << 20
@@ -105,7 +106,17 @@ class TokenFile:
 
 
 class PieceEncoder:
-    """Encode texts by a cache of the ids of their pieces between ASCII white space."""
+    """Encode texts by a cache of the ids of their pieces between ASCII white space.
+
+    For a vocabulary that lower-cases, ends each word with ``</w>`` and splits letters from other characters, ASCII
+    letters may be lower-cased, and a comma or full stop behind a word be cut off, before the pieces are
+    looked up: there are fewer to encode. New pieces of letters only are single words: they are encoded many at a
+    time and told apart by the end marks (by themselves where the marks don't add up)."""
+
+    END = "</w>"
+    #: a comma or full stop at the end of a word, and one that follows anything else
+    STOP = re.compile(rb"(?<=[a-z0-9])([,.])(?=[ \n]|\Z)")
+    OTHER = re.compile(rb"[^a-z0-9\s][,.](?:[ \n]|\Z)")
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -115,17 +126,54 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.cache: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(self.END)]] = True
+
+    def pieces(self, text: bytes) -> list[bytes]:
+        if b"<|" in text:  # a special token may stand there, which is case-sensitive
+            return text.split()
+        low = text.lower()
+        if self.OTHER.search(low):
+            return self.STOP.sub(rb" \1", low).split()
+        return low.replace(b", ", b" , ").replace(b". ", b" . ").replace(b".\n", b" .\n").split()
+
+    def plain(self, pieces: list[bytes]) -> None:
+        """Encode pieces one by one."""
+        for i in range(0, len(pieces), 10_000):
+            part = pieces[i : i + 10_000]
+            got = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
+            self.cache.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(part, got, strict=True))
+
+    def together(self, words: list[tuple[bytes, str]]) -> None:
+        """Encode pieces of letters, many in one text."""
+        for i in range(0, len(words), 2_000):
+            part = words[i : i + 2_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(w for _, w in part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part) or cuts[-1] != len(ids):
+                self.plain([p for p, _ in part])
+                continue
+            data, at = ids.tobytes(), 0
+            for (p, _), end in zip(part, (4 * cuts).tolist(), strict=True):
+                self.cache[p] = data[at:end]
+                at = end
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.split() for t in texts]
+        split = [self.pieces(t) for t in texts]
         if len(self.cache) > CACHE:
             self.cache.clear()
-        new = [p for p in set().union(*split) if p not in self.cache]
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            got = self.tokenizer.encode_batch([p.decode() for p in part], add_special_tokens=False)
-            self.cache.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(part, got, strict=True))
+        letters, others = [], []
+        for p in set().union(*split):
+            if p not in self.cache:
+                word = p.decode()
+                if word.isalpha():
+                    letters.append((p, word))
+                else:
+                    others.append(p)
+        self.together(letters)
+        self.plain(others)
         look = self.cache.__getitem__
         return [b"".join(map(look, words)) for words in split]
 
@@ -213,4 +261,4 @@ def token_index(docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFr
     doc_id, start, n_tokens and ids_crc32."""
     path = scratch(docs.sparkSession, "tokens")
     write_tokens(docs, path, tokenizer_path, end_id)
-    return with_starts(read_tokens(docs.sparkSession, path))
+    return with_starts(written(read_tokens(docs.sparkSession, path), "token-rows"))
