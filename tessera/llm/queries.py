@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, bitpack, decontaminate, jaccard, license, quality, repeats, shards, urls
+from tessera.llm import ann, bitpack, bpe, decontaminate, jaccard, license, quality, repeats, shards, urls
 from tessera.llm.common import crc_of_id, table
 
 REGISTRY = {}
@@ -23,6 +23,18 @@ def tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@register
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode_decode(docs, tokenizer("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @register
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = shards.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 16)
