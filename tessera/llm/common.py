@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -78,5 +77,11 @@ def map_texts(df: DataFrame, fn: Callable[[list[bytes]], dict[str, list]], schem
     return src.mapInArrow(run, out)
 
 
-def hex256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+def keep_texts(df: DataFrame, fn: Callable[[list[bytes]], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows for whose texts ``fn`` says true, with all their columns."""
+
+    def run(batches):
+        for part, texts in slices(batches, text):
+            yield part.filter(pa.array(np.asarray(fn(texts), bool)))
+
+    return df.mapInArrow(run, df.schema)

@@ -157,7 +157,7 @@ def unpacked(data: bytes, columns: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(c.T).view("<u8").ravel() for c in raw]
 
 
-BLOCK_SCHEMA = "kind int, ref long, other long, doc_id long, n long, d1 long, d2 long, slice int, payload binary"
+BLOCK_SCHEMA = "kind int, ref long, other long, doc_id long, row long, n long, d1 long, d2 long, slice int, payload binary"
 NAMES = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
 
 
@@ -168,19 +168,24 @@ def record(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=NAMES)
 
 
+def row_key(id_col: str, text_col: str) -> F.Column:
+    """A key of a row's id and text."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+
+
 def sketch_blocks(docs: DataFrame, words: int, percent: int, n_slices: int) -> DataFrame:
     """Rows of three kinds: 0 a document, 1 an edge between two documents of a block, 2 the packed entries of a slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, block = TaskContext.get().partitionId(), 0
         shingler, bands = Shingler(words), Bands(percent)
 
-        def finish(ids, sets):
+        def finish(ids, row, sets):
             first_ref = (task << 40) | (block << 24)
             found = [digest(s) for s in sets]
             ref = first_ref + np.arange(len(ids))
             n = [len(s) for s in sets]
             d1, d2 = zip(*found, strict=True)
-            yield record(kind=np.zeros(len(ids), np.int32), ref=ref, doc_id=ids, n=n, d1=d1, d2=d2)
+            yield record(kind=np.zeros(len(ids), np.int32), ref=ref, doc_id=ids, row=row, n=n, d1=d1, d2=d2)
             seen, keys, holder = {}, [], []
             for i, (s, d) in enumerate(zip(sets, found, strict=True)):
                 if len(s) and seen.setdefault(d, i) == i:
@@ -204,18 +209,19 @@ def sketch_blocks(docs: DataFrame, words: int, percent: int, n_slices: int) -> D
                 payloads.append(packed([gaps, who[a:b].astype(np.uint64)]))
             yield record(kind=np.full(len(cut), 2, np.int32), ref=np.full(len(cut), first_ref), slice=part[cut], payload=payloads)
 
-        ids, sets, held = [], [], 0
+        ids, row, sets, held = [], [], [], 0
         for part, texts in slices(batches):
             ids += part.column(0).to_pylist()
+            row += part.column(1).to_pylist()
             sets += shingler.sets(texts)
             held += sum(map(len, texts))
             if held >= SLICE_TEXT or len(ids) >= 1 << 20:
-                yield from finish(ids, sets)
-                ids, sets, held, block = [], [], 0, block + 1
+                yield from finish(ids, row, sets)
+                ids, row, sets, held, block = [], [], [], 0, block + 1
         if ids:
-            yield from finish(ids, sets)
+            yield from finish(ids, row, sets)
 
-    return docs.select("doc_id", "text").mapInArrow(run, BLOCK_SCHEMA)
+    return docs.select("doc_id", row_key("doc_id", "text").alias("row"), "text").mapInArrow(run, BLOCK_SCHEMA)
 
 
 def shared_keys(entries: DataFrame) -> DataFrame:
@@ -352,13 +358,14 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per document: doc_id, n_shingles, and component_id, the smallest id of its component."""
+    """A row per document: doc_id, n_shingles, component_id, the smallest id of its component, and first: whether
+    the row's key (``row``: of id and text) is the one that stands for its component."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
     amount = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), amount >> 24)
     blocks = written(sketch_blocks(docs, words, percent, n_slices), "jaccard-blocks")
-    rows = blocks.filter("kind = 0").select("ref", "doc_id", "n", "d1", "d2")
+    rows = blocks.filter("kind = 0").select("ref", "doc_id", "row", "n", "d1", "d2")
     edges = written(
         blocks.filter("kind = 1").select(F.col("other").alias("a"), F.col("ref").alias("b")).union(shared_keys(blocks.filter("kind = 2"))),
         "jaccard-edges",
@@ -366,7 +373,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     key = ["n", "d1", "d2"]
     classes = written(
-        rows.filter("n > 0").groupBy(*key).agg(F.min("ref").alias("class"), F.min("doc_id").alias("least"), F.max(F.struct("doc_id", "ref")).getField("doc_id").alias("doc_id")),
+        rows.filter("n > 0").groupBy(*key).agg(F.min("ref").alias("class"), F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("lead"), F.max(F.struct("doc_id", "ref")).getField("doc_id").alias("doc_id")),
         "jaccard-classes",
     )
     named = written(rows.filter("n > 0").join(classes.select(*key, "class"), key).select("ref", "class"), "jaccard-named")
@@ -401,11 +408,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     if large.limit(1).count():
         found = written(first.union(second_round(large, components(first), percent)), "jaccard-links")
     joined = components(found).select(F.col("node").alias("class"), "component")
-    whole = classes.join(joined, "class", "left").select(*key, "least", F.coalesce("component", "class").alias("group"))
-    least = whole.groupBy("group").agg(F.min("least").alias("component_id"))
-    by_class = whole.join(least, "group").select(*key, "component_id")
-    linked = rows.filter("n > 0").join(by_class, key).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return linked.union(rows.filter("n = 0").select("doc_id", F.lit(0).cast("long"), F.col("doc_id")))
+    whole = classes.join(joined, "class", "left").select(*key, "least", "lead", F.coalesce("component", "class").alias("group"))
+    first = whole.groupBy("group").agg(F.min("least").alias("component_id"), F.min("lead").alias("lead"))
+    by_class = whole.drop("least", "lead").join(first, "group").select(*key, "component_id", F.col("lead.row").alias("lead_row"))
+    linked = (
+        rows.filter("n > 0")
+        .join(by_class, key)
+        .select("doc_id", F.col("n").alias("n_shingles"), "component_id", "row", (F.col("row") == F.col("lead_row")).alias("first"))
+    )
+    return linked.union(rows.filter("n = 0").select("doc_id", F.lit(0).cast("long"), "doc_id", "row", F.lit(True)))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id. Rows without words all stay."""
+    found = near_duplicates(docs, words, percent, id_col, text_col)
+    leads = written(found.filter("first and n_shingles > 0").select(F.col("row").alias("__lead")).distinct(), "jaccard-leads")
+    key = row_key(id_col, text_col).alias("__row")
+    stay = docs.select("*", key).join(leads, F.col("__row") == F.col("__lead")).dropDuplicates(["__row"])  # rows that are equal
+    bare = ~F.coalesce(F.col(text_col), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    return stay.select(*docs.columns).union(docs.filter(bare))
 
 
 def second_round(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_texts
+from tessera.llm.common import keep_texts, map_texts
 
 SYMBOLS = "#%&*$!|.,:;=<>@/-\"'()_"
 STATS = (
@@ -182,3 +182,8 @@ def score(docs: DataFrame, model: Trees, threshold: float = THRESHOLD) -> DataFr
         return {"score": s, "predicted": (s >= threshold).astype(np.int32)}
 
     return map_texts(docs, run, "score double, predicted int")
+
+
+def accepted(docs: DataFrame, model: Trees, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents whose score reaches the threshold."""
+    return keep_texts(docs, lambda texts: model.score(document_stats(texts)) >= threshold)

@@ -104,7 +104,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @register

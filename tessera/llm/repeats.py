@@ -406,3 +406,21 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, q: int | None = None, text
             yield pa.RecordBatch.from_arrays([*part.columns[: len(own)], *cols], names=schema.fieldNames())
 
     return joined.mapInArrow(run, schema)
+
+
+def without_repeats(docs: DataFrame, size: int = SIZE, text: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with what is left of each text (of a character that is cut apart, nothing stays), and its length in
+    ``length_col`` if there is such a column; texts of which nothing is left go."""
+    cut = remove_repeats(docs, size, text=text).filter((F.col("n_bytes") == 0) | (F.octet_length("kept") > 0))
+    names = [c for c in cut.columns if c not in ("kept", "n_bytes", "n_removed", "spans")]
+    schema = cut.select(*names).schema.add("__text", "string")
+
+    def run(batches):
+        for batch in batches:
+            texts = [k.decode(errors="ignore") for k in batch.column(len(names)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.fieldNames())
+
+    out = cut.select(*names, "kept").mapInArrow(run, schema)
+    if length_col in names:
+        out = out.withColumn(length_col, F.length("__text").cast(docs.schema[length_col].dataType))
+    return out.select(*[F.col("__text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
