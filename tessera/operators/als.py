@@ -8,6 +8,7 @@ cluster's checkpoint folder.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -18,9 +19,11 @@ from tessera.operators import metrics
 from tessera.operators import ratings as R
 from tessera.operators.prefix import dense_index
 from tessera.plans.cache import persisted
+from tessera.sources.models import fit_or_load
 from tessera.session import ensure_checkpoint_dir
 
 INT_MAX = 2**31 - 1
+ROWS_PER_BLOCK = 100_000
 
 # --- fixed values: the reference's tuning grid and its custom list -------------------------
 GRID_RANKS = (8, 12)
@@ -72,6 +75,18 @@ class IdMap:
             return df.withColumn(self.user, F.col(self.user).cast("int"))
         return df.join(self.users, self.user).drop(self.user).withColumnRenamed("_u", self.user)
 
+    def user_from_int(self, df: DataFrame, col: str = "user_id") -> DataFrame:
+        """Put the original user ids back into ``col``."""
+        if not self.dense:
+            return df.withColumn(col, F.col(col).cast("long"))
+        back = self.users.withColumnRenamed(self.user, "_orig").withColumnRenamed("_u", col)
+        return df.join(back, col).withColumn(col, F.col("_orig")).drop("_orig")
+
+    def items_to_int(self, df: DataFrame) -> DataFrame:
+        if not self.dense:
+            return df.withColumn(self.item, F.col(self.item).cast("int"))
+        return df.join(self.items, self.item).drop(self.item).withColumnRenamed("_i", self.item)
+
     def item_from_int(self, df: DataFrame) -> DataFrame:
         if not self.dense:
             return df.withColumn(self.item, F.col(self.item).cast("long"))
@@ -85,8 +100,7 @@ def estimator(
 ) -> ALS:
     """Explicit-feedback ALS; pairs unseen in training are dropped when scored.
 
-    ``blocks`` (user and item blocks) defaults to the cluster's parallelism rather than a
-    fixed 10, so every task slot holds one block. Factors are checkpointed every
+    ``blocks`` is the number of user and of item blocks (see ``block_count``). Factors are checkpointed every
     ``checkpoint_interval`` iterations: without it 20 iterations overflow the stack on
     lineage depth, and a lost executor recomputes at most that many iterations.
     """
@@ -99,10 +113,16 @@ def estimator(
     return est
 
 
+def block_count(rows: int) -> int:
+    """User and item blocks for so many ratings: ALS cuts them into up to blocks² rating blocks, so the
+    square root of what makes ``ROWS_PER_BLOCK`` rows each."""
+    return max(10, math.ceil(math.sqrt(rows / ROWS_PER_BLOCK)))
+
+
 def fit(train: DataFrame, rank: int, max_iter: int, reg: float, seed: int = 42, **kw) -> ALSModel:
-    spark = train.sparkSession
-    ensure_checkpoint_dir(spark)
-    kw.setdefault("blocks", spark.sparkContext.defaultParallelism)
+    ensure_checkpoint_dir(train.sparkSession)
+    if "blocks" not in kw:
+        kw["blocks"] = block_count(train.count())
     return estimator(rank, max_iter, reg, seed, **kw).fit(train)
 
 
@@ -116,6 +136,11 @@ def param_label(rank: int, max_iter: int, reg: float) -> str:
     return f"Rank{rank}Iteration{max_iter}Lambda{reg:.2f}"
 
 
+def model_key(rank: int, max_iter: int, reg: float, normalization: str, seed: int, data: str = "") -> str:
+    """The folder of a saved model: its label, and all else that the fit depends on. ``data`` names the input."""
+    return "-".join([param_label(rank, max_iter, reg), normalization, f"seed{seed}", *([data] if data else [])])
+
+
 def grid_configs(
     ranks: Iterable[int] = GRID_RANKS, iterations: Iterable[int] = GRID_ITERATIONS, lambdas: Iterable[float] = GRID_LAMBDAS
 ) -> list[tuple[int, int, float]]:
@@ -129,14 +154,14 @@ def grid_report(
     seed: int = 42,
     model_dir: str | None = None,
     refit: bool = False,
+    normalization: str = "user",
+    data: str = "",
 ) -> DataFrame:
     """``rank, iteration, lambda, mse, n, label``: one fitted model per configuration.
 
     Both splits are cached for the duration (each configuration reads them again); with
-    ``model_dir`` each model is saved under its label and reused on the next run.
+    ``model_dir`` each model is saved under its ``model_key`` and reused on the next run.
     """
-    from tessera.sources.models import fit_or_load
-
     spark: SparkSession = train.sparkSession
     rows = []
     with persisted(train, test) as (train, test):
@@ -145,7 +170,8 @@ def grid_report(
                 return fit(train, rank, iters, reg, seed)
 
             if model_dir:
-                model = fit_or_load(f"{model_dir.rstrip('/')}/{param_label(rank, iters, reg)}", _fit, ALSModel.load, refit)
+                path = f"{model_dir.rstrip('/')}/{model_key(rank, iters, reg, normalization, seed, data)}"
+                model = fit_or_load(path, _fit, ALSModel.load, refit)
             else:
                 model = _fit()
             m = evaluate_mse(model, test).first()
@@ -170,6 +196,22 @@ def best_config(report: DataFrame) -> DataFrame:
     return report.orderBy("mse", "rank", "iteration", "lambda").limit(1)
 
 
+def top_unseen(model: ALSModel, user_features: Sequence[float], seen: DataFrame, n: int) -> DataFrame:
+    """The ``n`` best items for one user's factors that are not in ``seen``: ``item_id, prediction``.
+
+    Seen items leave by an anti-join before anything is scored; the rest are scored where their factors lie
+    and cut by a map-side top-k."""
+    mine = F.array(*[F.lit(float(v)) for v in user_features])
+    product = F.zip_with("features", mine, lambda a, b: a.cast("double") * b)
+    return (
+        model.itemFactors.withColumnRenamed("id", "item_id")
+        .join(seen.select("item_id"), "item_id", "left_anti")
+        .select("item_id", F.aggregate(product, F.lit(0.0), lambda s, v: s + v).cast("float").alias("prediction"))
+        .orderBy(F.desc("prediction"), "item_id")
+        .limit(n)
+    )
+
+
 def recommend_new_user(
     ratings: DataFrame,
     profile: DataFrame,
@@ -181,24 +223,32 @@ def recommend_new_user(
     reg: float = 0.01,
     seed: int = 42,
     normalization: str = "user",
+    model_path: str | None = None,
+    refit: bool = False,
 ) -> DataFrame:
     """Add a new user's known ratings to the (normalised) table, fit ALS, and return their top
     ``n`` items not already rated: ``item_id, prediction[, title]``.
 
-    The model is asked for ``n + |seen|`` items, seen ones are removed by an anti-join, and
-    the rest re-ranked by prediction (ties by id).
+    With ``model_path`` the model is saved there, and the next call with the same path recommends from it
+    without training (the saved model knows the user's ratings as they were then); ``refit`` trains again.
     """
     base = R.normalize(ratings, normalization)
     with persisted(R.with_new_user(base, profile, user_id)) as (train,):
         ids = IdMap(train)  # the id check and the fit both read the cached table
-        model = fit(ids.to_int(train), rank, max_iter, reg, seed)
-    seen = R.known(profile).select("item_id")
-    n_seen = seen.count()  # one number; sizes the over-fetch
-    me = ids.user_to_int(train.sparkSession.range(1).select(F.lit(user_id).cast(train.schema["user_id"].dataType).alias("user_id")))
-    recs = model.recommendForUserSubset(me, n + n_seen)
-    flat = recs.select(F.explode("recommendations").alias("r")).select(
-        F.col("r.item_id").alias("item_id"), F.col("r.rating").alias("prediction")
-    )
-    flat = ids.item_from_int(flat)
-    top = R.exclude_seen(flat, seen, "prediction", n)
-    return R.with_titles(top, items) if items is not None else top
+
+        def _fit():
+            return fit(ids.to_int(train), rank, max_iter, reg, seed)
+
+        model = fit_or_load(model_path, _fit, ALSModel.load, refit) if model_path else _fit()
+        me = ids.user_to_int(
+            train.sparkSession.range(1).select(F.lit(user_id).cast(train.schema["user_id"].dataType).alias("user_id"))
+        )
+        factors = model.userFactors.join(F.broadcast(me), F.col("id") == F.col("user_id")).select("features").first()
+        known = R.known(profile).select("item_id")
+        seen = ids.items_to_int(known)
+        top = top_unseen(model, factors["features"] if factors else [], seen, n if factors else 0)
+        rows = ids.item_from_int(top).collect()  # n rows
+    schema = f"item_id {base.schema['item_id'].dataType.simpleString()}, prediction float"
+    out = base.sparkSession.createDataFrame([(r["item_id"], r["prediction"]) for r in rows], schema)
+    out = out.orderBy(F.desc("prediction"), "item_id")
+    return R.with_titles(out, items) if items is not None else out

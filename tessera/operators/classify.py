@@ -41,8 +41,9 @@ def feature_columns(df: DataFrame, label: str = CREDIT_LABEL, exclude: Sequence[
     return [c for c in df.columns if c != label and c not in exclude]
 
 
-def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
+def assembler(features: Sequence[str], out: str = "features", invalid: str = "error") -> VectorAssembler:
+    """``invalid``: what a NULL does: ``error`` (default), ``skip`` the row, or ``keep`` it as NaN."""
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=invalid)
 
 
 def label_indexer(df: DataFrame, label: str = CREDIT_LABEL, out: str = "label") -> StringIndexerModel:

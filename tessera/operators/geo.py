@@ -5,23 +5,21 @@ centre distance (in degrees) wins; on equal distance the box with the lowest ``o
 no box → NULL. A box whose min exceeds its max (one crossing the antimeridian) holds nothing
 unless ``wrap=True`` splits it in two.
 
-Strategies (equal results, see ``tests/test_geo.py``):
-
-* ``grid`` (default): boxes are exploded into the grid cells they overlap and grouped into
-  one candidate list per cell. That table is bounded by the cell budget, checked, and
-  broadcast, so every point joins exactly one row through a hash lookup and picks its
-  winner from a few candidates with higher-order functions. No shuffle of the points, no
-  duplicate rows, no per-point grouping; a dense cell costs nothing extra because the points
-  never move. When the cell table is over the broadcast bound, the same equi-join runs as a
-  shuffle join (AQE splits skewed cells).
-* ``range``: the literal formulation — a broadcast non-equi join (nested loop over all
-  boxes) followed by a min-per-point aggregation. One shuffle of one partial row per point.
+A box is listed at the level whose cells (side ``4^level`` degrees) are at least as large as the box, so it
+touches four cells at most, and the listing has at most four rows per box, however many boxes there are.
+Small boxes crowd at fine levels, where few of them share a cell. A point looks up one cell per level in use (about
+thirty levels exist). Strategies (equal results, see ``tests/test_geo.py``):
+
+* ``broadcast``: one candidate list per cell, joined once per level through a broadcast hash lookup; the winner is picked
+  by higher-order functions. No shuffle and no copy of the points. For at most ``max_broadcast_boxes`` boxes.
+* ``shuffle``: the distinct coordinates, one row per level, meet the listing in an equi-join that AQE splits where
+  a cell is hot; the nearest box per coordinate is a partial aggregation, and joins back to the points. No list is ever
+  collected, so a cell may hold any number of boxes.
+* ``grid`` (default) takes the first if the boxes are few enough (counted), else the second.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +27,7 @@ from tessera.functions.geo import centre_distance, in_box
 from tessera.plans.broadcast import row_count_at_most
 
 COORD_LIMIT = 1.0e9  # excludes NaN, ±inf and NULL coordinates before cell arithmetic
+FINEST = -10  # smaller boxes (and single points) are listed at this level
 BOX_FIELDS = ("min_lon", "min_lat", "max_lon", "max_lat", "c_lon", "c_lat")
 
 
@@ -52,49 +51,35 @@ def usable_boxes(boxes: DataFrame, wrap: bool = False) -> DataFrame:
     return b.filter((F.col("min_lon") <= F.col("max_lon")) & (F.col("min_lat") <= F.col("max_lat")))
 
 
-def _cell(x, size: float):
-    return F.floor(x / F.lit(size))
-
+def listing(boxes: DataFrame) -> DataFrame:
+    """``level, cx, cy, box``: the cells that each box touches at its level."""
+    extent = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
+    level = F.ceil(F.log(4.0, F.greatest(extent, F.lit(4.0**FINEST)))).cast("int")
+    box = F.struct(*[F.col(c) for c in BOX_FIELDS], F.col("ord"), F.col("code"))
+    at = boxes.select(level.alias("level"), box.alias("box"))
+    xs = F.sequence(_cell(F.col("box.min_lon"), F.col("level")), _cell(F.col("box.max_lon"), F.col("level")))
+    ys = F.sequence(_cell(F.col("box.min_lat"), F.col("level")), _cell(F.col("box.max_lat"), F.col("level")))
+    return at.select("level", "box", F.explode(xs).alias("cx"), ys.alias("ys")).select(
+        "level", "cx", F.explode("ys").alias("cy"), "box"
+    )
 
-def _cell_count(boxes: DataFrame, size: float) -> int:
-    n = boxes.agg(
-        F.sum(
-            (_cell(F.col("max_lon"), size) - _cell(F.col("min_lon"), size) + 1)
-            * (_cell(F.col("max_lat"), size) - _cell(F.col("min_lat"), size) + 1)
-        ).alias("n")
-    ).first()["n"]
-    return int(n or 0)
 
+def _cell(x, level):
+    side = F.pow(F.lit(4.0), level) if not isinstance(level, int) else F.lit(4.0**level)
+    return F.floor(x / side).cast("long")
 
-def choose_cell_size(boxes: DataFrame, cell: float, max_cells: int) -> tuple[float, int]:
-    """Grow ``cell`` (by powers of two) until the boxes cover at most ``max_cells`` cells.
 
-    Returns the size and the number of (box, cell) pairs, which bounds the rows of the
-    candidate table built from it.
-    """
-    size = float(cell)
-    n = _cell_count(boxes, size)
-    for _ in range(64):
-        if n <= max_cells:
-            break
-        size *= 2 ** max(1, math.ceil(math.log2(math.sqrt(n / max_cells))))
-        n = _cell_count(boxes, size)
-    return size, n
-
-
-def cell_candidates(boxes: DataFrame, cell: float) -> DataFrame:
-    """``(cx, cy, cands)``: for each grid cell touched by a box, the list of those boxes."""
-    box = F.struct(*[F.col(c) for c in BOX_FIELDS], F.col("ord"), F.col("code"))
-    xs = F.sequence(_cell(F.col("min_lon"), cell), _cell(F.col("max_lon"), cell))
-    ys = F.sequence(_cell(F.col("min_lat"), cell), _cell(F.col("max_lat"), cell))
-    return (
-        boxes.select(box.alias("box"), F.explode(xs).alias("cx"), ys.alias("ys"))
-        .select("box", "cx", F.explode("ys").alias("cy"))
-        .groupBy("cx", "cy")
-        .agg(F.collect_list("box").alias("cands"))
+def _best(x, y, b):
+    """What the nearest box is the least of: distance, then order."""
+    return F.struct(
+        centre_distance(x, y, b["c_lon"], b["c_lat"]).alias("d"), b["ord"].alias("o"), b["code"].alias("c")
     )
 
 
+def _holds(x, y, b):
+    return in_box(x, y, b["min_lon"], b["min_lat"], b["max_lon"], b["max_lat"])
+
+
 def assign_region(
     points: DataFrame,
     boxes: DataFrame,
@@ -102,76 +87,56 @@ def assign_region(
     lat: str = "lat",
     out: str = "region",
     strategy: str = "grid",
-    cell: float = 1.0,
-    max_cells: int = 500_000,
-    max_broadcast_cells: int = 500_000,
     max_broadcast_boxes: int = 100_000,
     wrap: bool = False,
-    id_col: str | None = None,
 ) -> DataFrame:
     """Add ``{out}`` (box code) and ``{out}_ord`` to every point; NULL where no box holds it.
 
-    ``grid`` keeps every input row, duplicates included. ``range`` groups by ``id_col``, which
-    must then be unique per row; without it a row id is generated (stable for a scan, not
-    across a re-shuffled input). The cell budget (``max_cells`` box-cell pairs, a few tens of
-    MB of candidate lists at most) bounds what the grid broadcasts.
-    """
+    Every input row is kept, duplicates included; no row id is needed."""
     good = usable_boxes(boxes, wrap=wrap)
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
-    if strategy == "grid":
-        return _assign_grid(points, good, x, y, out, cell, max_cells, max_broadcast_cells)
-    if strategy == "range":
-        return _assign_range(points, good, x, y, out, max_broadcast_boxes, id_col)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-def _assign_grid(points, good, x, y, out, cell, max_cells, max_broadcast_cells) -> DataFrame:
-    size, n_pairs = choose_cell_size(good, cell, max_cells)
-    cands = cell_candidates(good, size)
-    if n_pairs <= max_broadcast_cells:  # rows(cands) <= n_pairs: the size is proven
-        cands = F.broadcast(cands)
-    ok = x.between(-COORD_LIMIT, COORD_LIMIT) & y.between(-COORD_LIMIT, COORD_LIMIT)
-    keyed = points.withColumn("_cx", F.when(ok, _cell(x, size))).withColumn("_cy", F.when(ok, _cell(y, size)))
-    j = keyed.join(
-        cands.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy"), ["_cx", "_cy"], "left"
-    )
-    hits = F.filter(
-        F.col("cands"), lambda b: in_box(x, y, b["min_lon"], b["min_lat"], b["max_lon"], b["max_lat"])
-    )
-    ranked = F.transform(
-        hits,
-        lambda b: F.struct(
-            centre_distance(x, y, b["c_lon"], b["c_lat"]).alias("d"), b["ord"].alias("o"), b["code"].alias("c")
-        ),
-    )
-    best = F.array_min(ranked)
-    return j.select(
-        *[F.col(c) for c in points.columns],
-        best["c"].alias(out),
-        best["o"].alias(f"{out}_ord"),
-    )
-
-
-def _assign_range(points, good, x, y, out, max_broadcast_boxes, id_col) -> DataFrame:
-    b = good.select(*[F.col(c).alias(f"_b_{c}") for c in good.columns])
-    if row_count_at_most(b, max_broadcast_boxes):
-        b = F.broadcast(b)
-    rid = id_col or "_rid"
-    pts = points if id_col else points.withColumn(rid, F.monotonically_increasing_id())
-    j = pts.join(
-        b, in_box(x, y, "_b_min_lon", "_b_min_lat", "_b_max_lon", "_b_max_lat"), "left"
-    )
-    cand = F.when(
-        F.col("_b_code").isNotNull() | F.col("_b_ord").isNotNull(),
-        F.struct(
-            centre_distance(x, y, F.col("_b_c_lon"), F.col("_b_c_lat")).alias("d"),
-            F.col("_b_ord").alias("o"),
-            F.col("_b_code").alias("c"),
-        ),
-    )
-    agg = j.groupBy(rid).agg(
-        *[F.any_value(c).alias(c) for c in points.columns if c != rid], F.min(cand).alias("_best")
-    )
-    return agg.select(
-        *points.columns, F.col("_best.c").alias(out), F.col("_best.o").alias(f"{out}_ord")
+    if strategy not in ("grid", "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    few = strategy != "shuffle" and row_count_at_most(good, max_broadcast_boxes)
+    if strategy == "broadcast" and not few:
+        raise ValueError(f"more than {max_broadcast_boxes} boxes: use the shuffle strategy")
+    cells = listing(good)
+    levels = sorted(r["level"] for r in cells.select("level").distinct().collect())  # about thirty exist
+    if few:
+        return _by_broadcast(points, cells, levels, x, y, out)
+    return _by_shuffle(points, cells, levels, x, y, out)
+
+
+def _usable(x, y):
+    return x.between(-COORD_LIMIT, COORD_LIMIT) & y.between(-COORD_LIMIT, COORD_LIMIT)
+
+
+def _by_broadcast(points, cells, levels, x, y, out) -> DataFrame:
+    lists = cells.groupBy("level", "cx", "cy").agg(F.collect_list("box").alias("boxes"))  # of at most 4 rows a box
+    j, found = points, []
+    for i, level in enumerate(levels):
+        own = lists.filter(F.col("level") == level).select(
+            F.col("cx").alias(f"_cx{i}"), F.col("cy").alias(f"_cy{i}"), F.col("boxes").alias(f"_boxes{i}")
+        )
+        j = j.withColumn(f"_cx{i}", F.when(_usable(x, y), _cell(x, level))).withColumn(
+            f"_cy{i}", F.when(_usable(x, y), _cell(y, level))
+        )
+        j = j.join(F.broadcast(own), [f"_cx{i}", f"_cy{i}"], "left")
+        hits = F.filter(F.col(f"_boxes{i}"), lambda b: _holds(x, y, b))
+        found.append(F.array_min(F.transform(hits, lambda b: _best(x, y, b))))
+    best = F.array_min(F.array_compact(F.array(*found))) if found else None
+    code = best["c"] if found else F.lit(None).cast("string")
+    order = best["o"] if found else F.lit(None).cast("long")
+    return j.select(*[F.col(f"`{c}`") for c in points.columns], code.alias(out), order.alias(f"{out}_ord"))
+
+
+def _by_shuffle(points, cells, levels, x, y, out) -> DataFrame:
+    keyed = points.withColumn("_x", F.when(_usable(x, y), x)).withColumn("_y", F.when(_usable(x, y), y))
+    at = keyed.select("_x", "_y").dropna().distinct()
+    asked = at.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")))
+    asked = asked.withColumn("cx", _cell(F.col("_x"), F.col("level"))).withColumn("cy", _cell(F.col("_y"), F.col("level")))
+    met = asked.join(cells, ["level", "cx", "cy"]).filter(_holds(F.col("_x"), F.col("_y"), F.col("box")))
+    best = met.groupBy("_x", "_y").agg(F.min(_best(F.col("_x"), F.col("_y"), F.col("box"))).alias("_best"))
+    return keyed.join(best, ["_x", "_y"], "left").select(
+        *[F.col(f"`{c}`") for c in points.columns], F.col("_best.c").alias(out), F.col("_best.o").alias(f"{out}_ord")
     )

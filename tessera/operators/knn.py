@@ -8,7 +8,7 @@ grouped aggregate keyed by user, partially aggregated map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import split_genres
@@ -45,6 +45,11 @@ def profile_vector(good_profile: DataFrame, genres_df: DataFrame, item: str = "i
     return genre_counts(good_profile, genres_df, (), item)
 
 
+def ranked_genres(vector: DataFrame) -> DataFrame:
+    """``genre, n, rank``: a profile vector, largest count first, ties by name (one row per genre)."""
+    return vector.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "genre")))
+
+
 def user_cosine(vectors: DataFrame, pvec: DataFrame, user: str = "user_id") -> DataFrame:
     """``user_id, sim``: cosine similarity of every user vector to the profile vector.
 

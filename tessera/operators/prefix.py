@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
 
-DEFAULT_BUCKETS = 64
+
+def default_buckets(df: DataFrame) -> int:
+    """As many ranges as a shuffle has partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def _materialize(df: DataFrame) -> DataFrame:
@@ -26,11 +29,12 @@ def _materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: str = "_bucket") -> tuple[DataFrame, int]:
+def range_bucket(df: DataFrame, col: str, buckets: int | None = None, out: str = "_bucket") -> tuple[DataFrame, int]:
     """Add ``out``: the index of the quantile range ``col`` falls in (monotone in ``col``).
 
     Returns the frame and the number of ranges.
     """
+    buckets = buckets or default_buckets(df)
     probs = [i / buckets for i in range(1, buckets)]
     # buckets-1 cut points come back to the driver, like a range partitioner's sample.
     cuts = sorted(set(df.approxQuantile(col, probs, 1.0 / (4 * buckets)))) if probs else []
@@ -56,7 +60,7 @@ def _offsets(df: DataFrame, bucket: str, value, n: int):
 
 
 def running_sum_below(
-    df: DataFrame, order: str, value: str, out: str, buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, order: str, value: str, out: str, buckets: int | None = None
 ) -> DataFrame:
     """Add ``out`` = Σ ``value`` over rows with a smaller ``order`` (rows must have distinct
     ``order`` values, e.g. after a ``groupBy(order)``)."""
@@ -67,7 +71,7 @@ def running_sum_below(
     return local.select(*df.columns, (_offsets(b, "_bucket", F.col(value), n) + F.col("_in")).alias(out))
 
 
-def dense_index(df: DataFrame, col: str, out: str = "idx", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def dense_index(df: DataFrame, col: str, out: str = "idx", buckets: int | None = None) -> DataFrame:
     """``col, out``: each distinct value of ``col`` numbered 0..n-1 in ascending order."""
     d, n = range_bucket(_materialize(df.select(col).distinct().filter(F.col(col).isNotNull())), col, buckets)
     w = Window.partitionBy("_bucket").orderBy(col)

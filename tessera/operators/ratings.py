@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash_bucket, hash_key
+from tessera.functions.hashing import hash_key
 from tessera.plans.skew import join_per_key
 from tessera.session import ensure_checkpoint_dir
 
@@ -122,9 +122,14 @@ def popular_items(
 
 
 def with_titles(top: DataFrame, items: DataFrame, item: str = "item_id") -> DataFrame:
-    """Attach titles to a small, bounded result (a top-k): the result is broadcast and the
-    item table streamed, so the item table is never shuffled. Absent titles stay NULL."""
-    return items.select(item, "title").join(F.broadcast(top), item, "right").select(*top.columns, "title")
+    """Attach titles to a small, bounded result (a top-k). Absent titles stay NULL.
+
+    Spark can't build the preserved side of an outer join, so the item table is first cut down by an
+    inner join that streams it past the broadcast result; those few rows are then broadcast in turn.
+    The item table is never shuffled.
+    """
+    few = items.select(item, "title").join(F.broadcast(top.select(item).distinct()), item)
+    return top.join(F.broadcast(few), item, "left").select(*top.columns, "title")
 
 
 def sample_items(candidates: DataFrame, n: int = 25, seed: int = 42, item: str = "item_id") -> DataFrame:
@@ -133,24 +138,29 @@ def sample_items(candidates: DataFrame, n: int = 25, seed: int = 42, item: str =
     return candidates.orderBy(hash_key(seed, F.col(item)), F.asc(item)).limit(n)
 
 
+def split_bounds(weights: Sequence[float]) -> list[int]:
+    """Where the sides end among the 2^32 keys (the last side takes the rest)."""
+    total, acc, bounds = float(sum(weights)), 0.0, []
+    for w in weights[:-1]:
+        acc += w
+        bounds.append(round(acc / total * 2**32))
+    return bounds
+
+
 def hash_split_column(
     df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0.8, 0.2), seed: int = 5, out: str = "split",
     fn: str = "md5",
 ) -> DataFrame:
     """Add ``out`` = index of the side each row falls in, from a hash of ``keys``.
 
-    Buckets 0..999 of ``md5(seed:keys)`` are cut by the cumulative weights. Unlike
-    ``randomSplit``, a row's side does not depend on partitioning or task retries.
+    The 32-bit key of ``md5(seed:keys)`` is compared with the cumulative weights, so the smallest
+    weight that keeps its share is 2^-32. Unlike ``randomSplit``, a row's side does not depend on
+    partitioning or task retries.
     """
-    total = float(sum(weights))
-    bucket = hash_bucket(seed, *[F.col(k) for k in keys], buckets=1000, fn=fn)
-    bounds, acc = [], 0.0
-    for w in weights[:-1]:
-        acc += w / total
-        bounds.append(int(round(acc * 1000)))
+    key = hash_key(seed, *[F.col(k) for k in keys], fn=fn)
     side = F.lit(len(weights) - 1)
-    for i in reversed(range(len(bounds))):
-        side = F.when(bucket < bounds[i], F.lit(i)).otherwise(side)
+    for i, bound in reversed(list(enumerate(split_bounds(weights)))):
+        side = F.when(key < bound, F.lit(i)).otherwise(side)
     return df.withColumn(out, side)
 
 

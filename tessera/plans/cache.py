@@ -6,7 +6,7 @@ import contextlib
 from collections.abc import Iterator
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 @contextlib.contextmanager
@@ -21,3 +21,16 @@ def persisted(*dfs: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DIS
     finally:
         for df in held:
             df.unpersist()
+
+
+@contextlib.contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Drop, at the end of the block, every RDD that was cached inside it (model fits keep theirs)."""
+    jsc = spark.sparkContext._jsc
+    before = set(jsc.getPersistentRDDs().keySet())
+    try:
+        yield
+    finally:
+        held = jsc.getPersistentRDDs()
+        for number in set(held.keySet()) - before:
+            held[number].unpersist(False)

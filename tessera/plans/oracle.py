@@ -6,6 +6,7 @@ driver's pre-registered views. Arrays are emitted in long form.
 
 from __future__ import annotations
 
+from tessera.sources.schemas import CREDIT_COLUMNS, CREDIT_LABEL, CREDIT_SHIFTED
 from tessera.sources.testdata import with_ctes
 
 # Per-point best box: inclusive containment, least centre distance, then lowest ord.
@@ -153,7 +154,7 @@ ORACLE.update(
         ),
         "hash_split": _q(
             f"""SELECT user_id, item_id, rating,
-                       CASE WHEN {_hex8(5, 'user_id', 'item_id')} % 1000 < 800 THEN 0 ELSE 1 END AS split
+                       CASE WHEN {_hex8(5, 'user_id', 'item_id')} < {round(0.8 * 2**32)} THEN 0 ELSE 1 END AS split
                 FROM ratings""",
             "ratings",
         ),
@@ -195,7 +196,9 @@ ORACLE.update(
         "item_genres": _q("SELECT * FROM ig", *_KT, extra=_KNN),
         "user_vectors": _q("SELECT * FROM uv", *_KT, extra=_KNN),
         "profile_good": _q("SELECT * FROM pgood", *_KT, extra=_KNN),
-        "profile_vector": _q("SELECT * FROM pv", *_KT, extra=_KNN),
+        "profile_vector": _q(
+            "SELECT genre, n, CAST(row_number() OVER (ORDER BY n DESC, genre) AS INTEGER) AS rank FROM pv", *_KT, extra=_KNN
+        ),
         "user_cosine": _q("SELECT * FROM cos", *_KT, extra=_KNN),
         "knn_users": _q("SELECT * FROM nn", *_KT, extra=_KNN),
         "knn_recommend": _q(_recommend("ratings"), *_KT, extra=_KNN),
@@ -248,16 +251,8 @@ ORACLE.update(
 
 # ---- credit table -------------------------------------------------------------------------------
 
-_SHIFTED = set(
-    "balance savings employment sexMarried guarantors residenceDuration assets concCredit apartment "
-    "credits occupation dependents hasPhone foreign".split()
-)
-_CREDIT_COLS = (
-    "creditability balance duration history purpose amount savings employment instPercent sexMarried "
-    "guarantors residenceDuration assets age concCredit apartment credits occupation dependents hasPhone foreign"
-).split()
 _CREDIT = "credit AS (SELECT id, " + ", ".join(
-    f'"{c}" - 1 AS "{c}"' if c in _SHIFTED else f'"{c}"' for c in _CREDIT_COLS
+    f'"{c}" - 1 AS "{c}"' if c in CREDIT_SHIFTED else f'"{c}"' for c in CREDIT_COLUMNS
 ) + " FROM credit_raw)"
 
 ORACLE.update(
@@ -271,3 +266,48 @@ ORACLE.update(
         ),
     }
 )
+
+ORACLE.update(
+    {
+        "ratings_norm_none": _q("SELECT * FROM ratings", "ratings"),
+        "knn_users_without_self": _q(
+            """SELECT * FROM cos WHERE user_id <> (SELECT user_id FROM profile_user) ORDER BY sim DESC, user_id LIMIT 5""",
+            *_KT, "profile_user", extra=_KNN,
+        ),
+        "mse_joined": _q(
+            """SELECT avg((r.rating - p.prediction) * (r.rating - p.prediction)) AS mse, count(*) AS n
+               FROM ratings r JOIN (
+                 SELECT user_id, item_id, prediction FROM predicted WHERE item_id % 7 <> 0
+                 UNION ALL
+                 SELECT user_id, item_id, prediction FROM predicted WHERE item_id % 7 <> 0 AND item_id % 5 = 0) p
+               ON r.user_id = p.user_id AND r.item_id = p.item_id""",
+            "ratings", "predicted",
+        ),
+        "split_survivors": _q(
+            f"""SELECT 'train' AS side, count(*) AS n FROM sides WHERE side = 0
+                UNION ALL SELECT 'test', count(*) FROM sides WHERE side = 1
+                UNION ALL SELECT 'survivors', count(*) FROM sides WHERE side = 1
+                  AND user_id IN (SELECT user_id FROM sides WHERE side = 0)
+                  AND item_id IN (SELECT item_id FROM sides WHERE side = 0)""",
+            "ratings",
+            extra=f"""sides AS (SELECT user_id, item_id,
+                CASE WHEN {_hex8(5, 'user_id', 'item_id')} < {round(0.8 * 2**32)} THEN 0 ELSE 1 END AS side FROM ratings)""",
+        ),
+        "credit_features": _q(
+            " UNION ALL ".join(
+                f"""SELECT {i} AS pos, '{c}' AS name, CAST(sum("{c}") AS BIGINT) AS total FROM credit"""
+                for i, c in enumerate(c for c in CREDIT_COLUMNS if c != CREDIT_LABEL)
+            ),
+            "credit_raw", extra=_CREDIT,
+        ),
+        "credit_checked": _q(
+            """SELECT id, CAST(balance AS INTEGER) AS account_value,
+                      CASE WHEN balance IS NULL THEN 'blank' WHEN NOT balance BETWEEN 0 AND 3 THEN 'out of range' END AS account_reason,
+                      CASE WHEN "hasPhone" = 1 THEN 'Y' WHEN "hasPhone" = 0 THEN 'N' END AS phone_value,
+                      CASE WHEN "hasPhone" IS NULL OR "hasPhone" NOT IN (0, 1) THEN 'blank' END AS phone_reason,
+                      coalesce(balance BETWEEN 0 AND 3, false) AND coalesce("hasPhone" IN (0, 1), false) AS is_valid
+               FROM credit""",
+            "credit_raw", extra=_CREDIT,
+        ),
+    }
+)

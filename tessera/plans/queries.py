@@ -17,10 +17,11 @@ from tessera.functions.codes import shift_codes
 from tessera.functions.text import decode_tags
 from tessera.operators import als, classify, geo, knn, metrics, photos, tags, validate
 from tessera.operators import ratings as R
-from tessera.plans.cache import persisted
+from tessera.plans.cache import persisted, released
 from tessera.plans.sqlviews import nonderivative_sql
 from tessera.session import ensure_checkpoint_dir, shared_path
 from tessera.sources import testdata as td
+from tessera.sources.models import fit_or_load
 from tessera.sources.readers import parse_photo_lines
 from tessera.sources.schemas import CREDIT_SHIFTED
 
@@ -80,13 +81,14 @@ def geo_assign(spark, d):
 
 @query
 def geo_grid(spark, d):
-    """The grid strategy with 5° cells: fewer, fuller candidate lists; the same answers."""
-    return geo.assign_region(td.points(spark, d), td.boxes(spark, d), strategy="grid", cell=5.0)
+    """The broadcast strategy by name."""
+    return geo.assign_region(td.points(spark, d), td.boxes(spark, d), strategy="broadcast")
 
 
 @query
 def geo_range(spark, d):
-    return geo.assign_region(td.points(spark, d), td.boxes(spark, d), strategy="range", id_col="id")
+    """The strategy for any number of boxes: a shuffle join on (level, cell)."""
+    return geo.assign_region(td.points(spark, d), td.boxes(spark, d), strategy="shuffle")
 
 
 # ---- tags per country ---------------------------------------------------------------------
@@ -206,20 +208,23 @@ def hash_split(spark, d):
 # ---- content-based nearest neighbours ---------------------------------------------------------
 
 
-def _vectors(spark, d):
-    return knn.user_vectors(R.above_avg(td.ratings(spark, d)), knn.item_genres(td.items(spark, d)))
+def _vectors(spark, d, liked=None):
+    good = R.above_avg(td.ratings(spark, d)) if liked is None else liked
+    return knn.user_vectors(good, knn.item_genres(td.items(spark, d)))
 
 
 def _pvec(spark, d, prof):
-    return knn.profile_vector(R.profile_good(prof), knn.item_genres(td.items(spark, d)))
+    """Read for the products, the norm and the size check: written once (a row per genre)."""
+    ensure_checkpoint_dir(spark)
+    return knn.profile_vector(R.profile_good(prof), knn.item_genres(td.items(spark, d))).checkpoint(eager=True)
 
 
-def _cosine(spark, d, prof):
-    return knn.user_cosine(_vectors(spark, d), _pvec(spark, d, prof))
+def _cosine(spark, d, prof, liked=None):
+    return knn.user_cosine(_vectors(spark, d, liked), _pvec(spark, d, prof))
 
 
-def _neighbours(spark, d, prof):
-    return knn.knn_users(_cosine(spark, d, prof), k=5, exclude=td.PROFILE_USER_ID)
+def _neighbours(spark, d, prof, liked=None, exclude=td.PROFILE_USER_ID):
+    return knn.knn_users(_cosine(spark, d, prof, liked), k=5, exclude=exclude)
 
 
 @query
@@ -239,7 +244,8 @@ def profile_good(spark, d):
 
 @query
 def profile_vector(spark, d):
-    return _pvec(spark, d, _profile(spark, d))
+    """Genres of the profile's liked items, largest count first (``rank`` says which; ties by name)."""
+    return knn.ranked_genres(_pvec(spark, d, _profile(spark, d)))
 
 
 @query
@@ -261,9 +267,16 @@ def knn_recommend(spark, d):
 @query
 def knn_recommend_good(spark, d):
     prof = _profile(spark, d)
-    return knn.knn_recommend(
-        td.ratings(spark, d), _neighbours(spark, d, prof), prof, td.items(spark, d), only_good=True
-    )
+    ensure_checkpoint_dir(spark)
+    liked = R.above_avg(td.ratings(spark, d)).checkpoint(eager=True)  # for the vectors and the neighbours' items
+    return knn.knn_recommend(liked, _neighbours(spark, d, prof, liked), prof, td.items(spark, d))
+
+
+@query
+def knn_users_without_self(spark, d):
+    """The profile's own user is in the table here, and is left out by id."""
+    me = td.profile_user(td.ratings(spark, d)).first()["user_id"]
+    return _neighbours(spark, d, _profile(spark, d), exclude=me)
 
 
 # ---- metrics and validation -------------------------------------------------------------------
@@ -274,6 +287,32 @@ def mse_pairs(spark, d):
     return metrics.mse(td.predicted(spark, d), "rating", "prediction")
 
 
+@query
+def mse_joined(spark, d):
+    """Actual ratings joined with predictions by (user, item): repeated pairs multiply, pairs without a
+    prediction vanish."""
+    actual = td.ratings(spark, d)
+    scored = td.predicted(spark, d).filter(F.col("item_id") % 7 != 0).select("user_id", "item_id", "prediction")
+    twice = scored.filter(F.col("item_id") % 5 == 0)
+    return metrics.mse(metrics.join_predictions(actual, scored.unionByName(twice)), "rating", "prediction")
+
+
+@query
+def ratings_norm_none(spark, d):
+    return R.normalize(td.ratings(spark, d), "none")
+
+
+@query
+def split_survivors(spark, d):
+    """Train and test rows of the split, and the test rows whose user and item were trained on."""
+    train, test = R.hash_split(td.ratings(spark, d), ["user_id", "item_id"], (0.8, 0.2), seed=SPLIT_SEED)
+    warm = test.join(train.select("user_id").distinct(), "user_id", "left_semi").join(
+        train.select("item_id").distinct(), "item_id", "left_semi"
+    )
+    count = lambda df, side: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(side).alias("side"), "n")
+    return count(train, "train").union(count(test, "test")).union(count(warm, "survivors"))
+
+
 @query
 def auc_exact(spark, d):
     return metrics.auc(td.scored(spark, d), "label", "score")
@@ -310,17 +349,17 @@ def _als_split(data):
 
 @query
 def als_fit(spark, d):
-    with persisted(_als_norm(spark, d)) as (norm,):
-        train, _ = _als_split(als.IdMap(norm).to_int(norm))
+    ensure_checkpoint_dir(spark)
+    with released(spark), persisted(_als_norm(spark, d)) as (norm,):
+        ids = als.IdMap(norm)
+        train, _ = _als_split(ids.to_int(norm))
         model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
-        factors = model.userFactors.persist()
-        factors.count()  # materialised while the input is still cached
-    return factors
+        return ids.user_from_int(model.userFactors, "id").checkpoint(eager=True)
 
 
 @query
 def als_mse(spark, d):
-    with persisted(_als_norm(spark, d)) as (norm,):
+    with released(spark), persisted(_als_norm(spark, d)) as (norm,):
         train, test = _als_split(als.IdMap(norm).to_int(norm))
         model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
         row = als.evaluate_mse(model, test).first()
@@ -329,7 +368,7 @@ def als_mse(spark, d):
 
 @query
 def als_grid(spark, d):
-    with persisted(_als_norm(spark, d)) as (norm,):
+    with released(spark), persisted(_als_norm(spark, d)) as (norm,):
         train, test = _als_split(als.IdMap(norm).to_int(norm))
         return als.grid_report(train, test, als.grid_configs(), seed=ALS_SEED)
 
@@ -337,10 +376,11 @@ def als_grid(spark, d):
 @query
 def als_recommend(spark, d):
     rank, iters, reg = als.CHOSEN_CONFIG
-    return als.recommend_new_user(
-        td.ratings(spark, d), _profile(spark, d), td.PROFILE_USER_ID, td.items(spark, d),
-        n=20, rank=rank, max_iter=iters, reg=reg, seed=ALS_SEED,
-    )
+    with released(spark):
+        return als.recommend_new_user(
+            td.ratings(spark, d), _profile(spark, d), td.PROFILE_USER_ID, td.items(spark, d),
+            n=20, rank=rank, max_iter=iters, reg=reg, seed=ALS_SEED,
+        )
 
 
 # ---- credit classifier --------------------------------------------------------------------------
@@ -352,11 +392,23 @@ def _credit(spark, d):
     return shift_codes(td.credit_raw(spark, d), CREDIT_SHIFTED)
 
 
-def _credit_fit(spark, d):
-    df = _credit(spark, d)
+def _credit_model(spark, d):
+    """The table (cached by the caller), its split, and the tuned model: fitted once per content of the table and
+    saved in the shared folder, then loaded. The table's digest is part of the path."""
+    df = _credit(spark, d).orderBy("id")  # the tuner's own split depends on the order of rows
+    ensure_checkpoint_dir(spark)
+    df = df.checkpoint(eager=True)
+    row = F.xxhash64(*df.columns).cast("decimal(38,0)")
+    digest = df.agg(F.sum(row).alias("h"), F.count(F.lit(1)).alias("n")).first()
     train, test = R.hash_split(df, ["id"], (0.75, 0.25), seed=CREDIT_SEED)
-    model = classify.build(df).fit(train)
-    return df, train, test, model
+    path = shared_path(spark, "models", f"credit-{digest['n']}-{digest['h']}-seed{CREDIT_SEED}")
+
+    def fit():
+        with persisted(train) as (held,):
+            return classify.build(df).fit(held)
+
+    with released(spark):
+        return df, train, test, fit_or_load(path, fit, classify.load)
 
 
 @query
@@ -369,21 +421,47 @@ def label_index(spark, d):
     return classify.label_index(_credit(spark, d))
 
 
+@query
+def credit_features(spark, d):
+    """The feature columns in the order in which the assembler takes them, with their sums."""
+    df = _credit(spark, d)
+    names = classify.feature_columns(df)
+    each = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("name"), F.col(c).cast("long").alias("v")) for i, c in enumerate(names)])
+    rows = df.select(F.explode(each).alias("f"))
+    return rows.groupBy(F.col("f.pos").alias("pos"), F.col("f.name").alias("name")).agg(F.sum("f.v").alias("total"))
+
+
+def _scoring_input(spark, d):
+    """Batch-scoring rows with what is wrong with each: the account state must be 0 to 3, the phone answer Y or N."""
+    raw = _credit(spark, d).withColumn("account", F.col("balance").cast("int").cast("string"))
+    raw = raw.withColumn("phone", F.when(F.col("hasPhone") == 1, "y").when(F.col("hasPhone") == 0, "N"))
+    checked = validate.validate_int(raw, "account", lo=0, hi=3).withColumnsRenamed(
+        {"value": "account_value", "is_valid": "account_valid", "reason": "account_reason"}
+    )
+    checked = validate.validate_choice(checked, "phone", ["Y", "N"])
+    return checked.withColumn("is_valid", F.col("is_valid") & F.col("account_valid"))
+
+
+@query
+def credit_checked(spark, d):
+    return _scoring_input(spark, d).select("id", "account_value", "account_reason", F.col("value").alias("phone_value"), F.col("reason").alias("phone_reason"), "is_valid")
+
+
 @query
 def credit_fit(spark, d):
-    _, train, test, model = _credit_fit(spark, d)
+    _, train, test, model = _credit_model(spark, d)
     return classify.best_params(model, train, test)
 
 
 @query
 def credit_score(spark, d):
-    _, _, test, model = _credit_fit(spark, d)
+    _, _, test, model = _credit_model(spark, d)
     return classify.score(model, test)
 
 
 @query
 def credit_score_saved(spark, d):
-    df, _, _, model = _credit_fit(spark, d)
-    path = shared_path(spark, "models", "credit", d.rstrip("/").split("/")[-1])
-    classify.save(model, path)
-    return classify.score(classify.load(path), df)
+    """Batch scoring by the saved model of the rows that pass the input check."""
+    df, _, _, model = _credit_model(spark, d)
+    valid, _ = validate.split_valid(_scoring_input(spark, d))
+    return classify.score(model, df.join(valid.select("id"), "id", "left_semi"))

@@ -5,25 +5,27 @@ table produced by an aggregation in the same plan (per-user means, per-item pred
 does not qualify, so a key holding a third of the rows would land in one task. Here such
 keys are salted explicitly:
 
-* the ``parts`` keys with the most rows are treated as hot — every key holding at least
-  ``1 / parts`` of all rows is among them, and the list is bounded by construction, so it is
-  broadcast;
-* rows of hot keys get a deterministic salt in ``[0, parts)`` (a hash of the row, stable
-  under task retries); rows of other keys get salt 0;
-* the per-key rows of hot keys are replicated once per salt (at most ``parts²`` extra rows);
-* the join runs on (key, salt), spreading each hot key over ``parts`` tasks.
+* a key is hot when it holds more than ``HOT_SHARE`` times the mean rows of a partition; there are fewer
+  than ``parts / HOT_SHARE`` such keys, so the list is bounded and is broadcast;
+* a hot key of ``n`` rows gets ``ceil(n / mean)`` salts, so the salts of all hot keys together, and with them the
+  copies of the per-key rows, number at most twice ``parts``;
+* a row's salt hashes the row and the number of its partition, so equal rows of several partitions spread too, and a
+  retried task deals its rows as before; rows of other keys get salt 0;
+* without a hot key the plain join runs.
 
 Results are identical to the plain join; only the distribution of work changes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+HOT_SHARE = 2
+
 
 def target_parts(df: DataFrame, parts: int | None = None) -> int:
     if parts:
@@ -31,37 +33,33 @@ def target_parts(df: DataFrame, parts: int | None = None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def hot_keys(counts: DataFrame, key: str, count_col: str, parts: int) -> DataFrame:
-    """The ``parts`` largest keys by count (a map-side top-k; at most ``parts`` rows).
+def hot_keys(counts: DataFrame, key: str, count_col: str, parts: int) -> list[tuple]:
+    """(key, salts) of the keys with more than ``HOT_SHARE`` times the mean rows of a partition.
 
-    Any key holding ``1 / parts`` of the rows or more is among them. Salting a key that is not
-    hot changes nothing but its spread, so no total is needed and the counts are read in the
-    same plan as the join."""
-    return counts.orderBy(F.desc(count_col), F.asc(key)).limit(parts).select(key)
+    A map-side top-k of ``parts / HOT_SHARE`` rows holds them all. Null keys join nothing and are left out."""
+    total = counts.agg(F.sum(count_col)).first()[0] or 0
+    mean = max(1.0, total / parts)
+    top = counts.filter(F.col(key).isNotNull() & (F.col(count_col) > HOT_SHARE * mean))
+    rows = top.orderBy(F.desc(count_col), F.asc(key)).limit(max(1, parts // HOT_SHARE)).select(key, count_col).collect()
+    return [(r[0], math.ceil(r[1] / mean)) for r in rows]
 
 
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    hot: DataFrame,
-    parts: int,
-    how: str = "inner",
-    salt_cols: Sequence[str] | None = None,
-) -> DataFrame:
-    """``big`` joined with ``small`` on ``key``, hot keys spread over ``parts`` salts.
+def salted_join(big: DataFrame, small: DataFrame, key: str, hot: list[tuple], how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small`` on ``key``, each hot key spread over its salts.
 
-    ``hot`` must hold at most ``parts`` keys (as ``hot_keys`` guarantees), which is what
-    makes broadcasting it safe. ``how`` is ``inner`` or ``left`` (rows of ``big`` kept).
-    """
-    flag = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
-    # Any deterministic function of the row works as a salt; map columns cannot be hashed.
-    cols = list(salt_cols or [f.name for f in big.schema.fields if not isinstance(f.dataType, T.MapType)])
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(parts))).otherwise(F.lit(0))
-    b = big.join(flag, key, "left").withColumn("_salt", salt).drop("_hot")
-    fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    s = small.join(flag, key, "left").withColumn("_salt", F.explode(fan)).drop("_hot")
-    return b.join(s, [key, "_salt"], how).drop("_salt")
+    ``hot`` comes from ``hot_keys``; ``how`` is ``inner`` or ``left`` (rows of ``big`` kept)."""
+    if not hot:
+        return big.join(small, key, how)
+    schema = f"`{key}` {small.schema[key].dataType.simpleString()}, _salts int"
+    flag = F.broadcast(big.sparkSession.createDataFrame(hot, schema))
+    plain = [f.name for f in big.schema.fields if not isinstance(f.dataType, T.MapType)]  # maps can't be hashed
+    place = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in plain])
+    b = big.withColumn("_place", place).join(flag, key, "left")
+    b = b.withColumn("_salt", F.coalesce(F.pmod(F.col("_place"), F.col("_salts")), F.lit(0)).cast("int"))
+    s = small.join(flag, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    )
+    return b.drop("_place", "_salts").join(s.drop("_salts"), [key, "_salt"], how).drop("_salt")
 
 
 def join_per_key(
@@ -78,7 +76,6 @@ def join_per_key(
     ``counts`` gives rows of ``big`` per key (``key, count_col``); when absent it is computed
     by a grouped count (partially aggregated map-side).
     """
-    p = target_parts(big, parts)
     if counts is None:
         counts = big.groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
-    return salted_join(big, small, key, hot_keys(counts, key, count_col, p), p, how)
+    return salted_join(big, small, key, hot_keys(counts, key, count_col, target_parts(big, parts)), how)

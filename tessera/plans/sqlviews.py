@@ -1,36 +1,27 @@
-"""The photo queries as SQL text over temporary views — the same logical plans as the
-DataFrame operators (Catalyst merges the two filters and prunes to four columns either way)."""
+"""The license query as one SQL statement over the operator's own column and flag names."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.operators.photos import INVALID_COORD
 from tessera.plans.broadcast import row_count_at_most
 
-PREFIX = "tessera_"
-
-
-def register(spark: SparkSession, **tables: DataFrame) -> dict[str, str]:
-    """Register each DataFrame as a session temp view ``tessera_<name>``; returns the names."""
-    names = {}
-    for name, df in tables.items():
-        view = PREFIX + name
-        df.createOrReplaceTempView(view)
-        names[name] = view
-    return names
-
-
-def nonderivative_sql(spark: SparkSession, photos: DataFrame, licenses: DataFrame, max_license_rows: int = 10_000) -> DataFrame:
-    """Photos (``marker = 0``) with valid coordinates and a NonDerivative license, in SQL."""
-    v = register(spark, photos=photos, licenses=licenses)
-    spark.sql(
-        f"SELECT photo_id, longitude, latitude, license FROM {v['photos']} WHERE marker = 0"
-    ).createOrReplaceTempView(PREFIX + "samples")
-    spark.sql(
-        f"SELECT * FROM {PREFIX}samples WHERE longitude <> -1.0 AND latitude <> -1.0 AND license <> ''"
-    ).createOrReplaceTempView(PREFIX + "interesting")
-    hint = "/*+ BROADCAST(l) */ " if row_count_at_most(licenses, max_license_rows) else ""
-    return spark.sql(
-        f"""SELECT {hint}i.* FROM {PREFIX}interesting i JOIN {v['licenses']} l
-            ON try_cast(l.NonDerivative AS INT) = 1 AND i.license = l.name"""
-    )
+STATEMENT = """
+    SELECT {hint} p.photo_id, p.longitude, p.latitude, p.license
+    FROM {photos} AS p JOIN {licenses} AS l ON p.license = l.name
+    WHERE p.marker = 0
+      AND try_cast(l.{flag} AS INT) = 1
+      AND NOT (p.longitude = {invalid} OR p.latitude = {invalid} OR p.license = '')
+"""
+
+
+def nonderivative_sql(
+    spark: SparkSession, photos: DataFrame, licenses: DataFrame, flag: str = "NonDerivative", max_license_rows: int = 10_000
+) -> DataFrame:
+    """Photos (``marker = 0``) with valid coordinates and a license whose ``flag`` is 1, in SQL."""
+    views = {"photos": "tessera_photos", "licenses": "tessera_licenses"}
+    photos.createOrReplaceTempView(views["photos"])
+    licenses.createOrReplaceTempView(views["licenses"])
+    hint = "/*+ BROADCAST(l) */" if row_count_at_most(licenses, max_license_rows) else ""
+    return spark.sql(STATEMENT.format(hint=hint, flag=flag, invalid=INVALID_COORD, **views))

@@ -47,8 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; that value is used as is.
-    Only when nothing is configured (a bare local session, as in tests) is a private folder
-    created, so that ``checkpoint()`` and ALS ``checkpointInterval`` work.
+    Only when nothing is configured in a bare local session (as in tests) is a private folder
+    created; on a cluster a missing setting is an error, as each executor would write to its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")  # one JVM: its own disk is shared
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -6,30 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.codes import shift_codes
-from tessera.plans.layout import ensure_parallelism
 from tessera.sources import schemas as S
 
 
-# Resolved scans per (application, path, spread): like a catalog table, the file listing and
-# footer schema are read once per session; only metadata is kept, never rows.
-_SCANS: dict[tuple[str, str, bool], DataFrame] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One parquet table of the driver's test data.
-
-    ``spread`` re-distributes a scan that has fewer partitions than task slots (see
-    ``ensure_parallelism``); column pruning and filters still reach the parquet reader.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path, spread)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        if spread:
-            df = ensure_parallelism(df)
-        _SCANS[key] = df
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One parquet table of the driver's test data, as it is now (nothing is kept between calls)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_photos(spark: SparkSession, path: str) -> DataFrame:
@@ -102,11 +84,12 @@ def read_credit(spark: SparkSession, path: str, shift: bool = True) -> DataFrame
 
 
 def read_boxes(spark: SparkSession, path: str) -> DataFrame:
-    """Region boxes from a CSV with header ``code,min_lon,min_lat,max_lon,max_lat,c_lon,c_lat``
-    and optionally ``ord``. Without ``ord``, file order is used (ties go to the earlier box)."""
+    """Region boxes from a CSV with header ``code,ord,min_lon,min_lat,max_lon,max_lat,c_lon,c_lat``
+    (in any order). ``ord`` is required: ties go to the smaller one, and rows read by several tasks have
+    no order of their own."""
     df = spark.read.csv(path, header=True, inferSchema=False)
     if "ord" not in df.columns:
-        df = df.withColumn("ord", F.monotonically_increasing_id())
+        raise ValueError("the box file needs an ord column: which of two equally near boxes wins")
     return df.select(
         F.col("code"),
         F.col("ord").cast("long").alias("ord"),

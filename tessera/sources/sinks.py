@@ -29,7 +29,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def write_user_ratings(df: DataFrame, path: str, single_file: bool = True) -> None:
+def write_user_ratings(df: DataFrame, path: str, single_file: bool = False) -> None:
     """One user's ``item_id, title, rating`` as CSV; unknown ratings (0) are not written."""
     write_csv(
         df.filter(F.col("rating") != 0).select(

@@ -29,8 +29,8 @@ def start_tag_freq(
     source_dir: str,
     boxes: DataFrame,
     query_name: str = "tag_freq",
-    sink: str = "memory",
-    output_mode: str = "complete",
+    sink: str = "console",
+    output_mode: str = "update",
     checkpoint: str | None = None,
 ) -> StreamingQuery:
     """Start the stream. State and progress go to the shared checkpoint folder, so a restarted

@@ -61,7 +61,7 @@ def test_grid_report_and_fit_or_load(spark, tmp_out):
     assert [x.label for x in got] == ["Rank2Iteration3Lambda0.10", "Rank3Iteration3Lambda1.00"]
     assert als.best_config(rep).count() == 1
     calls = []
-    again = fit_or_load(f"{tmp_out}/models/Rank2Iteration3Lambda0.10", lambda: calls.append(1), als.ALSModel.load)
+    again = fit_or_load(f"{tmp_out}/models/{als.model_key(2, 3, 0.1, 'user', 1)}", lambda: calls.append(1), als.ALSModel.load)
     assert not calls and again.rank == 2
 
 
@@ -78,3 +78,43 @@ def test_same_seed_same_model(spark):
     assert [x.id for x in a] == [x.id for x in b]
     for x, y in zip(a, b):
         assert max(abs(p - q) for p, q in zip(x.features, y.features)) < 1e-6
+
+
+def test_two_normalisations_share_a_folder(spark, tmp_out):
+    r = _ratings(spark)
+    got = {}
+    for how in ("none", "max", "none"):
+        data = R.normalize(r, how)
+        train, test = R.hash_split(als.IdMap(r).to_int(data), ["user_id", "item_id"], (0.8, 0.2), seed=5)
+        rep = als.grid_report(train, test, [(2, 3, 0.1)], seed=1, model_dir=f"{tmp_out}/m", normalization=how)
+        got.setdefault(how, []).append(rep.first().mse)
+    assert got["none"][0] == pytest.approx(got["none"][1]) and got["max"][0] < got["none"][0]
+
+
+def test_a_broken_saved_model_is_not_overwritten(spark, tmp_out):
+    spark.createDataFrame([("not a model",)], "value string").write.text(f"{tmp_out}/m/metadata")
+    with pytest.raises(Exception):
+        fit_or_load(f"{tmp_out}/m", lambda: pytest.fail("fitted"), als.ALSModel.load)
+    assert spark.read.text(f"{tmp_out}/m/metadata").first().value == "not a model"
+
+
+def test_second_recommendation_trains_nothing(spark, tmp_out, monkeypatch):
+    r = _ratings(spark)
+    prof = spark.createDataFrame([(1, "t1", 5), (2, "t2", 4)], "item_id long, title string, rating int")
+    kw = dict(n=5, rank=3, max_iter=3, reg=0.1, seed=1, model_path=f"{tmp_out}/model")
+    first = als.recommend_new_user(r, prof, -1, **kw).collect()
+    monkeypatch.setattr(als, "fit", lambda *a, **k: pytest.fail("trained again"))
+    assert als.recommend_new_user(r, prof, -1, **kw).collect() == first and len(first) == 5
+
+
+def test_factors_carry_the_original_ids(spark):
+    r = _ratings(spark).withColumn("user_id", F.col("user_id") + F.lit(10**12))
+    ids = als.IdMap(r)
+    model = als.fit(ids.to_int(r), 2, 2, 0.1, seed=1)
+    got = {x.id for x in ids.user_from_int(model.userFactors, "id").collect()}
+    assert got == {10**12 + i for i in range(60)}
+
+
+def test_blocks_follow_the_rows():
+    assert als.block_count(1000) == 10
+    assert als.block_count(10**10) == 317

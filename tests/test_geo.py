@@ -30,17 +30,17 @@ SPOT_CHECKS = [
 def _assign(spark, pts, boxes, strategy, **kw):
     p = spark.createDataFrame(pts, "id long, lon double, lat double")
     b = spark.createDataFrame(boxes, BOX_SCHEMA)
-    return geo.assign_region(p, b, strategy=strategy, id_col="id" if strategy == "range" else None, **kw)
+    return geo.assign_region(p, b, strategy=strategy, **kw)
 
 
-@pytest.mark.parametrize("strategy", ["grid", "range"])
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
 def test_spot_checks(spark, strategy):
     pts = [(i, lon, lat) for i, (lat, lon, _) in enumerate(SPOT_CHECKS)]
     got = {r.id: (r.region, r.region_ord) for r in _assign(spark, pts, REAL_BOXES, strategy).collect()}
     assert got == {0: ("FR", 77), 1: ("BE", 19), 2: ("BE", 19), 3: ("FR", 77)}
 
 
-@pytest.mark.parametrize("strategy", ["grid", "range"])
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
 def test_edges_ties_and_degenerate_boxes(spark, strategy):
     boxes = [
         ("A", 0, 0.0, 0.0, 10.0, 10.0, 5.0, 5.0),
@@ -77,7 +77,7 @@ def test_duplicates_kept(spark):
     assert out.count() == 3
 
 
-def test_grid_equals_range_random(spark):
+def test_strategies_equal_brute_force(spark):
     rnd = random.Random(7)
     boxes = []
     for i in range(60):
@@ -86,8 +86,8 @@ def test_grid_equals_range_random(spark):
         boxes.append((f"R{i}", i, x, y, x + w, y + h, x + w / 2, y + h / 2))
     pts = [(i, round(rnd.uniform(-180, 180), 2), round(rnd.uniform(-90, 90), 2)) for i in range(3000)]
     pts += [(10_000 + i, b[2], b[3]) for i, b in enumerate(boxes)]  # box corners
-    grid = rows(_assign(spark, pts, boxes, "grid", cell=2.0), "id", "region", "region_ord")
-    rng = rows(_assign(spark, pts, boxes, "range"), "id", "region", "region_ord")
+    grid = rows(_assign(spark, pts, boxes, "broadcast"), "id", "region", "region_ord")
+    rng = rows(_assign(spark, pts, boxes, "shuffle"), "id", "region", "region_ord")
     assert grid == rng
     # brute force on the driver, for the fixture only
     def best(lon, lat):
@@ -101,10 +101,31 @@ def test_grid_equals_range_random(spark):
     assert {g[0]: g[1] for g in grid} == {p[0]: best(p[1], p[2]) for p in pts}
 
 
-def test_cell_size_grows_under_budget(spark):
-    b = spark.createDataFrame([("A", 0, -180.0, -90.0, 180.0, 90.0, 0.0, 0.0)], BOX_SCHEMA)
-    size, n = geo.choose_cell_size(geo.usable_boxes(b), 1.0, 1000)
-    assert n <= 1000 and size > 1.0
+def test_listing_is_bounded_by_the_boxes(spark):
+    rnd = random.Random(3)
+    boxes = []
+    for i in range(500):
+        x, y, w = rnd.uniform(-180, 180), rnd.uniform(-90, 90), 10 ** rnd.uniform(-8, 2.5)
+        boxes.append((f"R{i}", i, x, y, x + w, y + w / 3, x, y))
+    good = geo.usable_boxes(spark.createDataFrame(boxes, BOX_SCHEMA))
+    assert geo.listing(good).count() <= 4 * len(boxes)
+
+
+def test_more_boxes_than_the_broadcast_bound(spark):
+    """The default goes over to the shuffle join, with the same answers."""
+    rnd = random.Random(4)
+    boxes = [(f"R{i}", i, x, 0.0, x + 0.4, 0.4, x + 0.2, 0.2) for i, x in enumerate(rnd.uniform(0, 3) for _ in range(200))]
+    pts = [(i, round(rnd.uniform(0, 3), 3), 0.1) for i in range(400)]
+    over = geo.assign_region(
+        spark.createDataFrame(pts, "id long, lon double, lat double"), spark.createDataFrame(boxes, BOX_SCHEMA), max_broadcast_boxes=20
+    )
+    want = rows(_assign(spark, pts, boxes, "broadcast"), "id", "region", "region_ord")
+    assert rows(over, "id", "region", "region_ord") == want
+    from tessera.plans.inspect import physical_operators
+
+    assert "BroadcastNestedLoopJoin" not in physical_operators(over)
+    with pytest.raises(ValueError, match="shuffle"):
+        geo.assign_region(over.select("id", "lon", "lat"), spark.createDataFrame(boxes, BOX_SCHEMA), strategy="broadcast", max_broadcast_boxes=20)
 
 
 def test_grid_plan_has_no_shuffle_of_points(spark):

@@ -56,3 +56,19 @@ def test_running_sum_and_dense_index(spark):
     assert got == want
     idx = dict(rows(prefix.dense_index(df.union(df), "k", buckets=16), "k", "idx"))
     assert idx == {v: i for i, v in enumerate(sorted(vals))}
+
+
+def test_auc_of_very_large_counts(spark):
+    from tessera.operators.metrics import auc_of_counts
+
+    n = 3 * 10**9
+    counts = spark.createDataFrame([(0.1, 0, n, 0), (0.5, n, n, n), (0.9, n, 0, 2 * n)], "score double, _p long, _q long, _below long")
+    row = auc_of_counts(counts).first()
+    assert abs(row.auc - (1 * 1.5 / 2 + 1 * 2 / 2) / 2) < 1e-12
+    assert (row.n_pos, row.n_neg) == (2 * n, 2 * n)
+
+
+def test_auc_leaves_out_rows_without_a_label(spark):
+    df = spark.createDataFrame([(1.0, 0.9), (0.0, 0.1), (None, 0.5), (1.0, None)], "label double, score double")
+    row = metrics.auc(df).first()
+    assert (row.auc, row.n_pos, row.n_neg) == (1.0, 1, 1)

@@ -111,3 +111,9 @@ def test_hash_split_xxhash_variant(spark):
     train, test = R.hash_split(df, ["user_id", "item_id"], (0.8, 0.2), seed=5, fn="xxhash64")
     a, b = {r.user_id for r in train.collect()}, {r.user_id for r in test.collect()}
     assert not a & b and len(a | b) == 20000 and 0.77 < len(a) / 20000 < 0.83
+
+
+def test_small_weight_keeps_its_share(spark):
+    df = spark.range(100_000).selectExpr("id as user_id", "id as item_id")
+    big, small = R.hash_split(df, ["user_id"], (0.9996, 0.0004), seed=5)
+    assert 10 < small.count() < 90 and big.count() + small.count() == 100_000

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from conftest import rows
 from tessera.sources import readers, sinks
 
@@ -34,9 +36,13 @@ def test_movies_and_ratings_readers(spark, tmp_out):
 
 def test_read_boxes(spark, tmp_out):
     with open(f"{tmp_out}/b.csv", "w") as f:
-        f.write("code,min_lon,min_lat,max_lon,max_lat,c_lon,c_lat\nAA,0,0,1,1,0.5,0.5\nBB,0,0,1,1,0.5,0.5\n")
+        f.write("code,ord,min_lon,min_lat,max_lon,max_lat,c_lon,c_lat\nAA,0,0,0,1,1,0.5,0.5\nBB,1,0,0,1,1,0.5,0.5\n")
     b = readers.read_boxes(spark, f"{tmp_out}/b.csv").collect()
     assert [x.code for x in sorted(b, key=lambda x: x.ord)] == ["AA", "BB"]
+    with open(f"{tmp_out}/c.csv", "w") as f:
+        f.write("code,min_lon,min_lat,max_lon,max_lat,c_lon,c_lat\nAA,0,0,1,1,0.5,0.5\n")
+    with pytest.raises(ValueError, match="ord"):
+        readers.read_boxes(spark, f"{tmp_out}/c.csv")
 
 
 def test_grid_report_format(spark, tmp_out):

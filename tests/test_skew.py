@@ -18,8 +18,10 @@ def _skewed(spark, n=30000):
 def test_hot_keys_bounded(spark):
     df = _skewed(spark)
     counts = df.groupBy("user_id").count().withColumnRenamed("count", "n")
-    hot = [r.user_id for r in skew.hot_keys(counts, "user_id", "n", 8).collect()]
-    assert hot[0] == 7 and len(hot) == 8  # bounded by parts; the hot user first
+    hot = skew.hot_keys(counts, "user_id", "n", 8)
+    assert hot == [(7, 3)]  # a third of 8 partitions; nobody else is hot
+    uniform = spark.range(8000).selectExpr("id % 1000 as user_id").groupBy("user_id").count().withColumnRenamed("count", "n")
+    assert skew.hot_keys(uniform, "user_id", "n", 200) == []
 
 
 def test_salted_join_equals_plain_join_and_spreads(spark):
@@ -28,8 +30,15 @@ def test_salted_join_equals_plain_join_and_spreads(spark):
     plain = rows(df.join(avg.select("user_id", "avg_rating"), "user_id"))
     salted_df = skew.join_per_key(df, avg.select("user_id", "avg_rating"), "user_id", parts=8)
     assert rows(salted_df) == plain
-    parts = salted_df.filter("user_id = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert parts > 1  # the hot user is no longer in a single task
+    assert "_salt" not in salted_df.columns
+
+
+def test_hot_rows_spread_evenly_over_the_salts(spark):
+    df = _skewed(spark).repartition(4)
+    salts = 3
+    place = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    sizes = [r["count"] for r in df.filter("user_id = 7").groupBy(F.pmod(place, F.lit(salts))).count().collect()]
+    assert len(sizes) == salts and max(sizes) < 1.5 * sum(sizes) / salts
 
 
 def test_above_avg_under_skew_matches_pandas(spark):
