@@ -15,7 +15,14 @@ from pyspark.sql.types import StructType
 from tessera.session import shared_path
 
 #: Texts that a Python task holds at once, in UTF-8 bytes (one longer text is held alone).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+#: The Arrow batches that tasks send to Python and back, in bytes (a longer row goes alone).
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by ``BATCH_BYTES``: Spark's default is eight times as much for each of several copies."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +49,7 @@ def crc_of_id(column: str = "doc_id") -> F.Column:
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches so that each slice holds at most ``SLICE_BYTES`` of text (or one row);
     yields the slice and its texts as UTF-8 bytes (null: empty)."""
+    pa.set_memory_pool(pa.system_memory_pool())  # gives memory back between batches
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
         sizes = np.asarray([0 if not v.is_valid else v.as_buffer().size for v in col], np.int64)

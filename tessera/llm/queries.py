@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import ann, bitpack, bpe, decontaminate, jaccard, license, quality, repeats, shards, urls
-from tessera.llm.common import crc_of_id, table
+from tessera.llm.common import crc_of_id, small_batches, table
 
 REGISTRY = {}
 ORACLE: dict[str, str] = {}
 
 
 def register(fn):
-    REGISTRY[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf_dir)
+
+    REGISTRY[fn.__name__] = query
+    return query
 
 
 def tokenizer(name: str) -> str:
@@ -128,3 +135,66 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs.select("doc_id", "text"), model).select(
         "doc_id", held.alias("held_out"), "score", "predicted"
     )
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _case(listed: dict[str, str]) -> str:
+    """The longest rule that fits, as SQL."""
+    parts = []
+    for rule in sorted(listed, key=len, reverse=True):
+        host, slash, path = rule.partition("/")
+        parts.append(f"WHEN (host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '{slash}{path}') THEN '{rule}'")
+    return f"CASE {' '.join(parts)} END"
+
+
+def _verdict(column: str, listed: dict[str, str]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in listed.items()) + " END"
+
+
+ORACLE["op6_url_filter"] = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3 :] ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+ruled AS (SELECT *, {_case(urls.RULES)} AS rule, {_case(urls.LISTED)} AS listed FROM parts)
+SELECT page_id, host, path, rule, coalesce({_verdict("rule", urls.RULES)}, {_verdict("listed", urls.LISTED)}, 'allow') AS verdict
+FROM ruled"""
+
+_WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE["op7_decontaminate"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, w[i : i + least(13, len(w)) - 1] AS v
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+place AS (
+  SELECT r, n, i, w[i : i + n - 1] AS v
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT len(v) AS n FROM win) WHERE len(w) >= n)),
+found AS (SELECT place.r, place.n, place.i, win.item_id FROM place JOIN win ON place.v = win.v),
+hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+its AS (
+  SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)"""
+
+ORACLE["op8_jaccard_join"] = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, w[i : i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS MATERIALIZED (
+  SELECT c.a, c.b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2) c
+  JOIN n na ON na.doc_id = c.a JOIN n nb ON nb.doc_id = c.b
+  WHERE 100 * shared >= 90 * (na.n + nb.n - shared)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.b) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.n"""

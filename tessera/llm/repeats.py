@@ -42,7 +42,8 @@ CHUNK = 1 << 20
 BLOCK_TEXT = 16 << 20
 LOCALLY_HOT = 64
 LIMIT = 4096
-BATCH = 16_384
+BATCH = 8_192
+CONTEXTS = 4_096
 BASE = 0x9E3779B97F4A7C15
 PLACE = np.uint64((1 << 21) - 1)
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -57,7 +58,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Roller:
     """Polynomial hashes of substrings, modulo 2^64."""
 
-    def __init__(self, length: int):
+    def __init__(self, chunk: int, size: int):
+        self.chunk, length = chunk, chunk + 4 * size
         inverse = np.uint64(pow(BASE, -1, 2**64))
         self.power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(length, BASE, np.uint64)]), dtype=np.uint64)
         self.back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(length, inverse, np.uint64)]), dtype=np.uint64)
@@ -88,10 +90,10 @@ def anchors(text: bytes, roller: Roller, size: int, q: int) -> tuple[np.ndarray,
     """Anchor, left and right reach, hash of the anchor's bytes, hash of the context."""
     data, w = np.frombuffer(text, np.uint8), size - q + 1
     found = []
-    for lo in range(0, len(data) - size + 1, CHUNK):
-        a, b = max(0, lo - size), min(len(data), lo + CHUNK + 2 * size)
+    for lo in range(0, len(data) - size + 1, roller.chunk):
+        a, b = max(0, lo - size), min(len(data), lo + roller.chunk + 2 * size)
         prefix = roller.prefix(data[a:b])
-        places = np.arange(lo - a, min(lo + CHUNK - 1 + size, len(data)) - q + 1 - a)
+        places = np.arange(lo - a, min(lo + roller.chunk - 1 + size, len(data)) - q + 1 - a)
         at = window_argmin(roller.of(prefix, places, q), w) + (lo - a)
         left = np.minimum(at + a, size - q)
         right = np.minimum(len(data) - (at + a) - q, size - q)
@@ -157,7 +159,7 @@ def entries(docs: DataFrame, n_slices: int, size: int, q: int) -> DataFrame:
     hot = LOCALLY_HOT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller = Roller(CHUNK + 4 * size)
+        roller = Roller(CHUNK, size)
 
         def finish(found):
             row, at, left, right, bucket, context = (np.concatenate(c) for c in zip(*found, strict=True))
@@ -289,16 +291,24 @@ def contexts(docs: DataFrame, wanted: DataFrame, q: int) -> DataFrame:
     names = [c.split()[0] for c in CONTEXT_SCHEMA.split(", ")]
 
     def run(batches):
+        types = {"context": pa.binary(), "hot": pa.bool_(), "left": pa.int32(), "right": pa.int32(), "weight": pa.int32()}
+
+        def batch_of_contexts(out):
+            return pa.RecordBatch.from_arrays([pa.array(out[n], types.get(n, pa.int64())) for n in names], names=names)
+
+        out: dict[str, list] = {n: [] for n in names}
         for part, texts in slices(batches):
-            out = {n: [] for n in names}
-            for row, asked, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, strict=True):
-                for c in asked:
+            for row, asked, text in zip(part.column(0), part.column(1), texts, strict=True):
+                for c in asked.as_py():
                     for n in ("bucket", "at", "left", "right", "weight", "hot"):
                         out[n].append(c[n])
-                    out["row"].append(row)
+                    out["row"].append(row.as_py())
                     out["context"].append(text[c["at"] - c["left"] : c["at"] + q + c["right"]])
-            types = {"context": pa.binary(), "hot": pa.bool_(), "left": pa.int32(), "right": pa.int32(), "weight": pa.int32()}
-            yield pa.RecordBatch.from_arrays([pa.array(out[n], types.get(n, pa.int64())) for n in names], names=names)
+                    if len(out["row"]) >= CONTEXTS:
+                        yield batch_of_contexts(out)
+                        out = {n: [] for n in names}
+        if out["row"]:
+            yield batch_of_contexts(out)
 
     return joined.mapInArrow(run, CONTEXT_SCHEMA)
 
