@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, jaccard, quality, repeats
-from tessera.llm.common import crc_of_id, scratch, table
+from tessera.llm.common import crc_of_id, scratch, small_batches, table
 from tessera.llm.queries import tokenizer
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     held = F.coalesce(crc_of_id() % 5 == 0, F.lit(False))
     model = quality.fit(docs, table(spark, sf_dir, "labels").filter(~held))
     return quality.accepted(docs, model)
@@ -57,6 +58,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch(spark, f"pipeline-{name}")
