@@ -114,8 +114,8 @@ def boost(x: np.ndarray, y: np.ndarray, trees=80, depth=4, bins=64, rate=0.15, l
     """Fit the trees to statistics ``x`` and labels ``y`` (0 or 1)."""
     inner, leaves = 2**depth - 1, 2**depth
     share = float(y.mean()) if len(y) else 0.5
-    if not 0 < share < 1:
-        base = float(np.clip(np.log(max(share, 1e-9) / max(1 - share, 1e-9)), -20, 20))
+    if not len(y) or not 0 < share < 1:
+        base = 0.0 if not len(y) else float(np.clip(np.log(max(share, 1e-9) / max(1 - share, 1e-9)), -20, 20))
         return Trees(base, depth, np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, leaves)))
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for c in x.T]
     binned = np.stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T, strict=True)])
