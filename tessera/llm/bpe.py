@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,7 +39,7 @@ from pyspark.sql.types import StructType
 
 from tessera.llm.common import SLICE_BYTES, slices, written
 
-BLOCK_TEXT = 16 << 20
+BLOCK_TEXT = 8 << 20
 BLOCK_ROWS = 1 << 16
 WORDS_KEPT = 300_000
 #: Fixed value: how the vocabulary's pre-tokenizer splits a text
@@ -80,29 +81,55 @@ class Words:
         self.any = regex.compile(SPLIT)
         self.ascii = re.compile(ASCII_SPLIT)
 
+    #: white space of two or more characters, or at an end
+    WIDE = re.compile(r"\s\s|\A\s|\s\Z")
+    #: other white space than a space and a line feed
+    OTHER = re.compile(r"[^\S \n]")
+    #: a comma or full stop before white space that doesn't follow an ASCII letter or digit
+    STOP = re.compile(r"[^A-Za-z0-9][,.](?:[ \n]|\Z)")
+
     def of(self, text: str) -> list[str]:
+        """The text's words, as keys (see ``literal``).
+
+        Between characters that aren't white space, a single space starts a word and a line feed is one; so does a comma
+        or full stop behind an ASCII letter or digit and before white space. Where all white space is so, that
+        gives the words without a pattern for each; other texts go through the pre-tokenizer's pattern."""
+        if "\0" in text or self.WIDE.search(text) or self.OTHER.search(text):
+            return [w[1:] if w[0] == " " and w[1:2] not in ("", "\0", "\n") else f"\0{w}" for w in self.pattern(text)]
+        if not self.STOP.search(text):
+            text = text.replace(", ", " \0, ").replace(". ", " \0. ").replace(".\n", " \0.\n")
+        return f"\0{text}".replace("\n", " \n \0").split(" ")
+
+    @staticmethod
+    def literal(key: str) -> str:
+        """What a key stands for: a line feed, what follows a NUL, or a space and the key."""
+        return key if key == "\n" else key[1:] if key[:1] == "\0" else f" {key}"
+
+    def pattern(self, text: str) -> list[str]:
         find = self.ascii.findall if text.isascii() else self.library if unassigned().search(text) else self.any.findall
         if not any(a in text for a in self.added):
             return find(text)
         out = []
         for i, part in enumerate(self.cut.split(text)):
             out += [part] if i % 2 else find(part)
-        return out
+        return [w for w in out if w]
 
     def library(self, text: str) -> list[str]:
         """Split by the library itself."""
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, as little-endian 32-bit numbers."""
-        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
-
-    def distinct(self, texts: list[list[str]], n_slices: int) -> list[tuple[int, list[str]]]:
-        """The distinct words by slice."""
-        by: dict[int, list[str]] = {}
-        for w in dict.fromkeys(w for text in texts for w in text):
-            by.setdefault(xxhash.xxh64_intdigest(w.encode()) % n_slices, []).append(w)
+    def encode(self, keys: list[str]) -> list[bytes]:
+        """The ids of each key, as little-endian 32-bit numbers."""
+        got = self.tokenizer.encode_batch_fast([self.literal(k) for k in keys], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in got]
+
+    @staticmethod
+    def by_slice(keys: set[str], n_slices: int) -> list[tuple[int, list[bytes]]]:
+        """The keys as UTF-8, by slice."""
+        by: dict[int, list[bytes]] = {}
+        for k in keys:
+            data = k.encode()
+            by.setdefault(xxhash.xxh64_intdigest(data) % n_slices, []).append(data)
         return sorted(by.items())
 
 
@@ -172,16 +199,16 @@ def asked_words(docs: DataFrame, text: str, tokenizer_path: str, n_slices: int)
     def run(batches):
         words = words_for(tokenizer_path)
         for block, _, texts in blocks_of(batches, "__text"):
-            split = [words.of(t.decode()) for t in texts]
-            own = words.distinct(split, n_slices)
-            if own:
-                yield rows(block, 0, [(s, pack_strings([w.encode() for w in ws])) for s, ws in own])
+            own: set[str] = set()
+            for t in texts:
+                own.update(words.of(t.decode()))
+            yield rows(block, 0, [(s, pack_strings(ws)) for s, ws in words.by_slice(own, n_slices)])
 
     return docs.select(F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(run, ROW_SCHEMA)
 
 
 def answers(asked: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Encode each slice's distinct words once; the ids of the words that each block asked for."""
+    """Encode each slice's distinct words once; the words that each block asked for, and their ids."""
 
     def run(batches):
         words, known, now = words_for(tokenizer_path), {}, None
@@ -192,7 +219,7 @@ def answers(asked: DataFrame, tokenizer_path: str) -> DataFrame:
                 own = unpack_strings(payload)
                 new = [w for w in own if w not in known]
                 known.update(zip(new, words.encode([w.decode() for w in new]), strict=True))
-                yield rows(block, 0, [(part, pack_strings([known[w] for w in own]))])
+                yield rows(block, 0, [(part, pack_strings(own + [known[w] for w in own]))])
 
     n = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return asked.repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(run, ROW_SCHEMA)
@@ -229,42 +256,40 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, text: str = "text", stab
     def run(batches):
         words = words_for(tokenizer_path)
         pieces = Pieces(words.tokenizer)
-        held, now = {}, None
+        ids: dict[str, bytes] = {}
+        now = None
         for batch in batches:
-            for block, kind, part, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if block != now:
-                    held, now = {}, block
-                if kind == 0:
-                    held[part] = payload
+            for block, kind, _, payload in zip(*batch.columns, strict=True):
+                if block.as_py() != now:
+                    ids, now = {}, block.as_py()
+                if kind.as_py() == 0:
+                    got = unpack_strings(payload.as_py())
+                    half = len(got) // 2
+                    ids.update(zip([w.decode() for w in got[:half]], got[half:], strict=True))
                     continue
-                stream = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(payload))
-                parts = list(stream)
-                texts = [t or "" for p in parts for t in p.column(len(kept)).to_pylist()]
-                split = [words.of(t) for t in texts]
-                ids: dict[str, bytes] = {}
-                for s, own in words.distinct(split, n_slices):
-                    if s not in held:
-                        raise RuntimeError("the documents' partitions came out differently: pass stable=False")
-                    ids.update(zip(own, unpack_strings(held[s]), strict=True))
-                at = 0
-                for p in parts:
-                    yield from joined(p, split[at : at + len(p)], ids, pieces)
-                    at += len(p)
-
-    def joined(part, split, ids, pieces):
-        look = ids.__getitem__
-        encoded = [b"".join(map(look, words)) for words in split]
-        lo = 0
-        while lo < len(encoded):  # pieces of bounded size
-            hi, size = lo, 0
-            while hi < len(encoded) and (hi == lo or size + len(encoded[hi]) <= SLICE_BYTES):
-                size += len(encoded[hi])
-                hi += 1
-            decoded = [pieces.decode(e) for e in encoded[lo:hi]]
+                for part in pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(payload.as_py())):
+                    yield from joined(part, words, ids, pieces)
+
+    def joined(part, words, ids, pieces):
+        lo, encoded, decoded, size = 0, [], [], 0
+
+        def cut(hi):
             own = part.slice(lo, hi - lo)
-            cols = [*own.columns[: len(kept)], pa.array(encoded[lo:hi], pa.binary()), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*kept, "ids", "decoded"])
-            lo = hi
+            cols = [*own.columns[: len(kept)], pa.array(encoded, pa.binary()), pa.array(decoded, pa.string())]
+            return pa.RecordBatch.from_arrays(cols, names=[*kept, "ids", "decoded"])
+
+        for i, text in enumerate(part.column(len(kept))):
+            try:
+                encoded.append(b"".join(map(ids.__getitem__, words.of(text.as_py() or ""))))
+            except KeyError as e:
+                raise RuntimeError("the documents' partitions came out differently: pass stable=False") from e
+            decoded.append(pieces.decode(encoded[-1]))
+            size += len(encoded[-1])
+            if size >= SLICE_BYTES:  # batches of bounded size
+                yield cut(i + 1)
+                lo, encoded, decoded, size = i + 1, [], [], 0
+        if encoded:
+            yield cut(len(part))
 
     return (
         answered.unionByName(texts_of(docs, "__text"))
