@@ -17,7 +17,7 @@ def test_stream_updates_counts(spark, tmp_out):
     boxes = spark.createDataFrame([("A", 0, 0.0, 0.0, 10.0, 10.0, 5.0, 5.0)], BOX_SCHEMA)
     with open(f"{src}/a.tsv", "w") as f:
         f.write(_line(1, 5, 5, "x,y") + "\n" + _line(2, 50, 50, "x") + "\n")
-    q = start_tag_freq(spark, src, boxes, query_name="tf_test", checkpoint=f"{tmp_out}/ckpt")
+    q = start_tag_freq(spark, src, boxes, query_name="tf_test", sink="memory", output_mode="complete", checkpoint=f"{tmp_out}/ckpt")
     try:
         q.processAllAvailable()
         assert rows(spark.table("tf_test")) == [("A", "x", 1), ("A", "y", 1)]
