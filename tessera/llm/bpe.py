@@ -39,7 +39,7 @@ from pyspark.sql.types import StructType
 
 from tessera.llm.common import SLICE_BYTES, slices, written
 
-BLOCK_TEXT = 8 << 20
+BLOCK_TEXT = 16 << 20
 BLOCK_ROWS = 1 << 16
 WORDS_KEPT = 300_000
 #: Fixed value: how the vocabulary's pre-tokenizer splits a text
@@ -234,7 +234,7 @@ def texts_of(docs: DataFrame, text: str) -> DataFrame:
             with pa.ipc.new_stream(sink, parts[0].schema) as out:
                 for p in pa.Table.from_batches(parts).combine_chunks().to_batches():
                     out.write_batch(p)
-            yield rows(block, 1, [(0, zstandard.ZstdCompressor(level=3).compress(sink.getvalue()))])
+            yield rows(block, 1, [(0, zstandard.ZstdCompressor(level=6).compress(sink.getvalue()))])
 
     return docs.mapInArrow(run, ROW_SCHEMA)
 
