@@ -6,18 +6,20 @@ two sketches is never above the size of the symmetric difference. Sizes are cut
 sets differ in at most D shingles, so if the sketch is split into more than D parts, some part is equal in
 both (pigeonhole). A set is listed under its own band and under the lower band that a smaller partner may
 be in. A part is keyed by the XOR of its shingles' hashes.
-Parts without a shingle are alike in all documents: with P = D + 1 + z parts, at least
-z + 1 are equal, so a document with at most z empty parts leaves them out and still loses no partner.
+Parts with few shingles, or none, are alike in many documents. With P parts, at least P - D of a linked pair's are equal,
+and equal parts are equally light: so a document with fewer than P - D light parts leaves them out and still loses no
+partner, whose heavy parts are always listed. P is chosen so that nearly all documents can.
 
 1. ``sketch_blocks``: each block of texts (some megabytes) yields the documents' sizes and set digests, the edges
    between its own documents that share a key, and one entry per key, sorted and packed by slices of
    the key space. So a hot key has one entry per block, however many documents hold it.
 2. ``shared_keys``: each slice joins the entries of all blocks and links the holders of a key in a star.
 3. Equal sets become one class. Components of the star edges are candidate families; every linked pair lies inside one.
-4. ``verify``: a family's classes are dealt into blocks of about ``BLOCK``; each meets the family's first block (the hub). In a
-   task, size and Hamming bounds drop most pairs, the rest are verified on the sets, except pairs that are already
-   connected. Only a family of several blocks needs a second round: there, classes that the hub round
-   connected form blocks of their own, and only blocks of different components meet.
+4. ``verify``: the classes of a family meet in a task. Size and Hamming bounds drop most pairs, the rest are verified on the
+   sets, except pairs that are already connected. A family of more than ``BLOCK`` classes is dealt by size (linked
+   sets are in the same or in neighbouring steps) and into blocks; each block first meets the first block of its step (the hub).
+   In a second round, classes that the hubs connected form blocks of their own, and only blocks of neighbouring steps
+   and different components meet.
 
 So no bucket is expanded into pairs of rows, no link between different components is lost, and the components are exact
 (but for collisions of 64-bit shingle hashes, and of 128-bit set digests).
@@ -112,10 +114,19 @@ class Bands:
             high = max(low + 1, math.floor(low * RATIO))
             self.edges.append(high)
             most = (high - 1) * (100 - self.percent) // self.percent  # largest difference of linked sets
-            parts = most + 1
-            for _ in range(20):
-                parts = most + 1 + math.ceil(1.5 * parts * math.exp(-low / parts)) + 1
-            self.parts.append((parts, most))
+            self.parts.append((*self.split(high - 1, most), most))
+
+    @staticmethod
+    def split(size: int, most: int) -> tuple[int, int]:
+        """(parts, light): as many parts that, of a set of that size, more than ``most`` hold at least ``light``
+        shingles, with two deviations to spare; the largest ``light`` that fewer than 1.6 times ``most`` parts allow."""
+        for light in (4, 3, 2, 1):
+            for parts in range(most + 2, max(most + 3, int(1.6 * (most + 1)) + 2)):
+                mean = size / parts
+                share = math.exp(-mean) * sum(mean**i / math.factorial(i) for i in range(light))
+                if parts * (1 - share) - 2 * math.sqrt(parts * share * (1 - share)) >= most + 1:
+                    return parts, light
+        return most + 2, 1
 
     def of(self, size: int) -> list[int]:
         """The band of a size, and the lower ones that hold possible smaller partners."""
@@ -132,14 +143,17 @@ class Bands:
         out = [np.array([xxhash.xxh64_intdigest(s.tobytes())], np.uint64)]
         spread = mix(s ^ M3)
         for band in self.of(len(s)):
-            parts, most = self.parts[band]
+            parts, light, most = self.parts[band]
             if most == 0:
                 continue  # only equal sets link: the digest's key finds them
             part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # sorted, as the set is
             first = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
             value, number = np.bitwise_xor.reduceat(spread, first), part[first]
-            empty = parts - len(first)
-            if empty > parts - most - 1:  # too many to leave out
+            heavy = np.diff(np.append(first, len(s))) >= light
+            differ = min(most, len(s) * (100 - self.percent) // self.percent)
+            if parts - heavy.sum() < parts - differ:
+                value, number = value[heavy], number[heavy]
+            else:  # too many light parts to leave out
                 none = np.setdiff1d(np.arange(parts, dtype=np.uint64), number)
                 value, number = np.append(value, np.zeros(len(none), np.uint64)), np.append(number, none)
             out.append(mix(value + mix(number * M3 + np.uint64(band + 1))))
@@ -386,11 +400,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sizes = family.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     members = (
         family.join(sizes, "component")
-        .select(F.col("node").alias("class"), F.col("component").alias("family"), F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks"))
-        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+        .select(F.col("node").alias("class"), F.col("component").alias("family"), "members")
         .join(classes, "class")
+        .withColumn("step", F.when(F.col("members") > BLOCK, step_of(F.col("n"), percent)).otherwise(-1))
     )
-    wanted = members.select("doc_id", "class", "family", "blocks", "block", *[F.col(k).alias(f"own_{k}") for k in key])
+    members = written(members, "jaccard-members")
+    units = members.groupBy("family", "step").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+    members = members.join(units, ["family", "step"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    wanted = members.select("doc_id", "class", "family", "step", "blocks", "block", *[F.col(k).alias(f"own_{k}") for k in key])
     held = wanted.join(docs, wanted["doc_id"].eqNullSafe(docs["doc_id"])).drop("doc_id")
     sets = written(
         shingle_sets(held, words).filter("n = own_n and d1 = own_d1 and d2 = own_d2").drop("own_n", "own_d1", "own_d2", *key).dropDuplicates(["class"]),
@@ -401,9 +418,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     others = sets.filter("block > 0").withColumn("to", F.col("block"))
     meetings = hub.withColumn("side", F.lit(0)).union(others.withColumn("side", F.lit(1)))
     first = written(
-        verify(meetings.withColumn("meeting", F.concat_ws(":", "family", "to")).withColumn("joined", F.col("class")), percent), "jaccard-links"
+        verify(meetings.withColumn("meeting", F.concat_ws(":", "family", "step", "to")).withColumn("joined", F.col("class")), percent), "jaccard-links"
     )
-    large = sets.filter("blocks > 1")
+    large = sets.filter("step >= 0")
     found = first
     if large.limit(1).count():
         found = written(first.union(second_round(large, components(first), percent)), "jaccard-links")
@@ -419,12 +436,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     return linked.union(rows.filter("n = 0").select("doc_id", F.lit(0).cast("long"), "doc_id", "row", F.lit(True)))
 
 
+def step_of(size: F.Column, percent: int) -> F.Column:
+    """The step of a size; sizes of linked sets are a little less than one step apart at most."""
+    return F.floor(F.log(size.cast("double")) / F.lit(math.log(100 / percent * 1.001))).cast("int")
+
+
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id. Rows without words all stay."""
     found = near_duplicates(docs, words, percent, id_col, text_col)
-    leads = written(found.filter("first and n_shingles > 0").select(F.col("row").alias("__lead")).distinct(), "jaccard-leads")
-    key = row_key(id_col, text_col).alias("__row")
-    stay = docs.select("*", key).join(leads, F.col("__row") == F.col("__lead")).dropDuplicates(["__row"])  # rows that are equal
+    leads = written(
+        found.filter("first and n_shingles > 0").groupBy(F.col("row").alias("__lead")).agg(F.count(F.lit(1)).alias("__rows")), "jaccard-leads"
+    )
+    keyed = docs.select("*", row_key(id_col, text_col).alias("__row"))
+    stay = keyed.join(leads.where("__rows = 1"), F.col("__row") == F.col("__lead"))
+    several = leads.where("__rows > 1")  # rows that are equal in id and text
+    if several.limit(1).count():
+        stay = stay.union(keyed.join(several, F.col("__row") == F.col("__lead")).dropDuplicates(["__row"]))
     bare = ~F.coalesce(F.col(text_col), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
     return stay.select(*docs.columns).union(docs.filter(bare))
 
@@ -434,28 +461,30 @@ def second_round(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     sets = sets.join(known.select(F.col("node").alias("class"), F.col("component").alias("joined")), "class", "left").withColumn(
         "joined", F.coalesce("joined", "class")
     )
-    count = sets.groupBy("family", "joined").agg(F.count(F.lit(1)).alias("members"))
+    count = sets.groupBy("family", "step", "joined").agg(F.count(F.lit(1)).alias("members"))
     own = F.when(F.col("members") >= BLOCK // 2, F.col("joined"))
-    count = count.withColumn("whole", own)
+    count = written(count.withColumn("whole", own), "jaccard-pools")
     pools = (
-        count.groupBy("family", "whole")
+        count.groupBy("family", "step", "whole")
         .agg(F.sum("members").alias("pool"))
         .withColumn("parts", F.ceil(F.col("pool") / BLOCK).cast("int"))
     )
-    pool = F.concat_ws(":", F.col("family"), F.coalesce("whole", F.lit(-1)))
+    pool = F.concat_ws(":", "family", "step", F.coalesce("whole", F.lit(-1)))
     placed = written(
-        sets.join(count.select("family", "joined", "whole"), ["family", "joined"])
-        .join(pools.select(pool.alias("pool"), "parts"), F.concat_ws(":", F.col("family"), F.coalesce("whole", F.lit(-1))) == F.col("pool"))
+        sets.join(count.select("family", "step", "joined", "whole"), ["family", "step", "joined"])
+        .withColumn("pool", pool)
+        .join(pools.select(pool.alias("pool"), "parts"), "pool")
         .withColumn("place", F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts")).cast("int"))
         .select("family", "pool", "whole", "place", "class", "joined", "shingles"),
         "jaccard-placed",
     )
-    places = pools.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("family", "whole", pool.alias("pool"), "place")
-    left = places.select("family", *[F.col(c).alias(f"{c}_a") for c in ("whole", "pool", "place")])
-    right = places.select("family", *[F.col(c).alias(f"{c}_b") for c in ("whole", "pool", "place")])
+    places = pools.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("family", "step", "whole", pool.alias("pool"), "place")
+    left = places.select("family", *[F.col(c).alias(f"{c}_a") for c in ("step", "whole", "pool", "place")])
+    right = places.select("family", *[F.col(c).alias(f"{c}_b") for c in ("step", "whole", "pool", "place")])
     later = (F.col("pool_a") < F.col("pool_b")) | ((F.col("pool_a") == F.col("pool_b")) & (F.col("place_a") <= F.col("place_b")))
     same = F.col("whole_a").isNotNull() & F.col("whole_a").eqNullSafe(F.col("whole_b"))
-    pairs = left.join(right, "family").where(later & ~same)
+    near = F.abs(F.col("step_a") - F.col("step_b")) <= 1
+    pairs = left.join(right, "family").where(near & later & ~same)
     meeting = F.concat_ws("/", "pool_a", "place_a", "pool_b", "place_b").alias("meeting")
     loop = (F.col("pool_a") == F.col("pool_b")) & (F.col("place_a") == F.col("place_b"))
     ends = pairs.select(meeting, F.col("pool_a").alias("pool"), F.col("place_a").alias("place"), F.lit(0).alias("side")).union(
