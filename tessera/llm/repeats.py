@@ -375,8 +375,10 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, q: int = Q) -> DataFrame:
     found = written(settle(blocks.filter("kind = 0"), q), "repeat-found")
     key = ["bucket", "row", "at", "left", "right"]
     open_ = found.filter("kind = 2").withColumnRenamed("start", "at").groupBy(*key).agg(F.sum("weight").cast("int").alias("weight"))
+    open_ = written(open_, "repeat-open")
     per_bucket = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    wanted = open_.join(per_bucket, "bucket").withColumn("hot", F.col("n") > LIMIT).drop("n")
+    large = written(per_bucket.where(F.col("n") > LIMIT), "repeat-hot")  # a row per LIMIT contexts at most
+    wanted = open_.join(large, "bucket", "left").withColumn("hot", F.col("n").isNotNull()).drop("n")
     read = written(contexts(docs, wanted, q), "repeat-contexts")
     spans = blocks.filter("kind = 1").select("row", "start", "end").union(found.filter("kind = 1").select("row", "start", "end"))
     spans = spans.union(refined(read.filter(~F.col("hot")), size, q))
