@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -46,10 +49,18 @@ def crc_of_id(column: str = "doc_id") -> F.Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def give_back() -> None:
+    """Return what earlier tasks of this Python worker freed: workers are used again, and share an executor's memory."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    gc.collect()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches so that each slice holds at most ``SLICE_BYTES`` of text (or one row);
     yields the slice and its texts as UTF-8 bytes (null: empty)."""
-    pa.set_memory_pool(pa.system_memory_pool())  # gives memory back between batches
+    give_back()
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
         sizes = np.asarray([0 if not v.is_valid else v.as_buffer().size for v in col], np.int64)

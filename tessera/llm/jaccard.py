@@ -49,8 +49,8 @@ RATIO = 1.5
 KEY_BITS = 48
 BLOCK = 256
 SKETCH_BITS = 2048
-SLICE_TEXT = 16 << 20
-WORDS_KEPT = 400_000
+SLICE_TEXT = 8 << 20
+WORDS_KEPT = 200_000
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,16 +70,16 @@ class Shingler:
 
     def sets(self, texts: list[bytes]) -> list[np.ndarray]:
         """Sorted distinct hashes of each text."""
-        split = [t.lower().split() for t in texts]
-        if len(self.cache) > WORDS_KEPT:
-            self.cache.clear()
-        cache = self.cache
-        for words in split:
-            for w in set(words):
-                if w not in cache:
-                    cache[w] = xxhash.xxh64_intdigest(w)
-        look = cache.__getitem__
-        return [self.hashes(np.fromiter(map(look, words), np.uint64, len(words))) for words in split]
+        return [self.of(t) for t in texts]
+
+    def of(self, text: bytes) -> np.ndarray:
+        words, cache = text.lower().split(), self.cache
+        if len(cache) > WORDS_KEPT:
+            cache.clear()
+        for w in set(words):
+            if w not in cache:
+                cache[w] = xxhash.xxh64_intdigest(w)
+        return self.hashes(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)))
 
     def hashes(self, words: np.ndarray) -> np.ndarray:
         n = len(words)
