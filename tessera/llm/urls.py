@@ -39,15 +39,11 @@ RULES = {
     "example.com/de/": "block",
     "org/fr/": "allow",
 }
-#: Hosts that the method blocks where no rule fits: advertising, betting, pills, adult pages, link farms.
-LISTED = {
-    "ads-track.example.com/": "block",
-    "adult-x.example.com/": "block",
-    "casino-win.example.net/": "block",
-    "cheap-pills.example.net/": "block",
-    "free-bets.example.net/": "block",
-    "spam-farm.example.org/": "block",
-}
+#: What the method blocks where no rule fits: advertising, betting, pills, adult pages and link farms, each name
+#: under each domain.
+BAD_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+DOMAINS = ("com", "net", "org", "example.com", "example.net", "example.org")
+LISTED = {f"{name}.{domain}": "block" for name in BAD_NAMES for domain in DOMAINS}  # no slash: the path may be empty
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 HEAD = struct.Struct("<8sQ")
 MAGIC = b"URLDIG01"

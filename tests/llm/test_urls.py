@@ -53,3 +53,25 @@ def test_empty_tables(spark):
     assert judged(spark, U.RULES, []).count() == 0
     none = U.filter_urls(spark.createDataFrame(PAGES, "page_id long, url string"), U.rule_table(spark, U.RULES).limit(0))
     assert none.filter("rule is not null or verdict is not null").count() == 0 and none.count() == len(PAGES)
+
+
+def test_bad_names_are_blocked_under_all_domains(spark, tmp_out):
+    import __spark_entry__ as E
+
+    names = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+    hosts = [f"{n}.{d}" for n in names for d in ("com", "net", "org", "example.com", "example.net", "example.org")]
+    hosts += ["www." + h for h in hosts]
+    near = [f"{n}s.example.com" for n in names] + [f"x{n}.com" for n in names]
+    urls = [f"http://{h}{p}" for h in hosts + near for p in ("", "/", "/en/1", "/fr/2?x", "/q")]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_out}/pages.parquet")
+    for r in E.queries()["op6_url_filter"](spark, tmp_out).collect():
+        host, path, rule, verdict = brute(urls[r.page_id], U.RULES)
+        want = verdict or ("block" if host in hosts else "allow")
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, want)
+
+
+def test_no_page_of_a_bad_name_passes_without_a_rule(spark, sf_dir):
+    import __spark_entry__ as E
+
+    bad = E.queries()["op6_url_filter"](spark, sf_dir).filter("host rlike '(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)'")
+    assert bad.count() > 0 and bad.filter("rule is null and verdict = 'allow'").count() == 0
