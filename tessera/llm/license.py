@@ -4,8 +4,9 @@ A text becomes its words (runs of digits, letters and non-ASCII characters; A-Z
 joined by one space. ``phrases`` are searched for as they stand, on word bounds. A notice of *m* characters may
 be found with up to ``edits(m)`` = *k* edits: it is cut into k + 1 pieces, of which one must occur
 unchanged (pigeonhole), so exact search for the pieces locates every candidate; around each, the
-regex library's bounded-error matching verifies the edits and gives the span. Nothing is shuffled,
-and each text is searched whole.
+regex library's bounded-error matching verifies the edits and gives the span. A place within that of another
+notice with fewer edits is left out: notices can be so alike that one is the other with a few edits. Nothing is
+shuffled, and each text is searched whole.
 
 Edge cases: a null or empty text has no words and no matches; a phrase that stands several times
 is counted at each place; touching places count each; repeated rows are scanned alike; extra columns
@@ -73,6 +74,18 @@ def fuzzy(notice: str) -> regex.Pattern:
     return regex.compile(rf"(?b)\b(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits(len(notice))}}}\b")
 
 
+def fewest_edits(found: list[tuple[str, int, int, int, float]]) -> list[tuple[str, int, int, int, float]]:
+    """The matches (label, start, end, edits, score) that lie within none with fewer edits; those of one notice
+    don't overlap."""
+    out = []
+    ends: dict[int, int] = {}  # by number of edits: the furthest end so far
+    for m in sorted(found, key=lambda m: (m[1], m[3])):
+        if all(end < m[2] for n, end in ends.items() if n < m[3]):
+            out.append(m)
+        ends[m[3]] = max(m[2], ends.get(m[3], 0))
+    return out
+
+
 def find_notices(text: str, notices: dict[str, str]) -> list[tuple[str, int, int, int, float]]:
     """(label, start, end, edits, score) of each notice in a text of words joined by spaces."""
     out = []
@@ -94,7 +107,7 @@ def find_notices(text: str, notices: dict[str, str]) -> list[tuple[str, int, int
                 n = sum(m.fuzzy_counts)
                 out.append((label, m.start(), m.end(), n, 1 - n / len(notice)))
                 last = m.end()
-    return out
+    return fewest_edits(out)
 
 
 def scan(text: bytes, phrases: dict[bytes, str], notices: dict[str, str], seeds: list[bytes]) -> tuple[int, list]:

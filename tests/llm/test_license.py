@@ -1,3 +1,4 @@
+import random
 import re
 
 from helpers import awkward, frame
@@ -48,6 +49,25 @@ def test_pieces_cover_a_notice():
         assert "".join(p for _, p in cut) == notice and len(cut) == L.edits(len(notice)) + 1
 
 
+def test_each_notice_is_told_from_all_others(spark):
+    rows = [(i, f"Foo. {n.title()}! Bar") for i, n in enumerate(L.NOTICES)]
+    rows += [(100, "Licensed under CC BY-SA 4.0; licensed under CC BY-NC 4.0"), (101, "licensd under cc by nc 4 0"), (102, "licensed under cc by na 4 0")]
+    got = {r.doc_id: [(m.label, m.edits) for m in r.matches if m.kind == "near"] for r in L.license_scan(frame(spark, rows)).collect()}
+    for i, label in enumerate(L.NOTICES.values()):
+        assert got[i] == [(label, 0)]
+    assert got[100] == [("cc-by-sa", 0), ("cc-by-nc", 0)]
+    assert got[101] == [("cc-by-nc", 1)]
+    assert sorted(got[102]) == [("cc-by-nc", 1), ("cc-by-sa", 1)]  # as near to both
+
+
+def test_places_within_better_ones_match_brute_force():
+    rnd = random.Random(5)
+    for _ in range(300):
+        found = [("x", a, a + rnd.randint(1, 9), rnd.randint(0, 3), 1.0) for a in (rnd.randint(0, 20) for _ in range(rnd.randint(0, 8)))]
+        want = [m for m in found if not any(o[1] <= m[1] and m[2] <= o[2] and o[3] < m[3] for o in found)]
+        assert sorted(L.fewest_edits(found)) == sorted(want)
+
+
 def test_empty_table_and_clashing_columns(spark):
     assert L.license_scan(frame(spark, [])).count() == 0
     assert L.license_scan(frame(spark, CASES, extra="matches")).columns == ["doc_id", "n_words", "matches"]
