@@ -1,7 +1,8 @@
 """The corpus pipeline: from ``documents`` to token ids, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the
-next stage's ``docs``. All but the last return the columns of ``documents``.
+next stage's ``docs``. All but the last return the columns of ``documents``, whatever they are called; the last leaves
+out ``text`` and adds ``ids``, ``decoded`` and ``n_tokens`` in place of columns named so.
 
 1. quality: documents that the classifier rejects go.
 2. near_duplicates: of documents that 5-word shingles with a similarity of 0.8 or more connect, the one with the smallest id stays.
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, jaccard, quality, repeats
-from tessera.llm.common import crc_of_id, scratch, small_batches, table
+from tessera.llm.common import crc_of_id, scratch, set_aside, small_batches, table
 from tessera.llm.queries import tokenizer
 
 
@@ -36,8 +37,9 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"), keep_text=True)
-    return found.filter(~decontaminate.contaminated()).select(*docs.columns)
+    plain, own = set_aside(docs, "doc_id", "text")
+    found = decontaminate.find_items(plain, table(spark, sf_dir, "benchmark"), keep_text=True)
+    return found.filter(~decontaminate.contaminated()).select(*own.values()).toDF(*docs.columns)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,14 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, *own: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with all columns but ``own`` under reserved names, so that none is called like one that an operator
+    adds, and the new name of each column."""
+    known = {c.lower() for c in own}
+    names = {c: c if c.lower() in known else f"__own_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def crc_of_id(column: str = "doc_id") -> F.Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 

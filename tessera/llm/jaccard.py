@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, written
+from tessera.llm.common import set_aside, slices, written
 from tessera.llm.components import components
 
 RATIO = 1.5
@@ -443,17 +443,18 @@ def step_of(size: F.Column, percent: int) -> F.Column:
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id. Rows without words all stay."""
+    plain, own = set_aside(docs, id_col, text_col)
     found = near_duplicates(docs, words, percent, id_col, text_col)
     leads = written(
         found.filter("first and n_shingles > 0").groupBy(F.col("row").alias("__lead")).agg(F.count(F.lit(1)).alias("__rows")), "jaccard-leads"
     )
-    keyed = docs.select("*", row_key(id_col, text_col).alias("__row"))
+    keyed = plain.select("*", row_key(id_col, text_col).alias("__row"))
     stay = keyed.join(leads.where("__rows = 1"), F.col("__row") == F.col("__lead"))
     several = leads.where("__rows > 1")  # rows that are equal in id and text
     if several.limit(1).count():
         stay = stay.union(keyed.join(several, F.col("__row") == F.col("__lead")).dropDuplicates(["__row"]))
     bare = ~F.coalesce(F.col(text_col), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    return stay.select(*docs.columns).union(docs.filter(bare))
+    return stay.select(*own.values()).union(plain.filter(bare)).toDF(*docs.columns)
 
 
 def second_round(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:

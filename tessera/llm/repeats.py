@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import slices, written
+from tessera.llm.common import set_aside, slices, written
 
 SIZE = 400
 Q = 200
@@ -422,8 +422,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, q: int | None = None, text
 
 def without_repeats(docs: DataFrame, size: int = SIZE, text: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with what is left of each text (of a character that is cut apart, nothing stays), and its length in
-    ``length_col`` if there is such a column; texts of which nothing is left go."""
-    cut = remove_repeats(docs, size, text=text).filter((F.col("n_bytes") == 0) | (F.octet_length("kept") > 0))
+    ``length_col`` if there is such a column; texts of which nothing is left go. Other columns stay whatever their names."""
+    plain, own = set_aside(docs, "doc_id", text)
+    cut = remove_repeats(plain, size, text=text).filter((F.col("n_bytes") == 0) | (F.octet_length("kept") > 0))
     names = [c for c in cut.columns if c not in ("kept", "n_bytes", "n_removed", "spans")]
     schema = cut.select(*names).schema.add("__text", "string")
 
@@ -433,6 +434,6 @@ def without_repeats(docs: DataFrame, size: int = SIZE, text: str = "text", lengt
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.fieldNames())
 
     out = cut.select(*names, "kept").mapInArrow(run, schema)
-    if length_col in names:
-        out = out.withColumn(length_col, F.length("__text").cast(docs.schema[length_col].dataType))
-    return out.select(*[F.col("__text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    if length_col in own:
+        out = out.withColumn(own[length_col], F.length("__text").cast(docs.schema[length_col].dataType))
+    return out.select(*[F.col("__text") if c == text else F.col(f"`{n}`") for c, n in own.items()]).toDF(*docs.columns)

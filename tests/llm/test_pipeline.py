@@ -47,6 +47,25 @@ def test_stages(spark, tmp_out):
     assert all(r.n_tokens == len(words.tokenizer.encode(r.decoded, add_special_tokens=False).ids) for r in coded)
 
 
+def test_stages_keep_columns_named_like_those_of_operators(spark, tmp_out):
+    names = ["kept", "n_bytes", "n_removed", "spans", "n_words", "n_hit", "items", "n_shingles", "component_id", "first", "row", "class"]
+    names += ["score", "predicted", "quality", "block", "kind", "start", "end", "__row", "__lead"]
+    rows = [r for r in ROWS if r[0] not in (2, 7, 8)]
+    docs = documents(spark, rows).selectExpr("*", *[f"concat('{n}-', doc_id) as `{n}`" for n in names])
+    spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int").write.parquet(f"{tmp_out}/labels.parquet")
+    spark.createDataFrame([(1, prose(91, 20)), (2, "one")], "item_id long, text string").write.parquet(f"{tmp_out}/benchmark.parquet")
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, tmp_out)
+        left = out.columns if name == "encode" else docs.columns
+        assert out.columns == left and set(names) <= set(left)
+        got = out.collect()
+        assert got
+        for r in got:
+            assert [r[n] for n in names] == [None if r.doc_id is None else f"{n}-{r.doc_id}" for n in names]
+            if name == "repeats":
+                assert r.n_chars == len(r.text)
+
+
 def test_run(spark):
     got = P.run(spark, "/root/testdata/sf0.001")
     assert 0 < got.count() < 200 and "ids" in got.columns
