@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections.abc import Iterator
 from functools import lru_cache
 
 import regex
@@ -74,6 +75,17 @@ def fuzzy(notice: str) -> regex.Pattern:
     return regex.compile(rf"(?b)\b(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits(len(notice))}}}\b")
 
 
+def places(notice: str, text: str, lo: int, hi: int) -> Iterator[regex.Match]:
+    """The best match of the notice, and so on in what is left before and behind it."""
+    parts = [(lo, hi)]
+    while parts:
+        lo, hi = parts.pop()
+        if hi - lo >= max(0, len(notice) - edits(len(notice))) and (m := fuzzy(notice).search(text, lo, hi)):
+            if m.end() > m.start():
+                yield m
+            parts += [(lo, min(m.start(), hi - 1)), (max(m.end(), m.start() + 1), hi)]  # shorter, also for an empty match
+
+
 def fewest_edits(found: list[tuple[str, int, int, int, float]]) -> list[tuple[str, int, int, int, float]]:
     """The matches (label, start, end, edits, score) that lie within none with fewer edits; those of one notice
     don't overlap."""
@@ -98,15 +110,13 @@ def find_notices(text: str, notices: dict[str, str]) -> list[tuple[str, int, int
                 windows.append((max(0, at - offset - 2 * k - 1), at - offset + len(notice) + 2 * k + 1))
                 at = text.find(piece, at + 1)
         windows.sort()
-        last = 0
         while windows:
             lo, hi = windows.pop(0)
             while windows and windows[0][0] <= hi:
                 hi = max(hi, windows.pop(0)[1])
-            for m in fuzzy(notice).finditer(text, max(lo, last), min(hi, len(text))):
+            for m in places(notice, text, lo, min(hi, len(text))):
                 n = sum(m.fuzzy_counts)
                 out.append((label, m.start(), m.end(), n, 1 - n / len(notice)))
-                last = m.end()
     return fewest_edits(out)
 
 

@@ -60,6 +60,40 @@ def test_each_notice_is_told_from_all_others(spark):
     assert sorted(got[102]) == [("cc-by-nc", 1), ("cc-by-sa", 1)]  # as near to both
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        old, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+def brute_places(text, notice):
+    """(start, end, edits): the best of all spans of words, and so on on either side."""
+    words = [m.span() for m in re.finditer(r"\w+", text)]
+    k = L.edits(len(notice))
+    spans = [(a, b) for i, (a, _) in enumerate(words) for _, b in words[i:] if abs(b - a - len(notice)) <= k]
+    near = sorted((distance(text[a:b], notice), a, b) for a, b in spans)
+    out = []
+    for n, a, b in near:
+        if n <= k and all(b <= x or y <= a for x, y, _ in out):
+            out.append((a, b, n))
+    return sorted(out)
+
+
+def test_adjacent_edited_and_exact_notices_match_brute_force():
+    for notice in ("released under the mit license", "licensed under the apache license version 2 0", "licensed under cc by nc 4 0"):
+        edited = notice.replace("licens", "licns", 1).replace("under", "undr")
+        for parts in ((edited, notice), (notice, edited), (edited, edited, notice), (edited, "and", notice, edited, "or", edited, notice)):
+            text = " ".join(parts)
+            want = brute_places(text, notice)
+            assert len(want) == len([p for p in parts if len(p) > 3])
+            assert sorted((a, b, n) for _, a, b, n, _ in L.find_notices(text, {notice: "x"})) == want
+    text = "relased under the mit licens released under the mit license"
+    assert sorted(m[1:4] for m in L.find_notices(text, L.NOTICES)) == [(0, 28, 2), (29, 59, 0)]
+
+
 def test_places_within_better_ones_match_brute_force():
     rnd = random.Random(5)
     for _ in range(300):
