@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, bitpack, bpe, decontaminate, divergence, jaccard, license, quality, repeats, shards, urls
+from tessera.llm import ann, bitpack, bpe, collocations, credentials, decontaminate, divergence, jaccard, license, quality, repeats, shards, urls
 from tessera.llm.common import crc_of_id, small_batches, table
 
 REGISTRY = {}
@@ -142,6 +142,26 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, smoothing=5, scale=10**9, top=50)
 
 
+@register
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, longest=4, share=80, top=2000)
+
+
+@register
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = credentials.find_secrets(docs, credentials.fit(docs))
+    named = lambda ms: F.array_join(F.transform(ms, lambda m: F.concat_ws(":", m["kind"], m["start"], m["end"])), ",")
+    count = lambda kind: F.size(F.filter("matches", lambda m: m["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("matches", lambda m: m["kind"] != "markov")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in credentials.BASE],
+        F.sha2(named(base).cast("binary"), 256).alias("base_sha256"),
+        named(F.col("matches")).alias("spans"),
+    )
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -229,3 +249,25 @@ rows AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+ORACLE["op12_collocations"] = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]') AS pieces FROM documents),
+p AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+g AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) s(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+t AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, phrase, k, f, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+inside AS (
+  SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT lang, w, f, m, unnest(range(1, k - m + 2)) AS i FROM c, (VALUES (2), (3)) s(m) WHERE m < k) GROUP BY ALL),
+cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, (CAST(2000000 AS HUGEINT) * c.f) // (x.f + y.f) AS score, j
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[j + 1 : c.k], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN t USING (lang)
+WHERE rank <= 2000"""
