@@ -6,7 +6,7 @@ Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and line ends, and pi
 1. Words are counted; those with f >= ``least`` get numbers (a number belongs to a word of one language).
 2. Level by level the texts propose phrases that are safe by Apriori: both phrases of one word less are in the trie. Proposals are
    added up over the tasks; sums below ``least`` can't be candidates. What remains is numbered and laid out as the
-   trie's next level, a double array: the way from state s by word w is slot base[s] + w, if check[slot] is s.
+   trie's next level, a double array over the bytes of word numbers: node n goes by byte c to slot base[n] + c, if check there is n.
 3. One pass over the texts counts all levels: numpy moves the states of all positions of a slice forward at once, a word a
    level, and counts the states reached by ``bincount``. The tasks' counts are added up.
 4. Each way to cut a candidate into two parts is scored by floor(2000000 * f / (f(first) + f(rest))); the lowest counts. A candidate
@@ -110,9 +110,14 @@ def dictionaries(spark, words: DataFrame) -> list:
 
 
 class Ways(NamedTuple):
-    """The ways from the states lo <= s < lo + len(base): by word w to ``to[base[s - lo] + w]``, if ``check`` there is s."""
+    """The ways from the states lo <= s < lo + width by a word each: a double-array trie over the bytes of the words' numbers.
+
+    Node n goes by byte c to slot base[n] + c, if ``check`` there is n; ``to`` names the next node, or the state reached
+    after the last byte. Nodes 0 to width - 1 are the states."""
 
     lo: int
+    width: int
+    digits: int
     base: np.ndarray
     check: np.ndarray
     to: np.ndarray
@@ -120,61 +125,73 @@ class Ways(NamedTuple):
     count: int
 
 
-def lay_out(state: np.ndarray, word: np.ndarray, window: int = 4096) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct states and their bases, so that base + word differs for all ways. ``state`` and ``word`` are sorted
-    by (state, word). States with most ways are placed first, each at the first slots where all its ways fit."""
-    states, start, many = np.unique(state, return_index=True, return_counts=True)
-    base = np.zeros(len(states), np.int64)
-    if not len(states):
-        return states, base
-    spread = int(word.max() - word.min()) + 1
-    used = np.zeros(2 * len(word) + spread + 2 * window, bool)
-    low = 0
-    order = np.argsort(-many, kind="stable")
-    for s in order[: np.count_nonzero(many > 1)]:
-        own = word[start[s] : start[s] + many[s]] - word[start[s]]
-        at, slot = low, -1
-        while slot < 0:
-            if at + window + spread > len(used):
+def lay_out(node: np.ndarray, byte: np.ndarray, window: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct nodes and their bases, at least 0, so that base + byte differs for all pairs. The pairs are sorted.
+    Nodes with most bytes are placed first, each where all its bytes fit; nodes of like size follow one another, and each time
+    the size has halved the search starts at the front again."""
+    nodes, start, many = np.unique(node, return_index=True, return_counts=True)
+    base = np.zeros(len(nodes), np.int64)
+    used = np.zeros(2 * len(node) + 4 * window, bool)
+    used[:256] = True  # no base is negative
+    low, size, order = 256, 256, np.argsort(-many, kind="stable")
+    several = np.count_nonzero(many > 1)
+    for n in order[:several]:
+        if 2 * many[n] <= size:
+            low, size = 256, many[n]
+        own = byte[start[n] : start[n] + many[n]]
+        own, at = own - own[0], low
+        while True:
+            if at + window + 256 > len(used):
                 used = np.concatenate([used, np.zeros(len(used), bool)])
             free = np.flatnonzero(~used[at : at + window]) + at
-            for w in own[1:9]:
-                free = free[~used[free + w]]
-            slot = next((int(f) for f in free if not used[f + own].any()), -1)
+            for c in own[1:]:
+                free = free[~used[free + c]]
+                if not len(free):
+                    break
+            if len(free):
+                break
             at += window
-        used[slot + own] = True
-        base[s] = slot - word[start[s]]
-        while used[low : low + window].mean() > 0.9:
-            low += window
-    single = order[np.count_nonzero(many > 1) :]
+        used[free[0] + own] = True
+        base[n], low = free[0] - byte[start[n]], max(low, free[0] - 256)
     free = np.flatnonzero(~used)
+    single = order[several:]
     free = np.concatenate([free, len(used) + np.arange(max(0, len(single) - len(free)))])[: len(single)]
-    base[single] = free - word[start[single]]
-    return states, base
-
-
-def ways_of(state: np.ndarray, word: np.ndarray, lo: int, hi: int, first: int) -> Ways:
-    """``state`` and ``word`` sorted; the ways' ends are numbered from ``first``."""
-    states, bases = lay_out(state, word)
-    base = np.zeros(hi - lo, np.int64)
-    base[states - lo] = bases
-    slot = base[state - lo] + word
-    check = np.full(int(slot.max(initial=-1)) + 1, -1, np.int64)
+    base[single] = free - byte[start[single]]
+    return nodes, base
+
+
+def ways_of(state: np.ndarray, word: np.ndarray, n_words: int, lo: int, hi: int, first: int) -> Ways:
+    """``state`` and ``word`` (below ``n_words``) sorted; the ways' ends are numbered from ``first``."""
+    digits = max(1, -(-max(n_words - 1, 0).bit_length() // 8))
+    node, nodes, parts = state - lo, hi - lo, []
+    for d in range(digits):
+        byte = (word >> (8 * (digits - 1 - d))) & 255
+        new = np.concatenate([[True], (node[1:] != node[:-1]) | (byte[1:] != byte[:-1])]) if len(node) else np.zeros(0, bool)
+        after = nodes + np.cumsum(new) - 1 if d < digits - 1 else first + np.arange(len(node))
+        parts.append((node[new], byte[new], after[new]))
+        nodes += np.count_nonzero(new)
+        node = after
+    node, byte, after = (np.concatenate(c) for c in zip(*parts, strict=True))
+    where, bases = lay_out(node, byte)
+    base = np.zeros(nodes, np.int64)
+    base[where] = bases
+    slot = base[node] + byte
+    check = np.full(int(slot.max(initial=0)) + 257, -1, np.int64)
     to = check.copy()
-    check[slot] = state
-    to[slot] = first + np.arange(len(state))
-    return Ways(lo, base, check, to, first, len(state))
+    check[slot], to[slot] = node, after
+    return Ways(lo, hi - lo, digits, base, check, to, first, len(state))
 
 
 def step(ways: Ways, state: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The states reached (-1: none) from ``state`` by ``word``; both are -1 where there is none."""
     out = np.full(len(state), -1, np.int64)
-    at = np.flatnonzero((state >= ways.lo) & (state < ways.lo + len(ways.base)) & (word >= 0))
-    slot = ways.base[state[at] - ways.lo] + word[at]
-    fits = (slot >= 0) & (slot < len(ways.check))
-    at, slot = at[fits], slot[fits]
-    hit = ways.check[slot] == state[at]
-    out[at[hit]] = ways.to[slot[hit]]
+    at = np.flatnonzero((state >= ways.lo) & (state < ways.lo + ways.width) & (word >= 0))
+    node, word = state[at] - ways.lo, word[at]
+    for d in range(ways.digits):
+        slot = ways.base[node] + ((word >> (8 * (ways.digits - 1 - d))) & 255)
+        hit = ways.check[slot] == node
+        at, node, word = at[hit], ways.to[slot[hit]], word[hit]
+    out[at] = node
     return out
 
 
@@ -307,7 +324,7 @@ def mine(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFram
         ways = []
         for p, (lo, hi, start) in enumerate(pieces):
             rows = level.where(F.col("piece") == p).select("prefix", "word").orderBy("prefix", "word").toArrow()
-            ways.append(spark.sparkContext.broadcast(ways_of(rows["prefix"].to_numpy(), rows["word"].to_numpy(), lo, hi, start)))
+            ways.append(spark.sparkContext.broadcast(ways_of(rows["prefix"].to_numpy(), rows["word"].to_numpy(), n_words, lo, hi, start)))
         levels.append(ways)
         tables.append(level)
         first += size

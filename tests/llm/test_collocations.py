@@ -77,9 +77,9 @@ def test_empty_table_and_clashing_columns(spark):
     assert sorted(C.collocations(clashing, least=2).collect()) == sorted(C.collocations(plain, least=2).collect())
 
 
-def ways(pairs, lo, hi, first):
+def ways(pairs, lo, hi, first, n_words=3000):
     state, word = (np.array(c, np.int64) for c in zip(*sorted(pairs), strict=True))
-    return C.ways_of(state, word, lo, hi, first)
+    return C.ways_of(state, word, n_words, lo, hi, first)
 
 
 def test_double_array_holds_its_ways_and_no_others():
@@ -90,7 +90,12 @@ def test_double_array_holds_its_ways_and_no_others():
     state, word = (c.ravel() for c in np.meshgrid(np.arange(90, 210), np.arange(-1, 3000), indexing="ij"))
     reached = C.step(trie, state, word)
     assert {(int(s), int(w)): int(t) for s, w, t in zip(state, word, reached, strict=True) if t >= 0} == want
-    assert len(trie.check) < 2 * len(pairs) + 3000
+    assert len(trie.check) < 2 * len(pairs) + 1500
+    for n_words in (1, 200, 256, 257, 70_000, 2**24 + 1):
+        pairs = {(5, 0), (5, n_words - 1), (6, n_words // 2), (9, n_words - 1)}
+        trie = ways(pairs, 5, 10, 100, n_words)
+        got = [C.step(trie, np.array([s]), np.array([w]))[0] for s, w in sorted(pairs)]
+        assert got == list(range(100, 100 + len(pairs))) and C.step(trie, np.array([7]), np.array([0]))[0] == -1
 
 
 class Piece:
