@@ -34,16 +34,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import set_aside, slices, written
+from tessera.llm.common import give_back, set_aside, slices, written
 
 SIZE = 400
 Q = 200
 CHUNK = 1 << 20
-BLOCK_TEXT = 16 << 20
+BLOCK_TEXT = 8 << 20
 LOCALLY_HOT = 64
 LIMIT = 4096
 BATCH = 8_192
 CONTEXTS = 4_096
+#: Rows of an Arrow batch that a task sends on.
+ROWS = 1 << 16
 BASE = 0x9E3779B97F4A7C15
 PLACE = np.uint64((1 << 21) - 1)
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -149,9 +151,9 @@ def packed(columns: list[np.ndarray]) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
-def unpacked(data: bytes, columns: int) -> np.ndarray:
+def unpacked(data: bytes, columns: int) -> list[np.ndarray]:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(columns, 8, -1)
-    return np.stack([np.ascontiguousarray(c.T).view(np.int64).ravel() for c in raw])
+    return [np.ascontiguousarray(c.T).view(np.int64).ravel() for c in raw]
 
 
 def entries(docs: DataFrame, n_slices: int, size: int, q: int) -> DataFrame:
@@ -210,9 +212,17 @@ def entries(docs: DataFrame, n_slices: int, size: int, q: int) -> DataFrame:
 
 def meet(parts: list[bytes], q: int) -> Iterator[pa.RecordBatch]:
     """Settle the entries of a slice: spans of equal contexts, and one entry per context of the other buckets."""
-    bucket, context, row, at, left, right, weight = np.concatenate([unpacked(p, 7) for p in parts], axis=1)
-    order = np.lexsort((weight == 0, context, bucket))
-    bucket, context, row, at, left, right, weight = (c[order] for c in (bucket, context, row, at, left, right, weight))
+    columns: list[list[np.ndarray]] = [[] for _ in range(7)]
+    while parts:
+        for c, values in zip(columns, unpacked(parts.pop(), 7), strict=True):
+            c.append(values)
+    for i, c in enumerate(columns):  # only one column is held twice
+        columns[i] = np.concatenate(c)
+        c.clear()
+    order = np.lexsort((columns[6] == 0, columns[1], columns[0]))
+    for i in range(7):
+        columns[i] = columns[i][order]
+    bucket, context, row, at, left, right, weight = columns
     new_bucket = np.concatenate([[True], bucket[1:] != bucket[:-1]])
     new = new_bucket | (context != np.concatenate([context[:1], context[:-1]]))
     first = np.flatnonzero(new)
@@ -233,18 +243,26 @@ def meet(parts: list[bytes], q: int) -> Iterator[pa.RecordBatch]:
     )
 
 
+def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most ``ROWS``."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, ROWS):
+            yield batch.slice(lo, ROWS)
+
+
 def settle(packed_entries: DataFrame, q: int) -> DataFrame:
     def run(batches):
+        give_back()
         now, held = None, []
         for batch in batches:
-            for s, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for s, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if s != now and held:
-                    yield from meet(held, q)
+                    yield from in_pieces(meet(held, q))
                     held = []
                 now = s
-                held.append(data)
+                held.append(data.as_py())
         if held:
-            yield from meet(held, q)
+            yield from in_pieces(meet(held, q))
 
     n = int(packed_entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return packed_entries.select("slice", "payload").repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(run, FOUND_SCHEMA)
@@ -317,6 +335,7 @@ def refined(found: DataFrame, size: int, q: int) -> DataFrame:
     """row, start and end of what repeats in buckets of bounded size."""
 
     def run(batches):
+        give_back()
         held: list = []
 
         def flush(rows):
@@ -350,6 +369,7 @@ def aggregated(found: DataFrame, size: int, q: int) -> DataFrame:
     schema = "digest binary, weight int, row long, start long"
 
     def run(batches):
+        give_back()
         for batch in batches:
             for bucket, row, at, left, right, weight, context in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 starts = range(0, left + q + right - size + 1)
@@ -429,6 +449,7 @@ def without_repeats(docs: DataFrame, size: int = SIZE, text: str = "text", lengt
     schema = cut.select(*names).schema.add("__text", "string")
 
     def run(batches):
+        give_back()
         for batch in batches:
             texts = [k.decode(errors="ignore") for k in batch.column(len(names)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.fieldNames())
