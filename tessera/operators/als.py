@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from tessera.operators import metrics
 from tessera.operators import ratings as R
+from tessera.operators.factors import fold_in
 from tessera.operators.prefix import dense_index
 from tessera.plans.cache import persisted
+from tessera.plans.pool import pooled
 from tessera.sources.models import fit_or_load
 from tessera.session import ensure_checkpoint_dir
 
@@ -156,18 +158,24 @@ def grid_report(
     refit: bool = False,
     normalization: str = "user",
     data: str = "",
+    parallelism: int = 4,
 ) -> DataFrame:
-    """``rank, iteration, lambda, mse, n, label``: one fitted model per configuration.
+    """``rank, iteration, lambda, mse, n, label``: one fitted model per configuration, in the order of ``configs``.
 
     Both splits are cached for the duration (each configuration reads them again); with
-    ``model_dir`` each model is saved under its ``model_key`` and reused on the next run.
+    ``model_dir`` each model is saved under its ``model_key`` and reused on the next run. ``parallelism`` configurations are
+    fitted at once: a fit is a chain of short stages that leaves most of a cluster idle.
     """
     spark: SparkSession = train.sparkSession
-    rows = []
     with persisted(train, test) as (train, test):
-        for rank, iters, reg in configs:
-            def _fit(rank=rank, iters=iters, reg=reg):
-                return fit(train, rank, iters, reg, seed)
+        blocks = block_count(train.count())  # fills the cache once, before several fits would at once
+        test.count()
+
+        def one(config: tuple[int, int, float]) -> tuple:
+            rank, iters, reg = config
+
+            def _fit():
+                return fit(train, rank, iters, reg, seed, blocks=blocks)
 
             if model_dir:
                 path = f"{model_dir.rstrip('/')}/{model_key(rank, iters, reg, normalization, seed, data)}"
@@ -175,7 +183,9 @@ def grid_report(
             else:
                 model = _fit()
             m = evaluate_mse(model, test).first()
-            rows.append((rank, iters, float(reg), m["mse"], m["n"], param_label(rank, iters, reg)))
+            return rank, iters, float(reg), m["mse"], m["n"], param_label(rank, iters, reg)
+
+        rows = pooled(spark, one, configs, parallelism)
     schema = "rank int, iteration int, lambda double, mse double, n long, label string"
     return spark.createDataFrame(rows, schema)
 
@@ -252,3 +262,24 @@ def recommend_new_user(
     out = base.sparkSession.createDataFrame([(r["item_id"], r["prediction"]) for r in rows], schema)
     out = out.orderBy(F.desc("prediction"), "item_id")
     return R.with_titles(out, items) if items is not None else out
+
+
+def recommend_folded(
+    model: ALSModel, profile: DataFrame, items: DataFrame | None = None, n: int = 20, reg: float = 0.01, ids: IdMap | None = None
+) -> DataFrame:
+    """A new user's top ``n`` items not already rated, without training: ``item_id, prediction[, title]``.
+
+    The user's known ratings, divided by their own mean, give factors for the model's item factors as they are
+    (``factors.fold_in``); ``reg`` is the λ that the model was fitted with. A user without a known rating of an item of the model gets
+    no rows. ``ids`` maps the items where the model was fitted on dense numbers.
+    """
+    known = R.known(profile)
+    rated = known.select("item_id", F.try_divide(F.col("rating").cast("double"), R.profile_mean(profile)).alias("rating"))
+    rated = ids.items_to_int(rated) if ids else rated
+    known_items = model.itemFactors.withColumnRenamed("id", "item_id")
+    mine = fold_in(rated.withColumn("user_id", F.lit(0)), known_items, model.rank, reg).first()
+    seen = rated.select("item_id")
+    top = top_unseen(model, mine["features"] if mine else [], seen, n if mine else 0)
+    top = ids.item_from_int(top) if ids else top.withColumn("item_id", F.col("item_id").cast("long"))
+    out = top.orderBy(F.desc("prediction"), "item_id")
+    return R.with_titles(out, items).orderBy(F.desc("prediction"), "item_id") if items is not None else out
