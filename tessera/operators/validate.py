@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"  # what a JVM integer parse accepts (no spaces, no decimals)
@@ -57,3 +57,22 @@ def validate_choice(df: DataFrame, col: str, choices: Sequence[str], case_insens
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows) of a checked table."""
     return checked.filter("is_valid"), checked.filter("NOT is_valid")
+
+
+def complete(df: DataFrame, cols: Sequence[str], name: str = "complete") -> tuple[DataFrame, Observation]:
+    """The rows in which none of ``cols`` is null, and an observation that counts, in the pass that reads them: ``rows``, ``kept``
+    and for each column ``null_<column>``. Its values are there once an action has read all rows (a limit may not)."""
+    seen = Observation(name)
+    whole = F.lit(True)
+    for c in cols:
+        whole = whole & F.col(f"`{c}`").isNotNull()
+    counts = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"null_{c}") for c in cols]
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(whole, 1)).alias("kept"), *counts)
+    return watched.where(whole), seen
+
+
+def write_complete(df: DataFrame, cols: Sequence[str], path: str) -> dict[str, int]:
+    """Write the complete rows to ``path`` as Parquet and return the counts of that one pass."""
+    kept, seen = complete(df, cols)
+    kept.write.parquet(path)
+    return seen.get

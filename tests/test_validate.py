@@ -30,3 +30,15 @@ def test_validate_choice_and_split(spark):
     good, bad = validate.split_valid(checked)
     assert rows(good, "raw", "value") == [("N", "N"), ("y", "Y")]
     assert rows(bad, "raw", "reason") == [("maybe", "not a choice")]
+
+
+def test_incomplete_rows_are_dropped_and_counted_in_one_pass(spark, tmp_out):
+    from tessera.operators import validate
+
+    rows = [(1, 2, 3.0), (None, 2, 3.0), (1, None, None), (None, None, None), (4, 5, float("nan"))]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    n = validate.write_complete(df, ["user_id", "item_id", "rating"], f"{tmp_out}/kept")
+    assert n == {"rows": 5, "kept": 2, "null_user_id": 2, "null_item_id": 2, "null_rating": 2}
+    assert sorted(r.user_id for r in spark.read.parquet(f"{tmp_out}/kept").collect()) == [1, 4]
+    empty = validate.write_complete(df.limit(0), ["user_id"], f"{tmp_out}/none")
+    assert empty == {"rows": 0, "kept": 0, "null_user_id": 0}
