@@ -276,11 +276,8 @@ ORACLE.update(
         ),
         "mse_joined": _q(
             """SELECT avg((r.rating - p.prediction) * (r.rating - p.prediction)) AS mse, count(*) AS n
-               FROM ratings r JOIN (
-                 SELECT user_id, item_id, prediction FROM predicted WHERE item_id % 7 <> 0
-                 UNION ALL
-                 SELECT user_id, item_id, prediction FROM predicted WHERE item_id % 7 <> 0 AND item_id % 5 = 0) p
-               ON r.user_id = p.user_id AND r.item_id = p.item_id""",
+               FROM ratings r JOIN predicted p ON r.user_id = p.user_id AND r.item_id = p.item_id
+               WHERE """ + f"{_hex8(5, 'p.user_id', 'p.item_id')} >= {round(0.8 * 2**32)}",
             "ratings", "predicted",
         ),
         "split_survivors": _q(
@@ -311,3 +308,117 @@ ORACLE.update(
         ),
     }
 )
+
+# ---- many users at once, factors, a forest's nodes ----------------------------------------------
+
+_FEATURES = "CASE feature " + " ".join(f"""WHEN '{c}' THEN "{c}" """ for c in CREDIT_COLUMNS if c != CREDIT_LABEL) + " END"
+ORACLE.update(
+    {
+        "knn_users_batch": _q(
+            """SELECT profile_id, CAST(rank AS INTEGER) AS rank, user_id, sim FROM (
+                 SELECT p.user_id AS profile_id, u.user_id, coalesce(d.dot, 0) / (u.norm * p.norm) AS sim,
+                        row_number() OVER (PARTITION BY p.user_id ORDER BY coalesce(d.dot, 0) / (u.norm * p.norm) DESC, u.user_id) AS rank
+                 FROM norms p JOIN norms u ON p.user_id % 100 = 0 AND p.user_id <> u.user_id
+                 LEFT JOIN dots d ON d.p = p.user_id AND d.u = u.user_id)
+               WHERE rank <= 5""",
+            *_KT,
+            extra=_KNN + """,
+              norms AS (SELECT user_id, sqrt(CAST(sum(n * n) AS DOUBLE)) AS norm FROM uv GROUP BY user_id),
+              dots AS (SELECT a.user_id AS p, b.user_id AS u, CAST(sum(a.n * b.n) AS DOUBLE) AS dot
+                       FROM uv a JOIN uv b ON a.genre = b.genre WHERE a.user_id % 100 = 0 GROUP BY ALL)""",
+        ),
+        "top_items_all_users": _q(
+            """SELECT user_id, CAST(rank AS INTEGER) AS rank, item_id, score FROM (
+                 SELECT u.user_id, i.item_id, list_dot_product(u.features, i.features) AS score,
+                        row_number() OVER (PARTITION BY u.user_id ORDER BY list_dot_product(u.features, i.features) DESC, i.item_id) AS rank
+                 FROM user_factors u, item_factors i
+                 WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = u.user_id AND r.item_id = i.item_id))
+               WHERE rank <= 10""",
+            "ratings", "user_factors", "item_factors",
+        ),
+        "als_fold_in": _q(
+            """SELECT user_id, round((d * p - b * q) / (a * d - b * b), 6) AS x0, round((a * q - b * p) / (a * d - b * b), 6) AS x1
+               FROM (SELECT user_id, sum(x * x) + 0.1::DOUBLE * count(*) AS a, sum(x * y) AS b, sum(y * y) + 0.1::DOUBLE * count(*) AS d,
+                            sum(x * rating) AS p, sum(y * rating) AS q
+                     FROM ratings JOIN item_taste USING (item_id) GROUP BY user_id)""",
+            "ratings", "item_taste",
+        ),
+        "credit_score_nodes": _q(
+            f"""SELECT id, CAST(CASE WHEN sum(p) > sum(1 - p) THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+                       CAST(sum(p) / (sum(p) + sum(1 - p)) AS DOUBLE) AS p1
+                FROM (SELECT id, tree, CAST(p AS DOUBLE) AS p FROM walk WHERE feature IS NULL) GROUP BY id""",
+            "credit_raw", "forest",
+            extra=f"""
+              {_CREDIT},
+              values_ AS (SELECT c.id, f.tree, f.node, f.feature, f.threshold, f.l, f.r, f.p, {_FEATURES} AS v FROM credit c, forest f),
+              w0 AS (SELECT * FROM values_ WHERE node = 0),
+              w1 AS (SELECT x.* FROM w0 JOIN values_ x ON x.id = w0.id AND x.tree = w0.tree AND x.node = CASE WHEN w0.v <= w0.threshold THEN w0.l ELSE w0.r END),
+              w2 AS (SELECT x.* FROM w1 JOIN values_ x ON x.id = w1.id AND x.tree = w1.tree AND x.node = CASE WHEN w1.v <= w1.threshold THEN w1.l ELSE w1.r END),
+              w3 AS (SELECT x.* FROM w2 JOIN values_ x ON x.id = w2.id AND x.tree = w2.tree AND x.node = CASE WHEN w2.v <= w2.threshold THEN w2.l ELSE w2.r END),
+              walk AS (SELECT * FROM w0 UNION ALL SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3)""",
+        ),
+    }
+)
+
+# ---- text scans, exact sides, heavy tags ---------------------------------------------------------
+
+_HUNDREDTHS = "(CASE WHEN {v} < 0 THEN '-' ELSE '' END || CAST(abs({v}) // 100 AS VARCHAR) || '.' || lpad(CAST(abs({v}) % 100 AS VARCHAR), 2, '0'))"
+_LON_TEXT = f"CASE WHEN photo_id % 11 = 0 THEN '-1.00' ELSE {_HUNDREDTHS.format(v='((photo_id * 7919) % 36000 - 18000)')} END"
+_LAT_TEXT = f"CASE WHEN photo_id % 17 = 0 THEN '-1.00' ELSE {_HUNDREDTHS.format(v='((photo_id * 104729) % 18000 - 9000)')} END"
+_KEY48 = "CAST(('0x' || md5(concat_ws(':', '5', {cols}))[1:12]) AS BIGINT)"
+_PAIR = "CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR)"
+ORACLE.update(
+    {
+        "scan_photos": _q(
+            f"""SELECT photo_id, user_id, nullif(user_tags, '') AS user_tags, CAST({_LON_TEXT} AS FLOAT) AS longitude,
+                       CAST({_LAT_TEXT} AS FLOAT) AS latitude, nullif(license, '') AS license, marker
+                FROM photos WHERE photo_id % 23 <> 0 AND photo_id % 29 <> 0 AND photo_id % 31 <> 0""",
+            "photos",
+        ),
+        "scan_ratings": _q("SELECT user_id, item_id, rating FROM ratings WHERE item_id % 41 <> 0", "ratings"),
+        "scan_movies": _q("SELECT item_id, title || ', a \"part\"' AS title, genres FROM items WHERE item_id % 43 <> 0", "items"),
+        "scan_credit": _q(
+            "SELECT * EXCLUDE (id) FROM credit WHERE id % 19 <> 0 AND id % 37 <> 0", "credit_raw", extra=_CREDIT
+        ),
+        "scan_rejects": _q(
+            """SELECT source, reason, "column", count(*) AS n FROM (
+                 SELECT 'photos' AS source, CASE WHEN photo_id % 23 = 0 THEN 'too few fields' WHEN photo_id % 31 = 0 THEN 'too many fields'
+                        ELSE 'bad value' END AS reason, CASE WHEN photo_id % 23 <> 0 AND photo_id % 31 <> 0 THEN 'longitude' END AS "column"
+                 FROM photos WHERE photo_id % 23 = 0 OR photo_id % 29 = 0 OR photo_id % 31 = 0
+                 UNION ALL SELECT 'credit', CASE WHEN id % 37 = 0 THEN 'too few fields' ELSE 'bad value' END, CASE WHEN id % 37 <> 0 THEN 'amount' END
+                 FROM credit_raw WHERE id % 19 = 0 OR id % 37 = 0
+                 UNION ALL SELECT 'ratings', 'bad value', 'rating' FROM ratings WHERE item_id % 41 = 0
+                 UNION ALL SELECT 'movies', 'bad value', 'movieId' FROM items WHERE item_id % 43 = 0)
+               GROUP BY ALL""",
+            "photos", "credit_raw", "ratings", "items",
+        ),
+        "ratings_complete": _q(
+            """SELECT user_id, item_id, rating, (SELECT count(*) FROM k) AS n_kept, (SELECT count(*) FILTER (user_id IS NULL) FROM loose) AS n_null_user_id,
+                      (SELECT count(*) FILTER (item_id IS NULL) FROM loose) AS n_null_item_id,
+                      (SELECT count(*) FILTER (rating IS NULL) FROM loose) AS n_null_rating, (SELECT count(*) FROM loose) AS n_rows
+               FROM k""",
+            "ratings",
+            extra="""
+              loose AS (SELECT CASE WHEN item_id % 53 <> 0 THEN user_id END AS user_id, CASE WHEN user_id % 59 <> 0 THEN item_id END AS item_id,
+                               CASE WHEN (user_id + item_id) % 47 <> 0 THEN rating END AS rating FROM ratings),
+              k AS (SELECT * FROM loose WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL)""",
+        ),
+        "exact_split": _q(
+            f"""SELECT user_id, item_id, rating, CAST(CASE WHEN row_number() OVER (ORDER BY a, b) <= round(0.8 * n) THEN 0 ELSE 1 END AS INTEGER) AS split
+                FROM (SELECT *, {_KEY48.format(cols=_PAIR)} AS a, {_KEY48.format(cols=_PAIR + ', CAST(rating AS VARCHAR)')} AS b, count(*) OVER () AS n
+                      FROM ratings)""",
+            "ratings",
+        ),
+        "country_top_tags": _q(
+            """SELECT country, CAST(rank AS INTEGER) AS rank, tag, n FROM (
+                 SELECT country, tag, count(*) AS n, row_number() OVER (PARTITION BY country ORDER BY count(*) DESC, tag) AS rank
+                 FROM (SELECT country, unnest(tags) AS tag FROM pics) GROUP BY country, tag)
+               WHERE rank <= 10""",
+            "photos", "boxes", extra=_PICS,
+        ),
+        "tags_published": _q(
+            "SELECT country, tag, count(*) AS n, 0 AS rewritten FROM (SELECT country, unnest(tags) AS tag FROM pics) GROUP BY country, tag",
+            "photos", "boxes", extra=_PICS,
+        ),
+    }
+)

@@ -8,6 +8,7 @@ where the query is a top-k report.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 
 from tessera.functions.codes import shift_codes
 from tessera.functions.text import decode_tags
-from tessera.operators import als, classify, geo, knn, metrics, photos, tags, validate
+from tessera.operators import als, classify, factors, forest, geo, heavy, knn, metrics, neighbours, photos, split, tags, validate
 from tessera.operators import ratings as R
 from tessera.plans.cache import persisted, released
 from tessera.plans.sqlviews import nonderivative_sql
 from tessera.session import ensure_checkpoint_dir, shared_path
+from tessera.sources import ledger, publish, textdata
 from tessera.sources import testdata as td
 from tessera.sources.models import fit_or_load
 from tessera.sources.readers import parse_photo_lines
@@ -142,6 +144,70 @@ def photo_lines_tag_freq(spark, d):
     return tags.country_tag_freq(pics)
 
 
+@query
+def country_top_tags(spark, d):
+    """The ten most frequent tags of each country, found by bounded summaries and counted exactly."""
+    each = _pics(spark, d).select("country", F.explode("tags").alias("tag"))
+    return heavy.most_frequent(each, "country", "tag", k=10)
+
+
+@query
+def tags_published(spark, d):
+    """Tag frequencies written twice to folders by country and read back: the second run writes nothing."""
+    path = shared_path(spark, "published", uuid.uuid4().hex)
+    ensure_checkpoint_dir(spark)
+    freq = tags.country_tag_freq(_pics(spark, d)).checkpoint(eager=True)
+    publish.publish(freq, path, ["country"])
+    again = publish.publish(freq, path, ["country"])
+    back = spark.read.parquet(path)
+    return back.select("country", *[c for c in freq.columns if c != "country"], F.lit(again.written).alias("rewritten"))
+
+
+# ---- scans of text ------------------------------------------------------------------------------
+
+
+def _scan(spark, d, name):
+    return ledger.scan_named(spark, textdata.written(spark, d, name), name)
+
+
+@query
+def scan_photos(spark, d):
+    return _scan(spark, d, "photos").rows.select("photo_id", "user_id", "user_tags", "longitude", "latitude", "license", "marker")
+
+
+@query
+def scan_ratings(spark, d):
+    return _scan(spark, d, "ratings").rows
+
+
+@query
+def scan_movies(spark, d):
+    return _scan(spark, d, "movies").rows
+
+
+@query
+def scan_credit(spark, d):
+    return _scan(spark, d, "credit").rows
+
+
+@query
+def scan_rejects(spark, d):
+    """What the four scans reject, by reason and column."""
+    out = None
+    for name in textdata.TEXTS:
+        found = ledger.summary(_scan(spark, d, name).rejects).select(F.lit(name).alias("source"), "reason", "column", "n")
+        out = found if out is None else out.union(found)
+    return out
+
+
+@query
+def ratings_complete(spark, d):
+    """Ratings without a null, with what the pass that wrote them counted."""
+    path = shared_path(spark, "complete", uuid.uuid4().hex)
+    n = validate.write_complete(textdata.loose_ratings(spark, d), ["user_id", "item_id", "rating"], path)
+    return spark.read.parquet(path).select("*", *[F.lit(v).cast("long").alias(f"n_{c}") for c, v in sorted(n.items())])
+
+
 # ---- ratings --------------------------------------------------------------------------------
 
 
@@ -149,14 +215,14 @@ SAMPLE_SEED = 42
 SPLIT_SEED = 5
 
 
-def _profile(spark, d):
+def _profile(spark, d, ratings=None):
     """The injected user's profile, written once to the shared checkpoint folder.
 
     Queries read it four to six times (mean, liked items, genre vector, norm, exclusions);
     a reliable checkpoint cuts that lineage so the ratings join behind it runs once.
     """
     ensure_checkpoint_dir(spark)
-    return td.profile(spark, d).checkpoint(eager=True)
+    return td.profile(spark, d, ratings).checkpoint(eager=True)
 
 
 @query
@@ -205,6 +271,12 @@ def hash_split(spark, d):
     return R.hash_split_column(td.ratings(spark, d), ["user_id", "item_id"], (0.8, 0.2), seed=SPLIT_SEED)
 
 
+@query
+def exact_split(spark, d):
+    """Sides of exactly 80 and 20 % of the ratings."""
+    return split.exact_split(td.ratings(spark, d), ["user_id", "item_id"], (0.8, 0.2), seed=SPLIT_SEED)
+
+
 # ---- content-based nearest neighbours ---------------------------------------------------------
 
 
@@ -260,8 +332,10 @@ def knn_users(spark, d):
 
 @query
 def knn_recommend(spark, d):
-    prof = _profile(spark, d)
-    return knn.knn_recommend(td.ratings(spark, d), _neighbours(spark, d, prof), prof, td.items(spark, d))
+    ensure_checkpoint_dir(spark)
+    ratings = td.ratings(spark, d).checkpoint(eager=True)  # for the profile, the vectors and the neighbours' items
+    prof = _profile(spark, d, ratings)
+    return knn.knn_recommend(ratings, _neighbours(spark, d, prof, R.above_avg(ratings)), prof, td.items(spark, d))
 
 
 @query
@@ -279,6 +353,25 @@ def knn_users_without_self(spark, d):
     return _neighbours(spark, d, _profile(spark, d), exclude=me)
 
 
+@query
+def knn_users_batch(spark, d):
+    """The five nearest users of every user whose id is divisible by 100."""
+    return neighbours.nearest_users(_vectors(spark, d), F.col("user") % 100 == 0, k=5)
+
+
+@query
+def top_items_all_users(spark, d):
+    """The ten unseen items with the largest products of factors, for every user."""
+    return factors.top_items(td.user_factors(spark, d), td.item_factors(spark, d), td.ratings(spark, d), n=10)
+
+
+@query
+def als_fold_in(spark, d):
+    """Every user's two factors for fixed item factors."""
+    folded = factors.fold_in(td.ratings(spark, d), td.item_taste(spark, d), rank=2, reg=0.1)
+    return folded.select("user_id", *[F.round(F.get("features", F.lit(i)), 6).alias(f"x{i}") for i in range(2)])
+
+
 # ---- metrics and validation -------------------------------------------------------------------
 
 
@@ -289,12 +382,10 @@ def mse_pairs(spark, d):
 
 @query
 def mse_joined(spark, d):
-    """Actual ratings joined with predictions by (user, item): repeated pairs multiply, pairs without a
-    prediction vanish."""
-    actual = td.ratings(spark, d)
-    scored = td.predicted(spark, d).filter(F.col("item_id") % 7 != 0).select("user_id", "item_id", "prediction")
-    twice = scored.filter(F.col("item_id") % 5 == 0)
-    return metrics.mse(metrics.join_predictions(actual, scored.unionByName(twice)), "rating", "prediction")
+    """Actual ratings joined with the predictions of the split's test side by (user, item): pairs of the train side have no
+    prediction and vanish, pairs that were rated several times multiply."""
+    _, scored = R.hash_split(td.predicted(spark, d), ["user_id", "item_id"], (0.8, 0.2), seed=SPLIT_SEED)
+    return metrics.mse(metrics.join_predictions(td.ratings(spark, d), scored), "rating", "prediction")
 
 
 @query
@@ -459,6 +550,14 @@ def credit_score(spark, d):
     return classify.score(model, test)
 
 
+@query
+def credit_score_nodes(spark, d):
+    """Every customer scored by a forest that is a table of nodes."""
+    df = _credit(spark, d)
+    scored = forest.score_nodes(df, td.forest(spark), classify.feature_columns(df))
+    return scored.select("id", "prediction", F.get("probability", F.lit(1)).alias("p1"))
+
+
 @query
 def credit_score_saved(spark, d):
     """Batch scoring by the saved model of the rows that pass the input check."""

@@ -17,8 +17,12 @@ bit for bit.
 | photo_lines(value) | photos | the same photos as raw tab-separated text lines, some short or non-numeric |
 | licenses(Name, ...) | fixed rows | the five licenses of the reference's license file |
 | profile(item_id, title, rating) | ratings | the most active user's items, integer ratings, 0 = unknown |
-| scored(id, label, score) | labels ⋈ documents | label = quality, score = n_chars % 100 |
+| scored(id, label, score) | labels ⋈ documents | label = quality, score = n_chars |
 | answers(id, raw) | orders | typed answers to check against a domain |
+| user_factors(user_id, features) | ratings | how many ratings of each of four bands a user gave |
+| item_factors(item_id, features) | ratings | the same per item |
+| item_taste(item_id, features) | ratings | (ratings of 3 or more, lower ones) per item |
+| forest(tree, node, ...) | fixed rows | three small trees over the credit columns |
 | credit(id, 21 columns) | customer, orders, lineitem | one-based codes from balances and order aggregates |
 """
 
@@ -31,7 +35,7 @@ from pyspark.sql import types as T
 from tessera.plans.skew import join_per_key
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources.readers import read_table
-from tessera.sources.schemas import LICENSE_COLUMNS
+from tessera.sources.schemas import CREDIT_COLUMNS, CREDIT_LABEL, LICENSE_COLUMNS
 
 # --- fixed values: the license table of the reference (file order, header order) ---------
 LICENSE_ROWS = [
@@ -53,6 +57,23 @@ PHOTO_LICENSES = [
     "",
 ]
 
+# A small forest: tree, node, feature, threshold, left, right, share of class 1 (eighths: sums are exact).
+FOREST_NODES = [
+    (0, 0, "balance", 1.0, 1, 2, None),
+    (0, 1, "duration", 8.0, 3, 4, None),
+    (0, 2, None, None, None, None, 0.875),
+    (0, 3, None, None, None, None, 0.125),
+    (0, 4, "age", 40.0, 5, 6, None),
+    (0, 5, None, None, None, None, 0.25),
+    (0, 6, None, None, None, None, 0.5),
+    (1, 0, "amount", 900000.0, 1, 2, None),
+    (1, 1, None, None, None, None, 0.375),
+    (1, 2, "savings", 2.0, 3, 4, None),
+    (1, 3, None, None, None, None, 0.625),
+    (1, 4, None, None, None, None, 0.75),
+    (2, 0, None, None, None, None, 0.5),
+]
+
 PROFILE_USER_ID = -1  # reserved id of the injected user (driver customer keys start at 0)
 
 
@@ -181,8 +202,8 @@ def profile_user(ratings_df: DataFrame) -> DataFrame:
     )
 
 
-def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = ratings(spark, sf_dir)
+def profile(spark: SparkSession, sf_dir: str, ratings_df: DataFrame | None = None) -> DataFrame:
+    r = ratings(spark, sf_dir) if ratings_df is None else ratings_df
     mine = r.join(F.broadcast(profile_user(r)), "user_id", "left_semi")  # one row: bounded
     per_item = mine.groupBy("item_id").agg(F.max("rating").alias("best"))
     rating = F.when(F.col("item_id") % 5 == 0, F.lit(0)).otherwise(F.ceil("best").cast("int"))
@@ -203,13 +224,43 @@ def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_per_key(r, pred.select("item_id", "prediction"), "item_id", counts=pred.select("item_id", "n"))
 
 
+def _bands(ratings_df: DataFrame, key: str) -> DataFrame:
+    """Whole numbers, so that products are exact in any order."""
+    band = F.least(F.floor("rating"), F.lit(4))
+    counts = [F.sum(F.when(band == b, 1).otherwise(0)).cast("double") for b in range(1, 5)]
+    return ratings_df.groupBy(key).agg(F.array(*counts).alias("features"))
+
+
+def user_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bands(ratings(spark, sf_dir), "user_id")
+
+
+def item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bands(ratings(spark, sf_dir), "item_id")
+
+
+def item_taste(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = [F.sum(F.when(F.col("rating") >= 3, a).otherwise(b)).cast("double") for a, b in ((1, 0), (0, 1))]
+    return ratings(spark, sf_dir).groupBy("item_id").agg(F.array(*counts).alias("features"))
+
+
+def forest(spark: SparkSession) -> DataFrame:
+    """The fixed trees as rows of ``operators.forest.NODE_SCHEMA``; features by their place among the credit columns."""
+    names = [c for c in CREDIT_COLUMNS if c != CREDIT_LABEL]
+    rows = [
+        (t, n, None if f is None else names.index(f), c, None, left, right, None if p is None else [1 - p, p])
+        for t, n, f, c, left, right, p in FOREST_NODES
+    ]
+    return spark.createDataFrame(rows, "tree int, node int, feature int, threshold double, categories array<double>, left int, right int, shares array<double>")
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = _t(spark, sf_dir, "labels").select("doc_id", "quality")
     doc = _t(spark, sf_dir, "documents").select("doc_id", "n_chars")
     return lab.join(doc, "doc_id").select(
         F.col("doc_id").alias("id"),
         F.col("quality").cast("double").alias("label"),
-        (F.col("n_chars") % 100).cast("double").alias("score"),
+        F.col("n_chars").cast("double").alias("score"),
     )
 
 
@@ -291,6 +342,11 @@ def _sql_str(v):
     return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
 
 
+def _bands_sql(key):
+    counts = ", ".join(f"CAST(count(*) FILTER (least(floor(rating), 4) = {b}) AS DOUBLE)" for b in range(1, 5))
+    return f"SELECT {key}, [{counts}] AS features FROM ratings GROUP BY {key}"
+
+
 SQL: dict[str, str] = {
     "ratings": """
         SELECT o.o_custkey AS user_id, l.l_partkey AS item_id,
@@ -349,9 +405,17 @@ SQL: dict[str, str] = {
         SELECT r.item_id, r.user_id, r.rating, p.prediction
         FROM ratings r JOIN (SELECT item_id, floor(avg(rating) * 2) / 2 AS prediction
                              FROM ratings GROUP BY item_id) p ON r.item_id = p.item_id""",
+    "user_factors": _bands_sql("user_id"),
+    "item_factors": _bands_sql("item_id"),
+    "item_taste": """
+        SELECT item_id, CAST(count(*) FILTER (rating >= 3) AS DOUBLE) AS x, CAST(count(*) FILTER (rating < 3) AS DOUBLE) AS y
+        FROM ratings GROUP BY item_id""",
+    "forest": "SELECT * FROM (VALUES "
+    + ", ".join("(" + ", ".join("NULL" if v is None else _sql_str(v) if isinstance(v, str) else repr(v) for v in row) + ")" for row in FOREST_NODES)
+    + ") AS t(tree, node, feature, threshold, l, r, p)",
     "scored": """
         SELECT l.doc_id AS id, CAST(l.quality AS DOUBLE) AS label,
-               CAST(d.n_chars % 100 AS DOUBLE) AS score
+               CAST(d.n_chars AS DOUBLE) AS score
         FROM labels l JOIN documents d ON l.doc_id = d.doc_id""",
     "answers": """
         SELECT o_orderkey AS id,
@@ -396,7 +460,7 @@ SQL: dict[str, str] = {
 def with_ctes(body: str, *names: str) -> str:
     """Prefix ``body`` with the adapter CTEs it needs, in dependency order."""
     order = list(SQL)
-    deps = {"photo_lines": ["photos"], "profile_user": ["ratings"], "profile": ["ratings", "items", "profile_user"], "predicted": ["ratings"]}
+    deps = {"photo_lines": ["photos"], "profile_user": ["ratings"], "profile": ["ratings", "items", "profile_user"], "predicted": ["ratings"], "user_factors": ["ratings"], "item_factors": ["ratings"], "item_taste": ["ratings"]}
     need: list[str] = []
 
     def add(n: str) -> None:
