@@ -17,9 +17,12 @@ Spark: the index rows stay in their partitions; the queries go to them in segmen
 ``SEGMENT`` (a broadcast of bounded size), and each task returns the ``k`` best rows of its own per query,
 which a window merges. Neither a hot code bucket nor many copies of a vector meet in one task.
 
+Vectors of different lengths have no cosine: each length is a table of its own, with codes of its own. Results are
+written segment by segment, so no plan grows with their number.
+
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do null
-ids and vectors of another length than the most frequent one; equal rows (id and vector) count once; a query
-never finds rows of its own id; ties go to the smaller id; an empty table gives no rows; extra columns are left out.
+ids; a query never finds its own row, but other rows of its id and vector; rows of equal id are queries of their own; ties
+go to the smaller id; an empty table gives no rows; extra columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import scratch, written
 
 BITS = 128
 SAMPLE = 20_000
@@ -118,14 +121,14 @@ def cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id and double vector of the rows that take part."""
-    v = F.col(vector_col).cast("array<double>")
+    """id and double vector of the rows that take part, and a number for each row."""
+    v = F.col(f"`{vector_col}`").cast("array<double>")
     return (
-        vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+        vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v"))
         .filter(F.col("id").isNotNull() & F.col("v").isNotNull())
         .filter(~F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))))
         .filter(F.exists("v", lambda c: c != 0))
-        .dropDuplicates()
+        .withColumn("row", F.monotonically_increasing_id())
     )
 
 
@@ -142,30 +145,32 @@ def neighbours(
     ``query_filter`` says by the column ``id`` which rows are queries."""
     spark = vectors.sparkSession
     rows = written(usable(vectors, id_col, vector_col), "ann-rows")
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    dim = sizes[0]["d"] if sizes else 0
-    rows = rows.filter(F.size("v") == dim)
     schema = "query long, query_id long, vec_id long, score double"
-    if not dim:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
-    coder = learn(np.asarray(sample["v"].tolist(), float), bits, k)
-    asked = rows.filter(query_filter)
-    segments = max(1, -(-asked.count() // SEGMENT))
-    parts = []
-    for s in range(segments):
-        own = asked.filter(F.pmod(F.xxhash64("id"), F.lit(segments)) == s).orderBy("id", "v").toPandas()
-        if not len(own):
+    path = scratch(spark, "ann-found")
+    lengths = [r["d"] for r in rows.groupBy(F.size("v").alias("d")).count().orderBy("d").collect()]  # a row per length
+    searched = False
+    for dim in lengths:
+        same = rows.filter(F.size("v") == dim)
+        asked = same.filter(query_filter)
+        count = asked.count()
+        if not count:
             continue
-        x = np.asarray(own["v"].tolist(), float)
-        shared = spark.sparkContext.broadcast((own["id"].to_numpy(np.int64), x, coder.codes(x)))
-        parts.append(rows.mapInArrow(searcher(shared, coder, k), schema).withColumn("segment", F.lit(s)))
-    if not parts:
+        sample = same.orderBy(F.xxhash64("id"), "id", "row").limit(SAMPLE).toPandas()
+        coder = learn(np.asarray(sample["v"].tolist(), float), bits, k)
+        segments = -(-count // SEGMENT)
+        for s in range(segments):
+            own = asked.filter(F.pmod(F.xxhash64("row"), F.lit(segments)) == s).orderBy("id", "row").toPandas()
+            if not len(own):
+                continue
+            x = np.asarray(own["v"].tolist(), float)
+            shared = spark.sparkContext.broadcast((own["id"].to_numpy(np.int64), own["row"].to_numpy(np.int64), x, coder.codes(x)))
+            same.mapInArrow(searcher(shared, coder, k), schema).write.mode("append").parquet(path)
+            shared.destroy()
+            searched = True
+    if not searched:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    best = parts[0]
-    for p in parts[1:]:
-        best = best.unionByName(p)
-    order = Window.partitionBy("segment", "query").orderBy(F.desc("score"), "vec_id")
+    best = spark.read.schema(schema).parquet(path)
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return (
         best.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
@@ -177,20 +182,20 @@ def searcher(shared, coder: Coder, k: int):
     """Search the rows of a task, batch by batch, keeping the ``k`` best of each query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, q_x, q_codes = shared.value
+        q_ids, q_rows, q_x, q_codes = shared.value
         scores = np.full((len(q_ids), k), -np.inf)
         ids = np.full((len(q_ids), k), np.iinfo(np.int64).max)
         for batch in batches:
-            own, x = batch.column(0).to_numpy(), to_matrix(batch.column(1))
-            if not len(own):
+            if not batch.num_rows:
                 continue
+            own, x, row = batch.column(0).to_numpy(), to_matrix(batch.column(1)), batch.column(2).to_numpy()
             index = BlockIndex(coder.codes(x))
             for q in range(len(q_ids)):
                 radius = coder.radius
-                need = min(k, int((own != q_ids[q]).sum())) if len(own) < 64 else k
+                need = min(k, int((row != q_rows[q]).sum()))
                 while True:
                     found = index.within(q_codes[q], radius)
-                    found = found[own[found] != q_ids[q]]
+                    found = found[row[found] != q_rows[q]]
                     if len(found) >= need or radius >= 8 * q_codes.shape[1]:
                         break
                     radius += max(1, radius // 8)
@@ -202,7 +207,7 @@ def searcher(shared, coder: Coder, k: int):
         at, rank = np.nonzero(scores > -np.inf)
         for lo in range(0, len(at), 50_000):
             a, r = at[lo : lo + 50_000], rank[lo : lo + 50_000]
-            cols = [pa.array(c) for c in (a, q_ids[a], ids[a, r], scores[a, r])]
+            cols = [pa.array(c) for c in (q_rows[a], q_ids[a], ids[a, r], scores[a, r])]
             yield pa.RecordBatch.from_arrays(cols, names=["query", "query_id", "vec_id", "score"])
 
     return run

@@ -41,8 +41,36 @@ def test_copies_ties_and_unusable_rows(spark):
     rows = [(i, v, 0) for i in range(0, 60)] + [(0, v, 0)]
     rows += [(100, None, 0), (150, [0.0, 0.0, 0.0], 0), (200, [1.0, None, 2.0], 0), (250, [float("nan"), 1.0, 1.0], 0)]
     rows += [(300, [float("inf"), 1.0, 1.0], 0), (350, [1.0, 2.0], 0), (None, v, 0)]
-    got = ann.neighbours(table(spark, rows), F.col("id") % 50 == 0).orderBy("query_id", "rank").collect()
-    assert [(r.query_id, r.vec_id) for r in got] == [(0, i) for i in (1, 2, 3, 4, 5)] + [(50, i) for i in range(5)]
+    got = ann.neighbours(table(spark, rows), F.col("id") % 50 == 0).collect()
+    # the two rows of id 0 are queries of their own and find each other; 350 is alone with its length
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted(
+        2 * [(0, i, v) for i, v in enumerate((0, 1, 2, 3, 4), 1)] + [(50, i, v) for i, v in enumerate((0, 0, 1, 2, 3), 1)]
+    )
+
+
+def test_each_vector_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=2 + i % 3).tolist(), 0) for i in range(300)] + [(350, [1.0] * 7, 0), (400, [1.0] * 9, 0), (401, [1.0] * 9, 0)]
+    got = {}
+    for r in ann.neighbours(table(spark, rows), F.col("id") % 50 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hit = 0
+    for q in range(0, 300, 50):
+        own = [r for r in rows if len(r[1]) == 2 + q % 3]
+        want = brute([r[0] for r in own], np.array([r[1] for r in own], np.float32).astype(float), q, 5)
+        assert len(got[q]) == 5
+        hit += len({v for v, _ in want} & {v for _, v, _ in got[q]})
+    assert hit >= 27 and 350 not in got
+    assert [(v, round(s, 12)) for _, v, s in got[400]] == [(401, 1.0)]
+
+
+def test_segments_and_clashing_columns_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    df = table(spark, [(i, rng.normal(size=6).tolist(), 0) for i in range(400)])
+    plain = sorted(ann.neighbours(df, F.col("id") % 50 == 0).collect())
+    monkeypatch.setattr(ann, "SEGMENT", 3)
+    clashing = df.selectExpr("*", "1 as id", "2 as v", "3 as row", "4 as query", "5 as rank", "6 as score")
+    assert sorted(ann.neighbours(clashing, F.col("id") % 50 == 0).collect()) == plain
 
 
 def test_few_candidates_and_empty_table(spark):
