@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"  # what a JVM integer parse accepts (no spaces, no decimals)
 
@@ -59,20 +60,18 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.filter("is_valid"), checked.filter("NOT is_valid")
 
 
-def complete(df: DataFrame, cols: Sequence[str], name: str = "complete") -> tuple[DataFrame, Observation]:
-    """The rows in which none of ``cols`` is null, and an observation that counts, in the pass that reads them: ``rows``, ``kept``
-    and for each column ``null_<column>``. Its values are there once an action has read all rows (a limit may not)."""
-    seen = Observation(name)
+def write_complete(df: DataFrame, cols: Sequence[str], path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(rows in which none of ``cols`` is null, the others, counts), from one pass over ``df``, which writes both to ``path`` as
+    Parquet. Counts: ``rows``, ``kept`` and for each column ``null_<column>``; they are taken from what has been written, and only the
+    rows that were left out are read for them. (An ``Observation`` would count as well, but once a session has one, Spark 4.1
+    can't send ``vector_to_array`` to its executors.)"""
     whole = F.lit(True)
     for c in cols:
         whole = whole & F.col(f"`{c}`").isNotNull()
-    counts = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"null_{c}") for c in cols]
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(whole, 1)).alias("kept"), *counts)
-    return watched.where(whole), seen
-
-
-def write_complete(df: DataFrame, cols: Sequence[str], path: str) -> dict[str, int]:
-    """Write the complete rows to ``path`` as Parquet and return the counts of that one pass."""
-    kept, seen = complete(df, cols)
-    kept.write.parquet(path)
-    return seen.get
+    df.withColumn("__complete", whole).write.partitionBy("__complete").parquet(path)
+    written = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("__complete", T.BooleanType())])).parquet(path)
+    kept, rest = (written.where(side).drop("__complete") for side in (F.col("__complete"), ~F.col("__complete")))
+    nulls = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(c) for c in cols]
+    out = rest.agg(F.count(F.lit(1)).alias("rows"), *nulls).first()
+    n = kept.count()
+    return kept, rest, {"rows": n + out["rows"], "kept": n} | {f"null_{c}": out[c] for c in cols}

@@ -204,8 +204,8 @@ def scan_rejects(spark, d):
 def ratings_complete(spark, d):
     """Ratings without a null, with what the pass that wrote them counted."""
     path = shared_path(spark, "complete", uuid.uuid4().hex)
-    n = validate.write_complete(textdata.loose_ratings(spark, d), ["user_id", "item_id", "rating"], path)
-    return spark.read.parquet(path).select("*", *[F.lit(v).cast("long").alias(f"n_{c}") for c, v in sorted(n.items())])
+    kept, _, n = validate.write_complete(textdata.loose_ratings(spark, d), ["user_id", "item_id", "rating"], path)
+    return kept.select("*", *[F.lit(v).cast("long").alias(f"n_{c}") for c, v in sorted(n.items())])
 
 
 # ---- ratings --------------------------------------------------------------------------------

@@ -20,7 +20,7 @@ def fit_or_load(path: str, fit: Callable[[], M], load: Callable[[str], M], refit
     """Load the model saved at ``path``; fit and save it when absent or when ``refit`` is set.
 
     An error in loading is raised: it never leads to fitting afresh over a saved model."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.active()  # also in a thread of a pool
     if not refit and saved(spark, path):
         return load(path)
     model = fit()

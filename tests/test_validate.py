@@ -37,8 +37,10 @@ def test_incomplete_rows_are_dropped_and_counted_in_one_pass(spark, tmp_out):
 
     rows = [(1, 2, 3.0), (None, 2, 3.0), (1, None, None), (None, None, None), (4, 5, float("nan"))]
     df = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
-    n = validate.write_complete(df, ["user_id", "item_id", "rating"], f"{tmp_out}/kept")
+    kept, rest, n = validate.write_complete(df, ["user_id", "item_id", "rating"], f"{tmp_out}/kept")
     assert n == {"rows": 5, "kept": 2, "null_user_id": 2, "null_item_id": 2, "null_rating": 2}
-    assert sorted(r.user_id for r in spark.read.parquet(f"{tmp_out}/kept").collect()) == [1, 4]
-    empty = validate.write_complete(df.limit(0), ["user_id"], f"{tmp_out}/none")
-    assert empty == {"rows": 0, "kept": 0, "null_user_id": 0}
+    assert sorted(r.user_id for r in kept.collect()) == [1, 4] and kept.schema == df.schema
+    assert sorted((r.user_id or 0, r.item_id or 0) for r in rest.collect()) == [(0, 0), (0, 2), (1, 0)]
+    for rows, want in ((df.limit(0), (0, 0, 0)), (df.where("user_id is null"), (2, 0, 2)), (df.where("user_id = 4"), (1, 1, 0))):
+        n = validate.write_complete(rows, ["user_id"], f"{tmp_out}/{want}")[2]
+        assert (n["rows"], n["kept"], n["null_user_id"]) == want
