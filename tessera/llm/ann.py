@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch, written
+from tessera.llm.common import scratch, tidy, written
 
 BITS = 128
 SAMPLE = 20_000
@@ -164,7 +164,7 @@ def neighbours(
                 continue
             x = np.asarray(own["v"].tolist(), float)
             shared = spark.sparkContext.broadcast((own["id"].to_numpy(np.int64), own["row"].to_numpy(np.int64), x, coder.codes(x)))
-            same.mapInArrow(searcher(shared, coder, k), schema).write.mode("append").parquet(path)
+            same.mapInArrow(tidy(searcher(shared, coder, k)), schema).write.mode("append").parquet(path)
             shared.destroy()
             searched = True
     if not searched:

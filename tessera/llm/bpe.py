@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import SLICE_BYTES, slices, written
+from tessera.llm.common import SLICE_BYTES, slices, tidy, written
 
 BLOCK_TEXT = 16 << 20
 BLOCK_ROWS = 1 << 16
@@ -204,7 +204,7 @@ def asked_words(docs: DataFrame, text: str, tokenizer_path: str, n_slices: int)
                 own.update(words.of(t.decode()))
             yield rows(block, 0, [(s, pack_strings(ws)) for s, ws in words.by_slice(own, n_slices)])
 
-    return docs.select(F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(run, ROW_SCHEMA)
+    return docs.select(F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(tidy(run), ROW_SCHEMA)
 
 
 def answers(asked: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -222,7 +222,7 @@ def answers(asked: DataFrame, tokenizer_path: str) -> DataFrame:
                 yield rows(block, 0, [(part, pack_strings(own + [known[w] for w in own]))])
 
     n = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return asked.repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(run, ROW_SCHEMA)
+    return asked.repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(tidy(run), ROW_SCHEMA)
 
 
 def texts_of(docs: DataFrame, text: str) -> DataFrame:
@@ -236,7 +236,7 @@ def texts_of(docs: DataFrame, text: str) -> DataFrame:
                     out.write_batch(p)
             yield rows(block, 1, [(0, zstandard.ZstdCompressor(level=6).compress(sink.getvalue()))])
 
-    return docs.mapInArrow(run, ROW_SCHEMA)
+    return docs.mapInArrow(tidy(run), ROW_SCHEMA)
 
 
 def encode_decode(docs: DataFrame, tokenizer_path: str, text: str = "text", stable: bool = True) -> DataFrame:
@@ -295,5 +295,5 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, text: str = "text", stab
         answered.unionByName(texts_of(docs, "__text"))
         .repartition(n, "block")
         .sortWithinPartitions("block", "kind")
-        .mapInArrow(run, schema)
+        .mapInArrow(tidy(run), schema)
     )

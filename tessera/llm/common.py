@@ -65,10 +65,23 @@ def give_back() -> None:
         libc.malloc_trim(0)
 
 
+def tidy(run: Callable) -> Callable:
+    """``run``, a function of batches for ``mapInArrow``, that gives memory back before it begins and once its own is free: a
+    worker that waits for the next task keeps what it holds beside those that run."""
+
+    def tidied(batches):
+        give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches so that each slice holds at most ``SLICE_BYTES`` of text (or one row);
     yields the slice and its texts as UTF-8 bytes (null: empty)."""
-    give_back()
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
         sizes = np.asarray([0 if not v.is_valid else v.as_buffer().size for v in col], np.int64)
@@ -101,7 +114,7 @@ def map_texts(df: DataFrame, fn: Callable[[list[bytes]], dict[str, list]], schem
             cols = [part.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(got[n], type=t) for n, t in kinds], names=kept + names)
 
-    return src.mapInArrow(run, out)
+    return src.mapInArrow(tidy(run), out)
 
 
 def keep_texts(df: DataFrame, fn: Callable[[list[bytes]], np.ndarray], text: str = "text") -> DataFrame:
@@ -111,4 +124,4 @@ def keep_texts(df: DataFrame, fn: Callable[[list[bytes]], np.ndarray], text: str
         for part, texts in slices(batches, text):
             yield part.filter(pa.array(np.asarray(fn(texts), bool)))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_texts, slices
+from tessera.llm.common import map_texts, slices, tidy
 
 # The base patterns, the group that is measured and its least length.
 BASE = {
@@ -118,7 +118,7 @@ def labelled(docs: DataFrame) -> DataFrame:
             cols = [pa.array([f[0] for f in found], pa.bool_()), pa.array([f[1] for f in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["random", "run"])
 
-    return docs.select("text").mapInArrow(run, "random boolean, run binary")
+    return docs.select("text").mapInArrow(tidy(run), "random boolean, run binary")
 
 
 def added_up(strings: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def added_up(strings: DataFrame) -> DataFrame:
         cols = [pa.array(label == 1, pa.bool_()), pa.array(np.where(pair == STATES * STATES, -1, pair)), pa.array(n[label, pair])]
         yield pa.RecordBatch.from_arrays(cols, names=["random", "pair", "n"])
 
-    return strings.mapInArrow(run, "random boolean, pair long, n long")
+    return strings.mapInArrow(tidy(run), "random boolean, pair long, n long")
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, text: str = "text") -> Model:

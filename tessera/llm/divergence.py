@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, written
+from tessera.llm.common import slices, tidy, written
 from tessera.llm.words import byte_table, cut_at_spaces
 
 MIN_DOCS = 30
@@ -73,7 +73,7 @@ def counted(docs: DataFrame) -> DataFrame:
                 yield from flush()
         yield from flush()
 
-    return docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, n long, df long")
+    return docs.select("lang", "source", "text").mapInArrow(tidy(run), "lang string, source string, term string, n long, df long")
 
 
 def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:

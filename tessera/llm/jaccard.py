@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import set_aside, slices, written
+from tessera.llm.common import set_aside, slices, tidy, written
 from tessera.llm.components import components
 
 RATIO = 1.5
@@ -235,7 +235,7 @@ def sketch_blocks(docs: DataFrame, words: int, percent: int, n_slices: int) -> D
         if ids:
             yield from finish(ids, row, sets)
 
-    return docs.select("doc_id", row_key("doc_id", "text").alias("row"), "text").mapInArrow(run, BLOCK_SCHEMA)
+    return docs.select("doc_id", row_key("doc_id", "text").alias("row"), "text").mapInArrow(tidy(run), BLOCK_SCHEMA)
 
 
 def shared_keys(entries: DataFrame) -> DataFrame:
@@ -269,7 +269,7 @@ def shared_keys(entries: DataFrame) -> DataFrame:
 
     n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        entries.select("slice", "ref", "payload").repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(run, "a long, b long")
+        entries.select("slice", "ref", "payload").repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(tidy(run), "a long, b long")
     )
 
 
@@ -350,7 +350,7 @@ def verify(meetings: DataFrame, percent: int) -> DataFrame:
         meetings.select("meeting", "class", "joined", "side", "shingles")
         .repartition(n, "meeting")
         .sortWithinPartitions("meeting", "side", "class")
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(tidy(run), "a long, b long")
     )
 
 
@@ -368,7 +368,7 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
             cols += [pa.array([len(s) for s in sets]), pa.array([a for a, _ in found]), pa.array([b for _, b in found])]
             yield pa.RecordBatch.from_arrays([*cols, pa.array([s.tobytes() for s in sets], pa.binary())], names=schema.fieldNames())
 
-    return rows.select(*kept, "text").mapInArrow(run, schema)
+    return rows.select(*kept, "text").mapInArrow(tidy(run), schema)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import give_back, set_aside, slices, written
+from tessera.llm.common import set_aside, slices, tidy, written
 
 SIZE = 400
 Q = 200
@@ -207,7 +207,7 @@ def entries(docs: DataFrame, n_slices: int, size: int, q: int) -> DataFrame:
         if found:
             yield from finish(found)
 
-    return docs.select("row", "text").mapInArrow(run, ENTRY_SCHEMA)
+    return docs.select("row", "text").mapInArrow(tidy(run), ENTRY_SCHEMA)
 
 
 def meet(parts: list[bytes], q: int) -> Iterator[pa.RecordBatch]:
@@ -252,7 +252,6 @@ def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def settle(packed_entries: DataFrame, q: int) -> DataFrame:
     def run(batches):
-        give_back()
         now, held = None, []
         for batch in batches:
             for s, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -265,7 +264,7 @@ def settle(packed_entries: DataFrame, q: int) -> DataFrame:
             yield from in_pieces(meet(held, q))
 
     n = int(packed_entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return packed_entries.select("slice", "payload").repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(run, FOUND_SCHEMA)
+    return packed_entries.select("slice", "payload").repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(tidy(run), FOUND_SCHEMA)
 
 
 def numbered(keys: np.ndarray) -> np.ndarray:
@@ -328,14 +327,13 @@ def contexts(docs: DataFrame, wanted: DataFrame, q: int) -> DataFrame:
         if out["row"]:
             yield batch_of_contexts(out)
 
-    return joined.mapInArrow(run, CONTEXT_SCHEMA)
+    return joined.mapInArrow(tidy(run), CONTEXT_SCHEMA)
 
 
 def refined(found: DataFrame, size: int, q: int) -> DataFrame:
     """row, start and end of what repeats in buckets of bounded size."""
 
     def run(batches):
-        give_back()
         held: list = []
 
         def flush(rows):
@@ -360,7 +358,7 @@ def refined(found: DataFrame, size: int, q: int) -> DataFrame:
         found.select("bucket", "row", "at", "left", "right", "weight", "context")
         .repartition(n, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(run, "row long, start long, end long")
+        .mapInArrow(tidy(run), "row long, start long, end long")
     )
 
 
@@ -369,7 +367,6 @@ def aggregated(found: DataFrame, size: int, q: int) -> DataFrame:
     schema = "digest binary, weight int, row long, start long"
 
     def run(batches):
-        give_back()
         for batch in batches:
             for bucket, row, at, left, right, weight, context in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 starts = range(0, left + q + right - size + 1)
@@ -380,7 +377,7 @@ def aggregated(found: DataFrame, size: int, q: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, names=["digest", "weight", "row", "start"])
 
     found = found.dropDuplicates(["row", "at"])
-    strings = written(found.select("bucket", "row", "at", "left", "right", "weight", "context").mapInArrow(run, schema), "repeat-strings")
+    strings = written(found.select("bucket", "row", "at", "left", "right", "weight", "context").mapInArrow(tidy(run), schema), "repeat-strings")
     again = strings.groupBy("digest").agg(F.sum("weight").alias("n")).where("n > 1").select("digest")
     return strings.join(again, "digest").select("row", "start", (F.col("start") + size).alias("end"))
 
@@ -408,8 +405,9 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, q: int = Q) -> DataFrame:
     return spans
 
 
-def remove_repeats(docs: DataFrame, size: int = SIZE, q: int | None = None, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with ``text`` replaced by ``kept`` (the remaining bytes), ``n_bytes``, ``n_removed`` and ``spans``."""
+def remove_repeats(docs: DataFrame, size: int = SIZE, q: int | None = None, text: str = "text", id_col: str = "doc_id", as_text: bool = False) -> DataFrame:
+    """``docs`` with ``text`` replaced by ``kept`` (the remaining bytes), ``n_bytes``, ``n_removed`` and ``spans``. ``as_text``: ``kept``
+    is a string, without what is left of a character that was cut apart."""
     q = q or size // 2
     added = ["kept", "n_bytes", "n_removed", "spans"]
     own = [c for c in docs.columns if c not in (text, *added)]
@@ -421,7 +419,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, q: int | None = None, text
     each = each.withColumnRenamed("row", "__of")
     joined = keyed.join(each, keyed["__row"] == each["__of"], "left").select(*[F.col(f"`{c}`") for c in own], "__spans", "__text")
     schema = keyed.select(*[F.col(f"`{c}`") for c in own]).schema
-    for field in StructType.fromDDL("kept binary, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>"):
+    for field in StructType.fromDDL(f"kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>"):
         schema = schema.add(field)
 
     def run(batches):
@@ -433,28 +431,22 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, q: int | None = None, text
                 kept.append(b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                 removed.append(len(body) - len(kept[-1]))
                 cut.append([{"start": a, "end": b} for a, b in rows])
-            cols = [pa.array(kept, pa.binary()), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int64())]
+            kept = pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+            cols = [kept, pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int64())]
             cols.append(pa.array(cut, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
             yield pa.RecordBatch.from_arrays([*part.columns[: len(own)], *cols], names=schema.fieldNames())
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidy(run), schema)
 
 
 def without_repeats(docs: DataFrame, size: int = SIZE, text: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with what is left of each text (of a character that is cut apart, nothing stays), and its length in
     ``length_col`` if there is such a column; texts of which nothing is left go. Other columns stay whatever their names."""
     plain, own = set_aside(docs, "doc_id", text)
-    cut = remove_repeats(plain, size, text=text).filter((F.col("n_bytes") == 0) | (F.octet_length("kept") > 0))
+    # one Python task a row's way: two in a row would be two workers a core, each with its own memory
+    cut = remove_repeats(plain, size, text=text, as_text=True).filter((F.col("n_bytes") == 0) | (F.col("n_removed") < F.col("n_bytes")))
     names = [c for c in cut.columns if c not in ("kept", "n_bytes", "n_removed", "spans")]
-    schema = cut.select(*names).schema.add("__text", "string")
-
-    def run(batches):
-        give_back()
-        for batch in batches:
-            texts = [k.decode(errors="ignore") for k in batch.column(len(names)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.fieldNames())
-
-    out = cut.select(*names, "kept").mapInArrow(run, schema)
+    out = cut.select(*names, F.col("kept").alias("__text"))
     if length_col in own:
         out = out.withColumn(own[length_col], F.length("__text").cast(docs.schema[length_col].dataType))
     return out.select(*[F.col("__text") if c == text else F.col(f"`{n}`") for c, n in own.items()]).toDF(*docs.columns)
