@@ -8,12 +8,13 @@ proposes a window at a start that the shingle's position in it fixes; proposals
 document fall away (position and length bounds), and the rest are verified word by word.
 
 Nothing of the documents is shuffled but counts: a text stays in its task. The items' tables
-go to the tasks in segments of at most ``SEGMENT_WORDS`` words, dealt by the items' hash; a larger benchmark
-takes more segments, never larger ones. The documents of a slice are laid end to end with a gap that no window crosses,
+go to the tasks in segments of about ``SEGMENT_WORDS`` words, dealt by hash; a larger benchmark
+takes more segments, never larger ones. A long item is cut into parts that overlap by all words of a window but one, so
+its windows are dealt to several segments. The documents of a slice are laid end to end with a gap that no window crosses,
 so that numpy handles millions of places at once.
 
 Edge cases: null and empty texts have no words; items without words have no windows; items of equal text are all
-reported; null item ids are left out; repeated rows are judged alike; extra columns pass through, except those named like
+reported; the windows of items with a null id hit words as others do, but no list names them; repeated rows are judged alike; extra columns pass through, except those named like
 the added ones; with an empty benchmark nothing is hit.
 """
 
@@ -30,11 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import slices
+from tessera.llm.common import slices, tidy, written
 
 WINDOW = 13
 SHINGLE = 3
 SEGMENT_WORDS = 500_000
+PART_WORDS = 50_000
 CHUNK = 200_000
 #: bytes of words, A-Z lower-cased; every other ASCII byte becomes a space
 TO_WORDS = bytes(c + 32 if 65 <= c < 91 else c if 48 <= c < 58 or 97 <= c < 123 or c > 127 else 32 for c in range(256))
@@ -82,15 +84,15 @@ class Keys:
 class Windows:
     """The windows of a segment of items."""
 
-    def __init__(self, items: list[tuple[int, bytes]], size: int = WINDOW):
+    def __init__(self, items: list[tuple[int | None, bytes]], size: int = WINDOW):
         self.word_ids: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], set] = defaultdict(set)
-        for item, text in items:
+        for item, text in items:  # a null item has windows, but no name
             ids = [self.word_ids.setdefault(w, len(self.word_ids) + 1) for w in words_of(text)]
             for i in range(max(1, len(ids) - size + 1) if ids else 0):
                 owners[tuple(ids[i : i + size])].add(item)
         self.rows = sorted(owners)
-        self.items = [sorted(owners[w]) for w in self.rows]
+        self.items = [sorted(i for i in owners[w] if i is not None) for w in self.rows]
         self.lengths = np.array([len(w) for w in self.rows], np.int64)
         self.matrix = np.zeros((len(self.rows), size), np.int32)
         for row, w in zip(self.matrix, self.rows, strict=True):
@@ -160,12 +162,34 @@ def contaminated(share: int = 20) -> F.Column:
     return (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))
 
 
+def item_parts(items: DataFrame, size: int) -> DataFrame:
+    """``item_id, words, n``: each item's words, joined by spaces, in parts of about ``PART_WORDS``. Two neighbouring parts
+    share ``size - 1`` words, so each window of the item stands in just one part. Items without words have none, and
+    repeated rows count once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches):
+            ids, words, n = [], [], []
+            for item, text in zip(part.column(0).to_pylist(), texts, strict=True):
+                own = words_of(text)
+                windows = max(1, len(own) - size + 1) if own else 0
+                for lo in range(0, windows, PART_WORDS):
+                    cut = own[lo : min(lo + PART_WORDS, windows) + size - 1]
+                    ids.append(item)
+                    words.append(b" ".join(cut))
+                    n.append(len(cut))
+            cols = [pa.array(ids, pa.int64()), pa.array(words, pa.binary()), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["item_id", "words", "n"])
+
+    return written(items.mapInArrow(tidy(run), "item_id long, words binary, n long").distinct(), "benchmark-parts")
+
+
 def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, keep_text: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``spans`` (hit runs of words, first and last) and ``items``
     (sorted ids of the items with occurring windows); without the text unless ``keep_text``."""
     spark = docs.sparkSession
-    bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
-    amount = bench.agg(F.sum(F.size(F.split("text", "\\s+")))).first()[0] or 0
+    bench = item_parts(benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")), size)
+    amount = bench.agg(F.sum("n")).first()[0] or 0
     segments = max(1, -(-amount // SEGMENT_WORDS))
     kinds = StructType.fromDDL("n_words long, n_hit long, spans array<struct<first:long,last:long>>, items array<long>")
     kept = [c for c in docs.columns if c not in kinds.fieldNames()]
@@ -173,11 +197,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", size:
         {f.name: F.lit(None).cast(f.dataType) for f in kinds}
     )
     for s in range(segments):
-        rows = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(segments)) == s).orderBy("item_id", "text").collect()
-        windows = Windows([(r["item_id"], r["text"].encode()) for r in rows], size)
+        rows = bench.filter(F.pmod(F.xxhash64("item_id", "words"), F.lit(segments)) == s).orderBy("item_id", "words").collect()
+        windows = Windows([(r["item_id"], bytes(r["words"])) for r in rows], size)
         windows.choose(count_shingles(docs, windows, text))
         shared = spark.sparkContext.broadcast(windows)
-        out = out.mapInArrow(marker(shared, kept.index(text), len(kept), kinds), out.schema)
+        out = out.mapInArrow(tidy(marker(shared, kept.index(text), len(kept), kinds)), out.schema)
     return out if keep_text else out.drop(text)
 
 
@@ -197,7 +221,7 @@ def count_shingles(docs: DataFrame, windows: Windows, text: str) -> np.ndarray:
 
     got = (
         docs.select(F.col(f"`{text}`").cast("string").alias("__text"))
-        .mapInArrow(run, "at long, n long")
+        .mapInArrow(tidy(run), "at long, n long")
         .groupBy("at")
         .agg(F.sum("n").alias("n"))
         .toPandas()  # at most the shingles of a segment

@@ -191,7 +191,7 @@ FROM ruled"""
 _WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLE["op7_decontaminate"] = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
-b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
 win AS (
   SELECT DISTINCT item_id, w[i : i + least(13, len(w)) - 1] AS v
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
@@ -203,7 +203,7 @@ hit AS (
   SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
 its AS (
   SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
-  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM found) GROUP BY r)
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM found WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)"""
