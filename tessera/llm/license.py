@@ -4,7 +4,8 @@ A text becomes its words (runs of digits, letters and non-ASCII characters; A-Z
 joined by one space. ``phrases`` are searched for as they stand, on word bounds. A notice of *m* characters may
 be found with up to ``edits(m)`` = *k* edits: it is cut into k + 1 pieces, of which one must occur
 unchanged (pigeonhole), so exact search for the pieces locates every candidate; around each, the
-regex library's bounded-error matching verifies the edits and gives the span. A place within that of another
+regex library's bounded-error matching verifies the edits and gives the span. Each search is bounded by a seed's window, so the work
+grows in proportion to the text, however many notices it holds. A place within that of another
 notice with fewer edits is left out: notices can be so alike that one is the other with a few edits. Nothing is
 shuffled, and each text is searched whole.
 
@@ -19,6 +20,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import regex
 from pyspark.sql import DataFrame
@@ -72,18 +74,59 @@ def pieces(notice: str) -> list[tuple[int, str]]:
 
 @lru_cache(maxsize=256)
 def fuzzy(notice: str) -> regex.Pattern:
-    return regex.compile(rf"(?b)\b(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits(len(notice))}}}\b")
+    return regex.compile(rf"(?b)\b(?=\S)(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits(len(notice))}}}(?<=\S)\b")
 
 
-def places(notice: str, text: str, lo: int, hi: int) -> Iterator[regex.Match]:
-    """The best match of the notice, and so on in what is left before and behind it."""
-    parts = [(lo, hi)]
-    while parts:
-        lo, hi = parts.pop()
-        if hi - lo >= max(0, len(notice) - edits(len(notice))) and (m := fuzzy(notice).search(text, lo, hi)):
+def windows(notice: str, text: str) -> list[tuple[int, int]]:
+    """Short parts of the text such that each match of the notice lies in one: seeds' windows, neighbouring ones together."""
+    k = edits(len(notice))
+    found = set()
+    for offset, piece in pieces(notice):
+        at = text.find(piece)
+        while at >= 0:
+            found.add(at - offset)
+            at = text.find(piece, at + 1)
+    out: list[list[int]] = []
+    for start in sorted(found):
+        lo, hi = max(0, start - 2 * k - 1), min(len(text), start + len(notice) + 2 * k + 1)
+        if out and hi - out[-1][0] <= len(notice) + 8 * k + 2:
+            out[-1][1] = hi
+        else:
+            out.append([lo, hi])
+    return [(lo, hi) for lo, hi in out]
+
+
+def places(notice: str, text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, edits) of the best match of the notice, then of the best in what is left, and so on.
+
+    Every search is bounded by a seed's window. A heap holds each window's best match; one that overlaps a place taken
+    before is searched again in the window's parts before and behind that place."""
+    pattern, shortest = fuzzy(notice), max(1, len(notice) - edits(len(notice)))
+    heap: list[tuple[int, int, int, int, int]] = []
+    starts, ends = [], []  # of the places taken, in order
+
+    def search(lo: int, hi: int) -> None:
+        while hi - lo >= shortest and (m := pattern.search(text, lo, hi)):
             if m.end() > m.start():
-                yield m
-            parts += [(lo, min(m.start(), hi - 1)), (max(m.end(), m.start() + 1), hi)]  # shorter, also for an empty match
+                heappush(heap, (sum(m.fuzzy_counts), m.start(), m.end(), lo, hi))
+                return
+            lo = m.start() + 1
+
+    for lo, hi in windows(notice, text):
+        search(lo, hi)
+    while heap:
+        n, start, end, lo, hi = heappop(heap)
+        i = bisect_right(starts, start)  # the places taken don't overlap: only the neighbours may
+        if i and ends[i - 1] > start:
+            start, end = starts[i - 1], ends[i - 1]
+        elif i < len(starts) and starts[i] < end:
+            start, end = starts[i], ends[i]
+        else:
+            starts.insert(i, start)
+            ends.insert(i, end)
+            yield start, end, n
+        search(lo, min(start, hi))
+        search(max(end, lo), hi)
 
 
 def fewest_edits(found: list[tuple[str, int, int, int, float]]) -> list[tuple[str, int, int, int, float]]:
@@ -102,21 +145,7 @@ def find_notices(text: str, notices: dict[str, str]) -> list[tuple[str, int, int
     """(label, start, end, edits, score) of each notice in a text of words joined by spaces."""
     out = []
     for notice, label in notices.items():
-        k = edits(len(notice))
-        windows = []
-        for offset, piece in pieces(notice):
-            at = text.find(piece)
-            while at >= 0:
-                windows.append((max(0, at - offset - 2 * k - 1), at - offset + len(notice) + 2 * k + 1))
-                at = text.find(piece, at + 1)
-        windows.sort()
-        while windows:
-            lo, hi = windows.pop(0)
-            while windows and windows[0][0] <= hi:
-                hi = max(hi, windows.pop(0)[1])
-            for m in places(notice, text, lo, min(hi, len(text))):
-                n = sum(m.fuzzy_counts)
-                out.append((label, m.start(), m.end(), n, 1 - n / len(notice)))
+        out += [(label, a, b, n, 1 - n / len(notice)) for a, b, n in places(notice, text)]
     return fewest_edits(out)
 
 

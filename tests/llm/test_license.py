@@ -94,6 +94,29 @@ def test_adjacent_edited_and_exact_notices_match_brute_force():
     assert sorted(m[1:4] for m in L.find_notices(text, L.NOTICES)) == [(0, 28, 2), (29, 59, 0)]
 
 
+def test_work_grows_with_the_text_and_places_stay_right():
+    """A long text full of slightly broken notices: every one is found, in time in proportion to the text."""
+    import time
+
+    rnd = random.Random(6)
+    broken = []
+    for i in range(12_000):
+        notice = rnd.choice(list(L.NOTICES)[:8])
+        at = rnd.randrange(4, len(notice) - 4)
+        broken.append(notice[:at] + "x" + notice[at + 1 :] if notice[at] != " " and i % 5 else notice)
+    text = " ".join(broken)
+    seconds = []
+    for part in (text[: len(text) // 4], text):
+        began = time.process_time()
+        found = L.find_notices(part, L.NOTICES)
+        seconds.append(time.process_time() - began)
+    assert len(text) > 500_000 and len(found) >= len(broken)
+    assert seconds[1] < 8 * seconds[0] + 1  # four times the text; a square would take sixteen times as long
+    few = " ".join(broken[:6])
+    for notice in L.NOTICES:
+        assert sorted(L.places(notice, few)) == brute_places(few, notice)
+
+
 def test_places_within_better_ones_match_brute_force():
     rnd = random.Random(5)
     for _ in range(300):
