@@ -11,7 +11,8 @@ which the reader doesn't look at); the ``binaryFile`` source reads them. A file
 so the order of the tokens over all files follows from the files alone.
 
 Encoding uses a bounded cache of the pieces between ASCII white space, which no token of a
-white-space-dropping vocabulary crosses; new pieces go through the tokenizer in batches.
+white-space-dropping vocabulary crosses; new pieces go through the tokenizer in batches. A Python worker keeps its
+cache from task to task, in two generations: what isn't met while one fills is forgotten with it.
 
 Edge cases: null and empty texts have the end id alone; null ids come first; rows with equal ids stand side by
 side, ordered by text; an empty table writes no file and reads as an empty table; one document may be
@@ -25,6 +26,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch, slices, written
+from tessera.llm.common import scratch, slices, tidy, written
 
 BLOCK = 4096
 FILE_IDS = 4 << 20
-CACHE = 400_000
+#: Pieces of a generation of the cache: two are kept.
+CACHE = 250_000
 MAGIC = b"TOKBITS1"
 HEAD = struct.Struct("<8sIIQQQQ")  # magic, bits, ids in a block, documents, ids, task, number
 
@@ -126,6 +129,7 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(self.END)]] = True
@@ -163,21 +167,28 @@ class PieceEncoder:
         """Little-endian 32-bit ids of each text."""
         split = [self.pieces(t) for t in texts]
         if len(self.cache) > CACHE:
-            self.cache.clear()
+            self.cache, self.older = {}, self.cache
         letters, others = [], []
-        for p in set().union(*split):
-            if p not in self.cache:
-                word = p.decode()
-                if word.isalpha():
-                    letters.append((p, word))
-                else:
-                    others.append(p)
+        for p in set().union(*split).difference(self.cache):
+            known = self.older.get(p)
+            if known is not None:
+                self.cache[p] = known
+            elif (word := p.decode()).isalpha():
+                letters.append((p, word))
+            else:
+                others.append(p)
         self.together(letters)
         self.plain(others)
         look = self.cache.__getitem__
         return [b"".join(map(look, words)) for words in split]
 
 
+@lru_cache(maxsize=1)
+def encoder_for(tokenizer_path: str) -> PieceEncoder:
+    """One encoder for all tasks of a Python worker."""
+    return PieceEncoder(tokenizer_path)
+
+
 def vocabulary_size(tokenizer_path: str) -> int:
     from tokenizers import Tokenizer
 
@@ -191,7 +202,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
-        encoder = PieceEncoder(tokenizer_path)
+        encoder = encoder_for(tokenizer_path)
         doc_ids, parts, held = [], [], 0
 
         def flush():
@@ -213,7 +224,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(run, "content binary")
+        .mapInArrow(tidy(run), "content binary")
         .select(F.col("content").cast("string").alias("value"))
         .write.option("maxRecordsPerFile", 1)
         .text(path)
@@ -235,7 +246,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 cols = [np.full(n, f.task), np.full(n, f.number), pa.array(f.doc_ids, pa.int64(), mask=f.null), lo, hi - lo, crc]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(tidy(run), schema)
 
 
 def with_starts(tokens: DataFrame) -> DataFrame:
