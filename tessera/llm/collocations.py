@@ -3,7 +3,8 @@
 Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and line ends, and pieces into words at spaces and tabs. A phrase is
 2 to 4 words that follow each other in a piece; f counts all its places in a language. Phrases with f >= ``least`` are candidates.
 
-1. Words are counted; those with f >= ``least`` get numbers (a number belongs to a word of one language).
+1. Words are counted; those with f >= ``least`` get numbers (a number belongs to a word of one language), and the texts are
+   written as numbers.
 2. Level by level the texts propose phrases that are safe by Apriori: both phrases of one word less are in the trie. Proposals are
    added up over the tasks; sums below ``least`` can't be candidates. What remains is numbered and laid out as the
    trie's next level, a double array over the bytes of word numbers: node n goes by byte c to slot base[n] + c, if check there is n.
@@ -30,10 +31,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, written
+from tessera.llm.common import slices, tidy, written
 from tessera.llm.words import cut_at_spaces
 
 LEAST, LONGEST, SHARE, TOP = 30, 4, 80, 2000
@@ -41,8 +43,8 @@ LEAST, LONGEST, SHARE, TOP = 30, 4, 80, 2000
 PIECE, KEEP = 1 << 18, 8
 #: Prefixes that always share a trie piece, and the most prefixes of a piece.
 BLOCK, REACH = 1 << 10, 1 << 21
-#: Entries of a task's counters before they are sent on.
-ENTRIES = 1 << 20
+#: Entries of a task's counters before they are sent on, and rows of the batches then.
+ENTRIES, ROWS = 1 << 21, 1 << 18
 #: A byte that no UTF-8 text holds: the end of a piece.
 STOP = b"\xff"
 LETTERS = bytes(0xFF if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -76,11 +78,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 n = held.setdefault(lang, Counter())
                 for words in tokens(text):
                     n.update(words)
-            if sum(map(len, held.values())) > ENTRIES // 4:
+            if sum(map(len, held.values())) > ENTRIES // 8:
                 yield from flush()
         yield from flush()
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
+    return docs.select("lang", "text").mapInArrow(tidy(run), "lang string, word string, n long")
 
 
 def number_words(words: DataFrame) -> DataFrame:
@@ -235,44 +237,61 @@ def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     return key, np.bincount(place.ravel(), np.concatenate(counts), len(key)).astype(np.int64)
 
 
-def summed(batches: Iterator[pa.RecordBatch], per_slice) -> Iterator[pa.RecordBatch]:
-    """Batches of key and n, added up over a task's slices. ``per_slice`` gives distinct keys and counts."""
+def encoded(docs: DataFrame, books: list) -> DataFrame:
+    """The word numbers of all texts, a slice of texts a row: ``numbers``, 32-bit numbers, compressed. Written once, as every
+    level reads them. ``docs``: lang, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for part, texts in slices(batches):
+            numbers = numbers_of(part.column(0).to_pylist(), texts, books)
+            yield pa.RecordBatch.from_arrays([pa.array([pack(numbers.astype("<i4").tobytes())], pa.binary())], names=["numbers"])
+
+    return docs.select("lang", "text").mapInArrow(tidy(run), "numbers binary")
+
+
+def summed(batches: Iterator[pa.RecordBatch], per_row) -> Iterator[pa.RecordBatch]:
+    """Batches of key and n, added up over a task's rows of numbers. ``per_row`` gives distinct keys and counts."""
     keys, counts, held = [], [], 0
-    for part, texts in slices(batches):
-        for key, n in per_slice(part.column(0).to_pylist(), texts):
-            keys.append(key)
-            counts.append(n)
-            held += len(key)
-        if held > ENTRIES:
-            key, n = added(keys, counts)
-            keys, counts, held = [key], [n], len(key)
-            if held > ENTRIES // 2:
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
-                keys, counts, held = [], [], 0
+    for batch in batches:
+        for row in batch.column(0):
+            numbers = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.as_buffer()), "<i4").astype(np.int64)
+            for key, n in per_row(numbers):
+                keys.append(key)
+                counts.append(n)
+                held += len(key)
+            if held > ENTRIES:
+                key, n = added(keys, counts)
+                keys, counts, held = [key], [n], len(key)
+                if held > ENTRIES // 2:
+                    yield from sent(key, n)
+                    keys, counts, held = [], [], 0
     if held:
-        key, n = added(keys, counts)
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+        yield from sent(*added(keys, counts))
+
+
+def sent(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(key), ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(key[lo : lo + ROWS]), pa.array(n[lo : lo + ROWS])], names=["key", "n"])
 
 
-def proposals(docs: DataFrame, books: list, levels: list[list], n_words: int) -> DataFrame:
+def proposals(texts: DataFrame, levels: list[list], n_words: int) -> DataFrame:
     """key (number of the phrase without its last word, times n_words, plus the last word) and n, for phrases of one word more
-    than the trie's."""
+    than the trie's. ``texts``: see ``encoded``."""
     k = len(levels) + 1
 
-    def per_slice(langs, texts):
-        numbers = numbers_of(langs, texts, books)
+    def per_row(numbers):
         *_, state = reached(numbers, levels)
         safe = np.flatnonzero((state[:-1] >= 0) & (state[1:] >= 0))
         yield np.unique(state[safe] * n_words + numbers[safe + k], return_counts=True)
 
-    return docs.select("lang", "text").mapInArrow(lambda batches: summed(batches, per_slice), "key long, n long")
+    return texts.mapInArrow(tidy(lambda batches: summed(batches, per_row)), "key long, n long")
 
 
-def counts(docs: DataFrame, books: list, levels: list[list]) -> DataFrame:
+def counts(texts: DataFrame, levels: list[list]) -> DataFrame:
     """key (number of a phrase) and n, for all phrases of the trie."""
 
-    def per_slice(langs, texts):
-        numbers = numbers_of(langs, texts, books)
+    def per_row(numbers):
         for state, pieces in zip(list(reached(numbers, levels))[1:], levels, strict=True):
             state = state[state >= 0]
             for ways in opened(pieces):
@@ -281,7 +300,7 @@ def counts(docs: DataFrame, books: list, levels: list[list]) -> DataFrame:
                 found = np.flatnonzero(n)
                 yield found + ways.first, n[found]
 
-    return docs.select("lang", "text").mapInArrow(lambda batches: summed(batches, per_slice), "key long, n long")
+    return texts.mapInArrow(tidy(lambda batches: summed(batches, per_row)), "key long, n long")
 
 
 def number_level(cands: DataFrame, n_words: int, first: int) -> tuple[DataFrame, list[tuple[int, int, int]]]:
@@ -312,9 +331,10 @@ def mine(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFram
     totals = all_words.groupBy("lang").agg(F.sum("n").alias("n"))
     n_words = max(1, words.count())
     books = dictionaries(spark, words)
+    texts = written(encoded(docs, books), "collocation-numbers")
     levels, tables, first = [], [], n_words
     while len(levels) < longest - 1:
-        bounds = proposals(docs, books, levels, n_words).groupBy("key").agg(F.sum("n").alias("n"))
+        bounds = proposals(texts, levels, n_words).groupBy("key").agg(F.sum("n").alias("n"))
         cands = written(bounds.where(F.col("n") >= least).select("key"), "collocation-candidates")
         size = cands.count()
         if not size:
@@ -331,7 +351,7 @@ def mine(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFram
     out = named = words.select("number", "lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), F.col("n").alias("f"))
     spelled = words.select(F.col("number").alias("word"), F.col("word").alias("last"))
     if levels:
-        found = written(counts(docs, books, levels).groupBy("key").agg(F.sum("n").alias("f")), "collocation-counts")
+        found = written(counts(texts, levels).groupBy("key").agg(F.sum("n").alias("f")), "collocation-counts")
         found = found.withColumnRenamed("key", "number").where(F.col("f") >= least)
         for k, level in enumerate(tables, 2):
             before = named.select(F.col("number").alias("prefix"), "lang", "phrase")
