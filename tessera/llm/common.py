@@ -21,6 +21,8 @@ from tessera.session import shared_path
 SLICE_BYTES = 4 << 20
 #: The Arrow batches that tasks send to Python and back, in bytes (a longer row goes alone).
 BATCH_BYTES = 8 << 20
+#: The keys that are broadcast as hot, at most.
+HOT_KEYS = 10_000
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -45,6 +47,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined_back(rows: DataFrame, per_key: DataFrame, key: list[str], count: F.Column, total: int) -> DataFrame:
+    """``rows`` joined with ``per_key``, which has a row for each of their keys. ``count``: its column with a key's number of rows;
+    ``total``: at least the number of all rows. Spark can't split a hot key of a join with an aggregate, so the keys with more than
+    a 10,000th of all rows, which are 10,000 at most, are broadcast, and their rows stay where they are."""
+    much = max(1, total // HOT_KEYS)
+    hot = per_key.where(count > much)
+    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(per_key.where(count <= much), key))
+
+
 def set_aside(docs: DataFrame, *own: str) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with all columns but ``own`` under reserved names, so that none is called like one that an operator
     adds, and the new name of each column."""

@@ -1,7 +1,7 @@
 """Connected components of an edge table, by alternating large and small stars.
 
 Each round links a node's neighbours to the smallest node it knows; minima are aggregated before the
-shuffle, and the join back is one that Spark splits where a node is hot. Rounds are written to the
+shuffle, and those of hot nodes are broadcast, of which there is a bounded number, so that a hub's edges never meet in a task. Rounds are written to the
 shared folder; they end when the edges stop changing, after a number of rounds that grows with the
 logarithm of the longest path.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import joined_back, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -20,24 +20,29 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Null ends and loops are left out; edges may repeat and run either way."""
     pair = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     now = written(pair.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
+    total = size_and_sum(now)
     while True:
+        ends = 2 * total[0]
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = joined_back(both, least, ["u"], F.col("n"), ends).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         small = (
-            large.join(low, "u")
+            joined_back(large, low, ["u"], F.col("n"), ends)
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .where("u <> v")
             .distinct()
         )
         nxt = written(small, "cc")
-        total = [
-            x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (now, nxt)
-        ]
+        before, total = total, size_and_sum(nxt)
         now = nxt
-        if tuple(total[0]) == tuple(total[1]):
+        if before == total:
             break
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def size_and_sum(edges: DataFrame) -> tuple:
+    """The number of edges and the sum of their hashes."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

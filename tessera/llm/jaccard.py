@@ -13,7 +13,8 @@ partner, whose heavy parts are always listed. P is chosen so that nearly all doc
 1. ``sketch_blocks``: each block of texts (some megabytes) yields the documents' sizes and set digests, the edges
    between its own documents that share a key, and one entry per key, sorted and packed by slices of
    the key space. So a hot key has one entry per block, however many documents hold it.
-2. ``shared_keys``: each slice joins the entries of all blocks and links the holders of a key in a star.
+2. ``shared_keys``: each slice joins the entries of all blocks and connects the holders of each key, with as few edges as
+   connect them in the slice. The packed entries are only shuffled, never written.
 3. Equal sets become one class. Components of the star edges are candidate families; every linked pair lies inside one.
 4. ``verify``: the classes of a family meet in a task. Size and Hamming bounds drop most pairs, the rest are verified on the
    sets, except pairs that are already connected. A family of more than ``BLOCK`` classes is dealt by size (linked
@@ -36,13 +37,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import set_aside, slices, tidy, written
+from tessera.llm.common import joined_back, set_aside, slices, tidy, written
 from tessera.llm.components import components
 
 RATIO = 1.5
@@ -171,8 +173,26 @@ def unpacked(data: bytes, columns: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(c.T).view("<u8").ravel() for c in raw]
 
 
-BLOCK_SCHEMA = "kind int, ref long, other long, doc_id long, row long, n long, d1 long, d2 long, slice int, payload binary"
-NAMES = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As few pairs as connect what the pairs (a, b) connect: the smallest of a component, and each other one of it."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = ends[: len(a)], ends[len(a) :]
+    low = np.arange(len(nodes))
+    while True:
+        before, least = low, np.minimum(low[u], low[v])
+        low = before.copy()
+        for at in (u, v, before[u], before[v]):
+            np.minimum.at(low, at, least)
+        low = low[low]
+        if np.array_equal(low, before):
+            break
+    other = np.flatnonzero(low != np.arange(len(nodes)))
+    return nodes[low[other]], nodes[other]
+
+
+FOUND_SCHEMA = "kind int, ref long, other long, doc_id long, row long, n long, d1 long, d2 long"
+BLOCK_SCHEMA = f"{FOUND_SCHEMA}, slice int, payload binary"
+FOUND, NAMES = ([c.split()[0] for c in s.split(", ")] for s in (FOUND_SCHEMA, BLOCK_SCHEMA))
 
 
 def record(**columns) -> pa.RecordBatch:
@@ -188,7 +208,8 @@ def row_key(id_col: str, text_col: str) -> F.Column:
 
 
 def sketch_blocks(docs: DataFrame, words: int, percent: int, n_slices: int) -> DataFrame:
-    """Rows of three kinds: 0 a document, 1 an edge between two documents of a block, 2 the packed entries of a slice."""
+    """Rows of three kinds: 0 a document, 1 an edge between two documents of a block, 2 the packed entries of a slice. The first
+    two go to any slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, block = TaskContext.get().partitionId(), 0
         shingler, bands = Shingler(words), Bands(percent)
@@ -197,9 +218,10 @@ def sketch_blocks(docs: DataFrame, words: int, percent: int, n_slices: int) -> D
             first_ref = (task << 40) | (block << 24)
             found = [digest(s) for s in sets]
             ref = first_ref + np.arange(len(ids))
+            anywhere = (task * 31 + block) % n_slices
             n = [len(s) for s in sets]
             d1, d2 = zip(*found, strict=True)
-            yield record(kind=np.zeros(len(ids), np.int32), ref=ref, doc_id=ids, row=row, n=n, d1=d1, d2=d2)
+            yield record(kind=np.zeros(len(ids), np.int32), ref=ref, doc_id=ids, row=row, n=n, d1=d1, d2=d2, slice=np.full(len(ids), anywhere))
             seen, keys, holder = {}, [], []
             for i, (s, d) in enumerate(zip(sets, found, strict=True)):
                 if len(s) and seen.setdefault(d, i) == i:
@@ -212,8 +234,9 @@ def sketch_blocks(docs: DataFrame, words: int, percent: int, n_slices: int) -> D
             key, who = key[order], who[order]
             first = np.flatnonzero(np.diff(key, prepend=key[:1] + np.uint64(1)))
             star = who[np.repeat(first, np.diff(np.append(first, len(key))))]
-            if len(own := np.unique(np.stack([who, star])[:, who != star], axis=1).T):
-                yield record(kind=np.ones(len(own), np.int32), ref=first_ref + own[:, 0], other=first_ref + own[:, 1])
+            root, own = spanning(star[who != star], who[who != star])
+            if len(own):
+                yield record(kind=np.ones(len(own), np.int32), ref=first_ref + own, other=first_ref + root, slice=np.full(len(own), anywhere))
             key, who = key[first], who[first]
             part = ((key >> np.uint64(KEY_BITS - 32)) * np.uint64(n_slices) >> np.uint64(32)).astype(np.int64)
             cut = np.flatnonzero(np.diff(part, prepend=-1))
@@ -238,8 +261,8 @@ def sketch_blocks(docs: DataFrame, words: int, percent: int, n_slices: int) -> D
     return docs.select("doc_id", row_key("doc_id", "text").alias("row"), "text").mapInArrow(tidy(run), BLOCK_SCHEMA)
 
 
-def shared_keys(entries: DataFrame) -> DataFrame:
-    """Star edges (a, b) between the holders of each key, from the packed entries."""
+def shared_keys(blocks: DataFrame) -> DataFrame:
+    """The documents and edges of the blocks, and the edges that connect the holders of each key in the packed entries."""
 
     def star(payloads: list[tuple[int, bytes]]):
         key, who = [], []
@@ -252,13 +275,16 @@ def shared_keys(entries: DataFrame) -> DataFrame:
         key, who = key[order], who[order]
         first = np.flatnonzero(np.diff(key, prepend=key[:1] + np.uint64(1)))
         hub = who[np.repeat(first, np.diff(np.append(first, len(key))))]
-        pairs = np.unique(np.stack([hub, who])[:, hub != who], axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+        root, other = spanning(hub[hub != who], who[hub != who])
+        return record(kind=np.ones(len(other), np.int32), ref=other, other=root).select(FOUND)
 
     def run(batches):
         at, held = None, []
         for batch in batches:
-            for s, ref, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            entry = pc.equal(batch["kind"], 2)
+            if (plain := batch.filter(pc.invert(entry))).num_rows:
+                yield plain.select(FOUND)
+            for s, ref, data in zip(*(c.to_pylist() for c in batch.filter(entry).select(["slice", "ref", "payload"]).columns), strict=True):
                 if s != at and held:
                     yield star(held)
                     held = []
@@ -267,10 +293,8 @@ def shared_keys(entries: DataFrame) -> DataFrame:
         if held:
             yield star(held)
 
-    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        entries.select("slice", "ref", "payload").repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(tidy(run), "a long, b long")
-    )
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(tidy(run), FOUND_SCHEMA)
 
 
 def parity(s: np.ndarray) -> np.ndarray:
@@ -378,16 +402,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     spark = docs.sparkSession
     amount = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), amount >> 24)
-    blocks = written(sketch_blocks(docs, words, percent, n_slices), "jaccard-blocks")
-    rows = blocks.filter("kind = 0").select("ref", "doc_id", "row", "n", "d1", "d2")
-    edges = written(
-        blocks.filter("kind = 1").select(F.col("other").alias("a"), F.col("ref").alias("b")).union(shared_keys(blocks.filter("kind = 2"))),
-        "jaccard-edges",
-    )
+    found = written(shared_keys(sketch_blocks(docs, words, percent, n_slices)), "jaccard-found")
+    rows = found.filter("kind = 0").select("ref", "doc_id", "row", "n", "d1", "d2")
+    edges = found.filter("kind = 1").select(F.col("other").alias("a"), F.col("ref").alias("b")).distinct()
+    total = rows.count()
 
     key = ["n", "d1", "d2"]
     classes = written(
-        rows.filter("n > 0").groupBy(*key).agg(F.min("ref").alias("class"), F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("lead"), F.max(F.struct("doc_id", "ref")).getField("doc_id").alias("doc_id")),
+        rows.filter("n > 0")
+        .groupBy(*key)
+        .agg(
+            F.min("ref").alias("class"),
+            F.min("doc_id").alias("least"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("lead"),
+            F.min("row").alias("text_of"),
+        ),
         "jaccard-classes",
     )
     named = written(rows.filter("n > 0").join(classes.select(*key, "class"), key).select("ref", "class"), "jaccard-named")
@@ -399,20 +428,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     family = components(between)
     sizes = family.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     members = (
-        family.join(sizes, "component")
+        joined_back(family, sizes, ["component"], F.col("members"), total)
         .select(F.col("node").alias("class"), F.col("component").alias("family"), "members")
         .join(classes, "class")
         .withColumn("step", F.when(F.col("members") > BLOCK, step_of(F.col("n"), percent)).otherwise(-1))
     )
     members = written(members, "jaccard-members")
-    units = members.groupBy("family", "step").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
-    members = members.join(units, ["family", "step"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
-    wanted = members.select("doc_id", "class", "family", "step", "blocks", "block", *[F.col(k).alias(f"own_{k}") for k in key])
-    held = wanted.join(docs, wanted["doc_id"].eqNullSafe(docs["doc_id"])).drop("doc_id")
-    sets = written(
-        shingle_sets(held, words).filter("n = own_n and d1 = own_d1 and d2 = own_d2").drop("own_n", "own_d1", "own_d2", *key).dropDuplicates(["class"]),
-        "jaccard-sets",
-    )
+    units = members.groupBy("family", "step").agg(F.count(F.lit(1)).alias("in_step"))
+    members = joined_back(members, units, ["family", "step"], F.col("in_step"), total)
+    members = members.withColumn("blocks", F.ceil(F.col("in_step") / BLOCK).cast("long")).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    wanted = members.select("text_of", "class", "family", "step", "blocks", "block", *[F.col(k).alias(f"own_{k}") for k in key])
+    held = wanted.join(docs.select(row_key("doc_id", "text").alias("text_of"), "text"), "text_of").drop("text_of")
+    sets = shingle_sets(held, words).filter("n = own_n and d1 = own_d1 and d2 = own_d2").drop("own_n", "own_d1", "own_d2", *key)
+    if rows.groupBy("row").count().where("count > 1").limit(1).count():  # rows that are equal in id and text
+        sets = sets.dropDuplicates(["class"])
+    sets = written(sets, "jaccard-sets")
 
     hub = sets.filter("block = 0").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     others = sets.filter("block > 0").withColumn("to", F.col("block"))
@@ -426,8 +456,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         found = written(first.union(second_round(large, components(first), percent)), "jaccard-links")
     joined = components(found).select(F.col("node").alias("class"), "component")
     whole = classes.join(joined, "class", "left").select(*key, "least", "lead", F.coalesce("component", "class").alias("group"))
-    first = whole.groupBy("group").agg(F.min("least").alias("component_id"), F.min("lead").alias("lead"))
-    by_class = whole.drop("least", "lead").join(first, "group").select(*key, "component_id", F.col("lead.row").alias("lead_row"))
+    first = whole.groupBy("group").agg(F.min("least").alias("component_id"), F.min("lead").alias("lead"), F.count(F.lit(1)).alias("size"))
+    by_class = joined_back(whole.drop("least", "lead"), first, ["group"], F.col("size"), total).select(*key, "component_id", F.col("lead.row").alias("lead_row"))
     linked = (
         rows.filter("n > 0")
         .join(by_class, key)
