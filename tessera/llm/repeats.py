@@ -9,10 +9,12 @@ the place with the smallest hash is its anchor, so equal strings have the same a
    entry is final: nothing there repeats. Entries of equal context settle each other, without regard to the rest: all their strings
    repeat. A block whose bucket has many contexts deals them out by context instead and sends two
    stand-ins to the bucket, so a hot bucket never meets in one task.
-2. Buckets with several contexts are refined. The context's bytes left and right of the anchor are read; buckets are
-   refined by sorting on (bucket identifier, next byte) outwards on either side, every step reusing the identifiers of
-   the step before; the bucket of a whole string at offset d is the pair of the left identifier for d bytes and
-   the right identifier for the rest. A string repeats if its last bucket holds more than one occurrence.
+2. Buckets with several contexts are refined. The context's bytes left and right of the anchor are read, and every place there gets
+   the identifier of its ``GRAM`` bytes' bucket. The bucket of an anchor and its next n bytes is refined from that of n - GRAM bytes
+   by sorting on (bucket identifier, bucket identifier of the later offset n - GRAM), outwards on either side, so each
+   refinement is used again GRAM bytes on; the first GRAM - 1 lengths go byte by byte. The bucket of a whole string at offset d is the
+   pair of the left identifier for d bytes and the right identifier for the rest. A string repeats if its last bucket holds more than
+   one occurrence.
    Buckets with more than ``LIMIT`` contexts are refined by an aggregation over (offset, string digest) rows instead.
 3. The strings found give spans, which are joined to their texts, merged and cut out.
 
@@ -44,6 +46,8 @@ LOCALLY_HOT = 64
 LIMIT = 4096
 BATCH = 8_192
 CONTEXTS = 4_096
+#: Bytes of the buckets at later offsets; as many as fit a 64-bit number when each has 257 values.
+GRAM = 7
 #: Rows of an Arrow batch that a task sends on.
 ROWS = 1 << 16
 BASE = 0x9E3779B97F4A7C15
@@ -271,6 +275,25 @@ def numbered(keys: np.ndarray) -> np.ndarray:
     return np.unique(keys, return_inverse=True)[1].ravel()
 
 
+def outwards(bucket: np.ndarray, side: np.ndarray) -> list[np.ndarray]:
+    """The identifiers of each bucket together with the next 0, 1, 2, ... values of ``side`` (0: none, else a byte and 1)."""
+    reach = side.shape[1]
+    later, kinds = np.zeros((len(side), max(0, reach - GRAM + 1)), np.int64), 1
+    if later.size:
+        for i in range(GRAM):
+            later *= 257
+            later += side[:, i : i + later.shape[1]]
+        later = numbered(later.ravel()).astype(np.int32).reshape(later.shape)
+        kinds = int(later.max()) + 1
+    ids = [numbered(bucket)]
+    for n in range(1, reach + 1):
+        if n < GRAM:
+            ids.append(numbered(ids[-1] * 257 + side[:, n - 1]))
+        else:
+            ids.append(numbered(ids[n - GRAM] * kinds + later[:, n - GRAM]))
+    return ids
+
+
 def refine(bucket: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.ndarray, contexts: list[bytes], size: int, q: int):
     """For contexts of whole buckets: (number of the context, start, end) of the strings that repeat."""
     reach = size - q
@@ -279,17 +302,13 @@ def refine(bucket: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarr
         data = np.frombuffer(c, np.uint8)
         before[i, : left[i]] = data[: left[i]][::-1] + np.int16(1)
         after[i, : right[i]] = data[left[i] + q :] + np.int16(1)
-    ids = [numbered(bucket)]
-    for j in range(reach):  # identifiers of the bytes to the right, one more at a time
-        ids.append(numbered(ids[-1] * 257 + after[:, j]))
-    from_left = np.zeros(len(at), np.int64)
+    to_right = outwards(bucket, after)
+    to_left = outwards(np.zeros(len(at), np.int64), before)
     out = []
     for d in range(reach + 1):
-        if d:
-            from_left = numbered(from_left * 257 + before[:, d - 1])
         fits = np.flatnonzero((left >= d) & (right >= reach - d))
         if len(fits):
-            last = numbered(ids[reach - d][fits] * (len(at) + 1) + from_left[fits])
+            last = numbered(to_right[reach - d][fits] * (len(at) + 1) + to_left[d][fits])
             again = fits[(np.bincount(last, weight[fits]) > 1)[last]]
             out.append(np.stack([again, at[again] - d, at[again] - d + size]))
     return np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
