@@ -26,6 +26,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
         large = joined_back(both, least, ["u"], F.col("n"), ends).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = written(large, "cc")  # read several times below: unwritten, the plan would hold it once for each
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         small = (
             joined_back(large, low, ["u"], F.col("n"), ends)
