@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 from collections.abc import Iterator
 
 from pyspark import StorageLevel
@@ -34,3 +35,10 @@ def released(spark: SparkSession) -> Iterator[None]:
         held = jsc.getPersistentRDDs()
         for number in set(held.keySet()) - before:
             held[number].unpersist(False)
+
+
+def freed(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of tables that nothing refers to any more. It does so after a collection of the
+    driver's garbage, which a driver with little to do may not need for hours while the files of each fit stay on disk."""
+    gc.collect()  # Python's references to the tables first
+    spark.sparkContext._jvm.System.gc()

@@ -118,3 +118,20 @@ def test_factors_carry_the_original_ids(spark):
 def test_blocks_follow_the_rows():
     assert als.block_count(1000) == 10
     assert als.block_count(10**10) == 317
+
+
+def test_an_iteration_sends_few_copies_of_the_factors():
+    # both factor tables go to every block, so their copies must not grow with the ratings while a block fits a task
+    assert als.block_count(3_600_000) == als.block_count(36_000_000) == 4
+    assert als.block_count(216_000_000) == 6
+    assert als.blocks_for(36_000_000, 8, cores=12) == 4
+    assert als.blocks_for(36_000_000, 32, cores=12) == 12  # one wave, not 19 blocks in two
+    assert als.blocks_for(1000, 32, cores=64) == 10
+
+
+def test_a_grid_frees_what_a_fit_left(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(als, "freed", calls.append)
+    rows = spark.createDataFrame([(u, i, float(1 + (u + i) % 5)) for u in range(12) for i in range(8)], "user_id int, item_id int, rating double")
+    als.grid_report(rows, rows, [(2, 1, 0.1), (2, 2, 0.1)], parallelism=2)
+    assert len(calls) == 2
