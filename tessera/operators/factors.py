@@ -1,10 +1,11 @@
 """Recommendations straight from factor tables: the best unseen items of all users, and new users without a refit.
 
 ``top_items`` never multiplies a user with every item. Items are cut into bands of about ``BAND`` by the length of their
-factor vectors, longest first; each band is broadcast (that many rows) for one pass over the users that are still open.
+factor vectors. Users are dealt to blocks; each block reads all bands once, longest first, each behind the pairs of its users and the band's
+items that are seen. Users stay where they are, so what is shuffled is the users, what they have seen, and a copy of the items for each block.
 A product is at most the product of the lengths (Cauchy-Schwarz), so a user is done when the n-th best score
 found is above their own length times the longest item to come; within a band, blocks of items are skipped by the same rule. What
-a user has seen is joined band by band, so no user's list is ever longer than a band.
+a user has seen comes band by band, so no user's list is ever longer than a band.
 
 ``fold_in`` gives a new user the factors that ALS would with the item factors held fixed: (Σ vvᵀ + λnE) x = Σ rv. The
 sums are one grouped aggregate with partial sums, so a user with a third of all ratings is added up where they are read.
@@ -12,7 +13,6 @@ sums are one grouped aggregate with partial sums, so a user with a third of all
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -21,18 +21,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import shared_path
+from tessera.session import ensure_checkpoint_dir
 
 BAND, BLOCK, USERS = 16_384, 2_048, 512
+#: Users of a block, at most: some 100 MB with the best that are found.
+BLOCK_USERS = 400_000
 #: Cuts of the range of lengths; a cut with more items than a band is dealt to several bands by hash.
 CUTS = 64
 ROOM = 1e-9
 
-STATE = "user_id long, features array<double>, items array<long>, scores array<double>"
+#: Users and seen pairs come to a block in so many pieces (of a band), as rows by themselves are slow to hand to Python.
+PIECES = 64
+#: Rows of a block: kind 0 users, 1 pairs of a user and an item of the band that are seen, 2 a band
+MEETING = "block int, place int, kind int, users array<long>, features array<double>, ids array<long>, lengths array<double>"
+FOUND = "user_id long, rank int, item_id long, score double"
+#: Stands for a null item id.
+NO_ID = np.iinfo(np.int64).min
 
 
 class Band(NamedTuple):
-    """Items by falling length of their vectors, and the length of the longest in any later band (-1: none)."""
+    """Items by falling length of their vectors, and the length of the longest in any later band (-1: none or not known)."""
 
     id: np.ndarray
     factors: np.ndarray
@@ -40,9 +48,8 @@ class Band(NamedTuple):
     next_length: float
 
 
-def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    rows = column.to_pylist()
-    return np.array(rows, np.float64).reshape(len(rows), -1)
+def shaped(values: pa.Array, rows: int) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1 if len(values) else 0)
 
 
 class Best:
@@ -72,6 +79,10 @@ class Best:
             place[who] = np.arange(len(who))
             mine = (seen_at >= lo) & (seen_at < hi) & (place[seen_row] >= 0)
             score[place[seen_row[mine]], seen_at[mine] - lo] = -np.inf
+            better = (score >= self.scores[who, -1:]).any(axis=1)  # the others keep what they have
+            who, score = who[better], score[better]
+            if not len(who):
+                continue
             if score.shape[1] > 4 * n:  # no item below the block's n-th score can be among the best
                 least = -np.partition(-score, n - 1, axis=1)[:, n - 1]
                 width = int((score >= least[:, None]).sum(axis=1).max())
@@ -88,7 +99,8 @@ def banded(items: DataFrame) -> DataFrame:
     """``item_id, features, length, band``: bands of about ``BAND`` items each, by length where lengths differ."""
     length = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, v: s + v * v))
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("features").cast("array<double>").alias("features")).withColumn("length", length)
-    rows = rows.where("length is not null")
+    ensure_checkpoint_dir(items.sparkSession)
+    rows = rows.where("length is not null").checkpoint(eager=True)  # for the count, the cuts and the bands
     count = rows.count()
     cuts = min(CUTS, -(-count // BAND))
     edges = sorted(set(rows.approxQuantile("length", [i / cuts for i in range(1, cuts)], 0.25 / cuts))) if cuts > 1 else []
@@ -109,70 +121,119 @@ def top_items(users: DataFrame, items: DataFrame, seen: DataFrame, n: int = 10)
     that ``seen`` (user_id, item_id) lists; ties to the smaller item. ``users``: user_id, features; ``items``: item_id,
     features, arrays of one length. Rows with null features are left out; repeated ids are rows of their own."""
     spark = users.sparkSession
-    path = shared_path(spark, "top-items", uuid.uuid4().hex)
-    banded(items).write.parquet(f"{path}/items")
-    listed = spark.read.parquet(f"{path}/items")
+    listed = banded(items)
+    people = users.select(F.col("user_id").cast("long").alias("user_id"), F.col("features").cast("array<double>").alias("features"))
+    people = people.where("features is not null").checkpoint(eager=True)
     bands = listed.groupBy("band").agg(F.max("length").alias("length")).orderBy(F.desc("length"), "band").collect()  # a row per band
-    start = users.select(F.col("user_id").cast("long").alias("user_id"), F.col("features").cast("array<double>").alias("features"))
-    nothing = [F.array().cast("array<long>").alias("items"), F.array().cast("array<double>").alias("scores")]
-    start.where("features is not null").select("user_id", "features", *nothing).write.parquet(f"{path}/open-0")
-    passes: list[str] = []
-    for i, band in enumerate(bands):
-        own = listed.where(F.col("band") == band["band"])
-        rows = own.orderBy(F.desc("length"), "item_id").toArrow()  # about BAND rows
-        later = bands[i + 1]["length"] if i + 1 < len(bands) else -1.0
-        shared = spark.sparkContext.broadcast(Band(rows["item_id"].to_numpy(), matrix(rows["features"]), rows["length"].to_numpy(), later))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            band = shared.value
-            by_id = np.argsort(band.id, kind="stable")
-            for batch in batches:
-                for lo in range(0, batch.num_rows, USERS):
-                    yield advance(batch.slice(lo, USERS), band, by_id, n)
-
-        state = spark.read.schema(STATE).parquet(f"{path}/open-{i}")
-        here = seen.select(F.col("user_id").cast("long").alias("user_id"), F.col("item_id").cast("long").alias("item_id")).join(own.select("item_id"), "item_id")
-        here = here.groupBy("user_id").agg(F.collect_set("item_id").alias("seen"))  # at most a band's items
-        out = state.join(here, "user_id", "left").select(*state.columns, "seen").mapInArrow(run, f"{STATE}, open boolean")
-        out.write.parquet(f"{path}/pass-{i}")
-        shared.destroy()
-        passes.append(f"{path}/pass-{i}")
-        after = spark.read.schema(f"{STATE}, open boolean").parquet(passes[-1])
-        if later < 0 or not after.where("open").limit(1).count():
-            break
-        after.where("open").drop("open").write.parquet(f"{path}/open-{i + 1}")
-    if not bands:
-        return spark.createDataFrame([], "user_id long, rank int, item_id long, score double")
-    found = spark.read.schema(f"{STATE}, open boolean").parquet(*passes).where("not open")
-    best = found.select("user_id", F.posexplode(F.arrays_zip("items", "scores")).alias("rank", "b"))
-    return best.select("user_id", (F.col("rank") + 1).alias("rank"), F.col("b.items").alias("item_id"), F.col("b.scores").alias("score"))
-
-
-def advance(rows: pa.RecordBatch, band: Band, by_id: np.ndarray, n: int) -> pa.RecordBatch:
-    """One pass of some users over a band."""
-    names = rows.schema.names
-    column = lambda name: rows.column(names.index(name))
-    height = rows.num_rows
-    items, scores = np.full((height, n), np.iinfo(np.int64).max), np.full((height, n), -np.inf)
-    for i, (a, b) in enumerate(zip(column("items").to_pylist(), column("scores").to_pylist(), strict=True)):
-        items[i, : len(a)], scores[i, : len(b)] = a, b
-    lists = [s or [] for s in column("seen").to_pylist()]
-    seen_row = np.repeat(np.arange(height), [len(s) for s in lists])
-    seen_id = np.array([x for s in lists for x in s], np.int64)
-    # repeated item ids: every row of a seen item is left out
-    lo, hi = (np.searchsorted(band.id, seen_id, side, sorter=by_id) for side in ("left", "right"))
+    places = spark.createDataFrame([(b["band"], i) for i, b in enumerate(bands)], "band long, place int")
+    listed = listed.withColumn("band", F.col("band").cast("long")).join(F.broadcast(places), "band")
+    blocks = max(spark.sparkContext.defaultParallelism, -(-people.count() // BLOCK_USERS))
+    block = F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int").alias("block")
+    null = lambda *names: [F.lit(None).cast(t).alias(c) for c, t in (f.split() for f in MEETING.split(", ")) if c in names]
+    order = [f.split()[0] for f in MEETING.split(", ")]
+    person = F.collect_list(F.struct("user_id", "features")).alias("rows")
+    start = people.groupBy(block, F.pmod(F.xxhash64("user_id", "features"), F.lit(PIECES * PIECES)).alias("piece")).agg(person)
+    start = start.select(
+        "block", F.lit(-1).alias("place"), F.lit(0).alias("kind"), F.col("rows.user_id").alias("users"),
+        F.flatten("rows.features").alias("features"), *null("ids", "lengths"),
+    )
+    pairs = seen.select(F.col("user_id").cast("long").alias("user_id"), F.col("item_id").cast("long").alias("item_id")).where("user_id is not null")
+    here = pairs.join(listed.select("item_id", "place").distinct(), "item_id")
+    pair = F.collect_set(F.struct("user_id", "item_id")).alias("rows")
+    here = here.groupBy(block, "place", F.pmod(F.xxhash64("user_id", "item_id"), F.lit(PIECES)).alias("piece")).agg(pair)
+    here = here.select(
+        "block", "place", F.lit(1).alias("kind"), F.col("rows.user_id").alias("users"), F.col("rows.item_id").alias("ids"), *null("features", "lengths")
+    )
+    row = F.struct("item_id", "features", "length")
+    packed = listed.groupBy("place").agg(F.collect_list(row).alias("rows"))  # about BAND items
+    packed = packed.select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "place", F.lit(2).alias("kind"),
+        F.flatten("rows.features").alias("features"), F.col("rows.item_id").alias("ids"), F.col("rows.length").alias("lengths"), *null("users"),
+    )
+    rows = start.select(*order).unionByName(here.select(*order)).unionByName(packed.select(*order))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, now = None, Block(n)
+        for batch in batches:
+            key = np.stack([batch.column("block").to_numpy(), batch.column("kind").to_numpy()])
+            cut = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(cut, cut[1:], strict=False):
+                if lo < hi:
+                    if key[0, lo] != at:
+                        yield from now.found()
+                        at, now = key[0, lo], Block(n)
+                    now.read(batch.slice(lo, hi - lo), key[1, lo])
+        yield from now.found()
+
+    return rows.repartitionById(blocks, "block").sortWithinPartitions("block", "place", "kind").mapInArrow(run, FOUND)
+
+
+def places_of(wanted: np.ndarray, ids: np.ndarray, by_id: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number in ``wanted``, place in ``ids``) of all equal values; ``by_id`` sorts ``ids``."""
+    lo, hi = (np.searchsorted(ids, wanted, side, sorter=by_id) for side in ("left", "right"))
     many = hi - lo
-    seen_row = np.repeat(seen_row, many)
     inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    seen_at = by_id[np.repeat(lo, many) + inside]
-    best = Best(matrix(column("features")), items, scores)
-    best.meet(band, seen_row, seen_at)
-    still = best.open(band.next_length) if band.next_length >= 0 else np.zeros(height, bool)
-    kept = [np.flatnonzero(s > -np.inf) for s in best.scores]
-    cols = [column("user_id"), column("features")]
-    cols.append(pa.array([best.items[i, k] for i, k in enumerate(kept)], pa.list_(pa.int64())))
-    cols.append(pa.array([best.scores[i, k] for i, k in enumerate(kept)], pa.list_(pa.float64())))
-    return pa.RecordBatch.from_arrays([*cols, pa.array(still)], names=["user_id", "features", "items", "scores", "open"])
+    return np.repeat(np.arange(len(wanted)), many), by_id[np.repeat(lo, many) + inside]
+
+
+class Block:
+    """Some users, who meet one band after another."""
+
+    def __init__(self, n: int):
+        self.n, self.people, self.pairs, self.parts = n, [], [], None
+
+    def read(self, rows: pa.RecordBatch, kind: int) -> None:
+        if kind == 0:
+            users = rows.column("users").flatten()
+            self.people.append((users, shaped(rows.column("features").flatten(), len(users))))
+        elif kind == 1:
+            self.pairs.append((rows.column("users").flatten().to_numpy(), rows.column("ids").flatten().to_numpy()))
+        elif self.people:
+            for i in range(rows.num_rows):
+                self.meet(*(rows.column(c).slice(i, 1).flatten() for c in ("ids", "features", "lengths")))
+
+    def begin(self) -> None:
+        self.id = pa.concat_arrays([u for u, _ in self.people])
+        features = np.concatenate([f for _, f in self.people])
+        self.known = np.flatnonzero(self.id.is_valid().to_numpy(zero_copy_only=False))
+        self.known_id = self.id.fill_null(0).to_numpy()[self.known]
+        self.by_id = np.argsort(self.known_id, kind="stable")
+        self.parts = []
+        for lo in range(0, len(features), USERS):
+            own = features[lo : lo + USERS]
+            shape = (len(own), self.n)
+            self.parts.append(Best(own, np.full(shape, np.iinfo(np.int64).max), np.full(shape, -np.inf)))
+        self.open = list(range(len(self.parts)))
+
+    def meet(self, ids: pa.Array, features: pa.Array, lengths: pa.Array) -> None:
+        if self.parts is None:
+            self.begin()
+        pairs, self.pairs = self.pairs, []
+        lengths = lengths.to_numpy()
+        # no later band has a longer item, so who is done here stays done
+        self.open = [p for p in self.open if self.parts[p].open(lengths.max()).any()]
+        if not self.open:
+            return
+        ids = ids.fill_null(NO_ID).to_numpy()
+        order = np.lexsort((ids, -lengths))
+        factors = shaped(features, len(ids))[order]
+        band = Band(ids[order], factors, lengths[order], -1.0)
+        user, item = (np.concatenate(c) for c in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 2
+        of, at = places_of(item, band.id, np.argsort(band.id, kind="stable"))
+        of, row = places_of(user[of], self.known_id, self.by_id)
+        row, at = self.known[row], at[of]
+        order = np.argsort(row, kind="stable")
+        row, at = row[order], at[order]
+        for p in self.open:
+            lo, hi = np.searchsorted(row, [p * USERS, (p + 1) * USERS])
+            self.parts[p].meet(band, row[lo:hi] - p * USERS, at[lo:hi])
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        for p, best in enumerate(self.parts or []):
+            user, rank = np.nonzero(best.scores > -np.inf)
+            cols = [self.id.take(pa.array(user + p * USERS)), pa.array((rank + 1).astype(np.int32))]
+            cols += [pa.array(best.items[user, rank]), pa.array(best.scores[user, rank])]
+            yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in FOUND.split(", ")])
 
 
 def fold_in(ratings: DataFrame, items: DataFrame, rank: int, reg: float) -> DataFrame:

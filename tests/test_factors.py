@@ -43,6 +43,19 @@ def test_top_items_equal_brute_force(spark, monkeypatch, band):
     assert sorted(map(tuple, got.collect())) == brute(users, items, seen, 7)
 
 
+def test_users_meet_all_bands_in_one_place(spark, monkeypatch):
+    """Users are shuffled once, however many bands there are: no pass writes them again."""
+    monkeypatch.setattr(V, "BAND", 20)
+    monkeypatch.setattr(V, "USERS", 7)
+    users, items, seen = made()
+    listed = spark.createDataFrame(sorted(seen), "user_id long, item_id long")
+    doubled = users + [users[3]]
+    got = V.top_items(*tables(spark, doubled, items), listed, n=5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert sorted(map(tuple, got.collect())) == sorted(brute(doubled, items, seen, 5))
+
+
 def test_equal_lengths_are_dealt_to_bands(spark, monkeypatch):
     monkeypatch.setattr(V, "BAND", 30)
     _, items = tables(spark, [], [(i, [1.0, -1.0]) for i in range(200)])
