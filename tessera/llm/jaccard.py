@@ -16,6 +16,8 @@ partner, whose heavy parts are always listed. P is chosen so that nearly all doc
 2. ``shared_keys``: each slice joins the entries of all blocks and connects the holders of each key, with as few edges as
    connect them in the slice. The packed entries are only shuffled, never written.
 3. Equal sets become one class. Components of the star edges are candidate families; every linked pair lies inside one.
+   A family of more than ``BLOCK`` classes, which often hangs together by passages that many documents share, is cut into the
+   families that connect by a shingle among each set's rarest (``finer``).
 4. ``verify``: the classes of a family meet in a task. Size and Hamming bounds drop most pairs, the rest are verified on the
    sets, except pairs that are already connected. A family of more than ``BLOCK`` classes is dealt by size (linked
    sets are in the same or in neighbouring steps) and into blocks; each block first meets the first block of its step (the hub).
@@ -431,18 +433,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         joined_back(family, sizes, ["component"], F.col("members"), total)
         .select(F.col("node").alias("class"), F.col("component").alias("family"), "members")
         .join(classes, "class")
-        .withColumn("step", F.when(F.col("members") > BLOCK, step_of(F.col("n"), percent)).otherwise(-1))
     )
-    members = written(members, "jaccard-members")
-    units = members.groupBy("family", "step").agg(F.count(F.lit(1)).alias("in_step"))
-    members = joined_back(members, units, ["family", "step"], F.col("in_step"), total)
-    members = members.withColumn("blocks", F.ceil(F.col("in_step") / BLOCK).cast("long")).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
-    wanted = members.select("text_of", "class", "family", "step", "blocks", "block", *[F.col(k).alias(f"own_{k}") for k in key])
+    wanted = members.select("text_of", "class", "family", "members", *[F.col(k).alias(f"own_{k}") for k in key])
     held = wanted.join(docs.select(row_key("doc_id", "text").alias("text_of"), "text"), "text_of").drop("text_of")
     sets = shingle_sets(held, words).filter("n = own_n and d1 = own_d1 and d2 = own_d2").drop("own_n", "own_d1", "own_d2", *key)
     if rows.groupBy("row").count().where("count > 1").limit(1).count():  # rows that are equal in id and text
         sets = sets.dropDuplicates(["class"])
     sets = written(sets, "jaccard-sets")
+    large = sets.where(F.col("members") > BLOCK)
+    one = {"step": F.lit(-1), "blocks": F.lit(1).cast("long"), "block": F.lit(0).cast("long")}
+    sets = sets.where(F.col("members") <= BLOCK).select("class", "family", "shingles", *[c.alias(k) for k, c in one.items()])
+    if large.limit(1).count():
+        sets = sets.union(written(dealt(large, finer(large, percent), percent, total), "jaccard-large"))
 
     hub = sets.filter("block = 0").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     others = sets.filter("block > 0").withColumn("to", F.col("block"))
@@ -466,6 +468,49 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     return linked.union(rows.filter("n = 0").select("doc_id", F.lit(0).cast("long"), "doc_id", "row", F.lit(True)))
 
 
+def set_tokens(sets: DataFrame) -> DataFrame:
+    """A row (class, n, token) for each of a set's n shingles; equal tokens are equal shingles of a family."""
+
+    def run(batches):
+        for batch in batches:
+            for c, family, data in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                token = mix(np.frombuffer(data, "<u8") ^ mix(np.array([family], np.int64).view(np.uint64) * M3)).view(np.int64)
+                columns = [pa.array(np.full(len(token), v), pa.int64()) for v in (c, len(token))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(token)], names=["class", "n", "token"])
+
+    return sets.select("class", "family", "shingles").mapInArrow(tidy(run), "class long, n long, token long")
+
+
+def finer(sets: DataFrame, percent: int) -> DataFrame:
+    """The families of large families: (class, family), without classes that link with none.
+
+    Of a set of n shingles, at most d = n * (100 - percent) / 100 are missing in a linked one. So if all sets' shingles are ordered by
+    the number of sets that hold them, the first that a linked pair shares is among the first d + 1 of either. Those with one
+    holder come first and are not shared: of a set with more than d of them nothing is left."""
+    tokens = written(set_tokens(sets), "jaccard-tokens")
+    total = tokens.count()
+    holders = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    shared = joined_back(tokens, holders, ["token"], F.col("holders"), total)
+    own = shared.groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "token"))).alias("own"))
+    own = own.withColumn("first", F.expr(f"cast(n * {100 - percent} div 100 + 1 - (n - size(own)) as int)")).where("first > 0")
+    first = written(own.select("class", F.explode(F.slice("own", F.lit(1), F.col("first"))).alias("t")).select("class", "t.token"), "jaccard-first")
+    root = first.groupBy("token").agg(F.min("class").alias("root"), F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    star = joined_back(first, root, ["token"], F.col("holders"), total)
+    return components(star, "class", "root").select(F.col("node").alias("class"), F.col("component").alias("family"))
+
+
+def dealt(sets: DataFrame, family: DataFrame, percent: int, total: int) -> DataFrame:
+    """``sets`` in the families given, those of more than ``BLOCK`` sets dealt into steps of size and blocks."""
+    sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
+    placed = joined_back(family, sizes, ["family"], F.col("members"), total).join(sets.drop("family", "members"), "class")
+    step = step_of(F.octet_length("shingles") / 8, percent)
+    placed = written(placed.withColumn("step", F.when(F.col("members") > BLOCK, step).otherwise(-1)), "jaccard-finer")
+    units = placed.groupBy("family", "step").agg(F.count(F.lit(1)).alias("in_step"))
+    placed = joined_back(placed, units, ["family", "step"], F.col("in_step"), total)
+    blocks = F.ceil(F.col("in_step") / BLOCK).cast("long")
+    return placed.select("class", "family", "shingles", "step", blocks.alias("blocks"), F.pmod(F.xxhash64("class"), blocks).alias("block"))
+
+
 def step_of(size: F.Column, percent: int) -> F.Column:
     """The step of a size; sizes of linked sets are a little less than one step apart at most."""
     return F.floor(F.log(size.cast("double")) / F.lit(math.log(100 / percent * 1.001))).cast("int")

@@ -102,3 +102,34 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100 + i, 100) for i in range(1, 50)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(50)} | {200: 200, 201: 200}
+
+
+def test_large_families_are_cut_finer(spark):
+    """Sets that share a passage, and little else, don't meet; linked ones do, also such that share no rare shingle of their own."""
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 2**63, 30).astype(np.uint64)
+    own = [rng.integers(0, 2**63, 70).astype(np.uint64) for _ in range(40)]
+    sets = [np.append(passage, x) for x in own]
+    sets[7] = np.append(passage, np.append(own[6][:65], own[7][:5]))  # a pair
+    sets += [np.append(passage, own[0][:2])]  # nothing but the passage, nearly: its partner as well
+    sets += [np.append(passage, own[1][:2])]
+    rows = [(i, 0 if i != 9 else 1, np.unique(s).tobytes()) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "class long, family long, shingles binary")
+    got = {r["class"]: r.family for r in J.finer(frame, 80).collect()}
+    assert got == {6: 6, 7: 6, 40: 40, 41: 40}
+    assert J.finer(frame.where("class < 5"), 80).count() == 0
+
+
+def test_pools_of_a_common_passage(spark, monkeypatch):
+    """Texts that share a passage of a third fill no pools of the second round."""
+    monkeypatch.setattr(J, "BLOCK", 8)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(9))
+    passage = " ".join(word() for _ in range(60))
+    texts = [f"{passage} {' '.join(word() for _ in range(60))}" for _ in range(120)]
+    texts += [f"{t} {word()}" for t in texts[:30]]
+    made, plain = [], J.written
+    monkeypatch.setattr(J, "written", lambda df, tag: made.append((tag, out := plain(df, tag))) or out)
+    got = {r.doc_id: r.component_id for r in J.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 5, 80).collect()}
+    assert got == {i: i if i < 120 else i - 120 for i in range(150)}
+    assert sum(df.count() for tag, df in made if tag == "jaccard-placed") == 0
