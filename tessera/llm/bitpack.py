@@ -39,7 +39,9 @@ from tessera.llm.common import scratch, slices, tidy, written
 BLOCK = 4096
 FILE_IDS = 4 << 20
 #: Pieces of a generation of the cache: two are kept.
-CACHE = 250_000
+CACHE = 500_000
+#: Bits of numpy's own numbers
+WHOLE = (8, 16, 32)
 MAGIC = b"TOKBITS1"
 HEAD = struct.Struct("<8sIIQQQQ")  # magic, bits, ids in a block, documents, ids, task, number
 
@@ -49,12 +51,16 @@ def width(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
+    if bits in WHOLE:
+        return ids.astype(f"<u{bits // 8}").tobytes()
     if bits % 8 == 0:
         return ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : bits // 8].tobytes()
     return np.packbits((ids.astype(np.uint32)[:, None] >> np.arange(bits, dtype=np.uint32)) & 1 != 0, bitorder="little").tobytes()
 
 
 def unpack(data: bytes | memoryview, n: int, bits: int) -> np.ndarray:
+    if bits in WHOLE:
+        return np.frombuffer(data, f"<u{bits // 8}", n).astype("<u4")
     raw = np.frombuffer(data, np.uint8)
     if bits % 8 == 0:
         out = np.zeros((n, 4), np.uint8)
@@ -95,17 +101,31 @@ class TokenFile:
         self.block_offsets = np.frombuffer(self.data, "<u8", blocks + 1, at)
         self.payload = at + 8 * (blocks + 1)
 
+    def ids_of(self, b: int) -> np.ndarray:
+        """The ids of a block."""
+        n = min(self.block, self.n_ids - b * self.block)
+        a, z = int(self.block_offsets[b]), int(self.block_offsets[b + 1])
+        return unpack(self.data[self.payload + a : self.payload + z], n, self.bits)
+
     def read(self, lo: int, hi: int) -> np.ndarray:
         """The ids from lo up to hi, unpacking the blocks that hold them."""
         if hi <= lo:
             return np.zeros(0, np.uint32)
         first, last = lo // self.block, -(-hi // self.block)
-        parts = []
-        for b in range(first, last):
-            n = min(self.block, self.n_ids - b * self.block)
-            a, z = int(self.block_offsets[b]), int(self.block_offsets[b + 1])
-            parts.append(unpack(self.data[self.payload + a : self.payload + z], n, self.bits))
-        return np.concatenate(parts)[lo - first * self.block : hi - first * self.block]
+        return np.concatenate([self.ids_of(b) for b in range(first, last)])[lo - first * self.block : hi - first * self.block]
+
+    def crc32s(self) -> list[int]:
+        """The crc32 of each document's ids as little-endian 32-bit numbers; each block is unpacked once."""
+        ends, out, d = self.offsets.tolist(), [0] * len(self.doc_ids), 0
+        for b in range(len(self.block_offsets) - 1):
+            raw = memoryview(self.ids_of(b).astype("<u4", copy=False)).cast("B")
+            at, end = b * self.block, b * self.block + len(raw) // 4
+            while d < len(out) and ends[d] < end:
+                out[d] = zlib.crc32(raw[4 * (max(ends[d], at) - at) : 4 * (min(ends[d + 1], end) - at)], out[d])
+                if ends[d + 1] > end:
+                    break
+                d += 1
+        return out
 
 
 class PieceEncoder:
@@ -113,10 +133,12 @@ class PieceEncoder:
 
     For a vocabulary that lower-cases, ends each word with ``</w>`` and splits letters from other characters, ASCII
     letters may be lower-cased, and a comma or full stop behind a word be cut off, before the pieces are
-    looked up: there are fewer to encode. New pieces of letters only are single words: they are encoded many at a
+    looked up: there are fewer to encode. Of a new piece, signs behind its last ASCII letter or digit are encoded by themselves, as they are in many. New pieces of letters only are single words: they are encoded many at a
     time and told apart by the end marks (by themselves where the marks don't add up)."""
 
     END = "</w>"
+    #: what no word of ASCII letters or digits holds, nor a token that begins in one
+    SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
     #: a comma or full stop at the end of a word, and one that follows anything else
     STOP = re.compile(rb"(?<=[a-z0-9])([,.])(?=[ \n]|\Z)")
     OTHER = re.compile(rb"[^a-z0-9\s][,.](?:[ \n]|\Z)")
@@ -168,18 +190,28 @@ class PieceEncoder:
         split = [self.pieces(t) for t in texts]
         if len(self.cache) > CACHE:
             self.cache, self.older = {}, self.cache
-        letters, others = [], []
+        new, cut = set(), []
         for p in set().union(*split).difference(self.cache):
             known = self.older.get(p)
             if known is not None:
                 self.cache[p] = known
-            elif (word := p.decode()).isalpha():
+                continue
+            head = p.rstrip(self.SIGNS)
+            if head != p and head[-1:].isalnum() and b"<|" not in p:
+                cut.append((p, head, p[len(head) :]))
+                new.update(cut[-1][1:])
+            else:
+                new.add(p)
+        letters, others = [], []
+        for p in new.difference(self.cache):
+            if (word := p.decode()).isalpha():
                 letters.append((p, word))
             else:
                 others.append(p)
         self.together(letters)
         self.plain(others)
         look = self.cache.__getitem__
+        self.cache.update((p, look(head) + look(tail)) for p, head, tail in cut)
         return [b"".join(map(look, words)) for words in split]
 
 
@@ -242,8 +274,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 f = TokenFile(content.as_buffer())
                 n = len(f.doc_ids)
                 lo, hi = f.offsets[:-1].astype(np.int64), f.offsets[1:].astype(np.int64)
-                crc = [zlib.crc32(f.read(a, b).astype("<u4").tobytes()) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
-                cols = [np.full(n, f.task), np.full(n, f.number), pa.array(f.doc_ids, pa.int64(), mask=f.null), lo, hi - lo, crc]
+                cols = [np.full(n, f.task), np.full(n, f.number), pa.array(f.doc_ids, pa.int64(), mask=f.null), lo, hi - lo, f.crc32s()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(tidy(run), schema)

@@ -22,6 +22,30 @@ def test_round_trip(bits):
         assert np.array_equal(f.read(lo, hi), ids[lo:hi])
 
 
+@pytest.mark.parametrize("bits", [11, 16, 24, 32])
+def test_checksums_unpack_each_block_once(bits, monkeypatch):
+    counts = [0, 3, 4093, 1, 0, 9000, 5, 0, 4096 * 2, 7, 0]
+    ids = np.random.default_rng(bits).integers(0, 2**bits, sum(counts), dtype=np.uint64).astype(np.uint32)
+    f = B.TokenFile(B.to_file(list(range(len(counts))), counts, ids, bits, 0, 0))
+    ends = np.cumsum([0, *counts]).tolist()
+    want = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(ends, ends[1:], strict=False)]
+    calls, plain = [], B.unpack
+    monkeypatch.setattr(B, "unpack", lambda *a: calls.append(1) or plain(*a))
+    assert f.crc32s() == want and len(calls) == len(f.block_offsets) - 1
+
+
+def test_signs_behind_a_word_are_encoded_once():
+    encoder = B.PieceEncoder(PATH)
+    texts = [f"w{'abcdefghij'[i]}x{s}" for i in range(10) for s in ("%%%", "###,", "'", "?!", ".\"", "<|", "<|endoftext|>")]
+    texts += ["don't'", "a1%", "é%", "x=\u0338", "Σ1.", "ΑΣ.'a%", "a\u0301.", "It's.'", "'ll.", "%%%", "Ab%<|x%"]
+    asked, plain = [], encoder.plain
+    encoder.plain = lambda pieces: asked.extend(pieces) or plain(pieces)
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode([t.encode() for t in texts]) == want
+    assert sum(p.endswith(b"###,") for p in asked) == 1
+    assert encoder.encode([" ".join(texts[:30]).encode()]) == [np.array(encoder.tokenizer.encode(" ".join(texts[:30]), add_special_tokens=False).ids, "<u4").tobytes()]
+
+
 def test_width():
     assert [B.width(n) for n in (1, 2, 3, 49408, 65536, 65537)] == [1, 1, 2, 16, 16, 17]
 
