@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -51,6 +52,16 @@ def test_without_repeats_keeps_the_columns(spark):
     assert got[2].text == "start é " and all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_entries_are_dealt_evenly(spark):
+    docs = frame(spark, [(i, "".join(random.Random(i).choices("abcdefgh ", k=3000))) for i in range(40)]).selectExpr("doc_id as row", "text")
+    packed = R.entries(docs, 8, 60, 30).where("kind = 0").collect()
+    held = Counter()
+    for r in packed:
+        held[r.slice] += len(R.unpacked(bytes(r.payload), 7)[0])
+    total = sum(held.values())
+    assert set(held) == set(range(8)) and max(held.values()) < 1.3 * total / 8
+
+
 def test_empty_table(spark):
     assert R.remove_repeats(frame(spark, []), 40).count() == 0
 
