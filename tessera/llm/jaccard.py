@@ -55,6 +55,8 @@ BLOCK = 256
 SKETCH_BITS = 2048
 SLICE_TEXT = 8 << 20
 WORDS_KEPT = 200_000
+#: Documents or edges of a block that go to one slice.
+PLAIN = 256
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -220,10 +222,10 @@ def sketch_blocks(docs: DataFrame, words: int, percent: int, n_slices: int) -> D
             first_ref = (task << 40) | (block << 24)
             found = [digest(s) for s in sets]
             ref = first_ref + np.arange(len(ids))
-            anywhere = (task * 31 + block) % n_slices
+            anywhere = (task * 31 + block + np.arange(len(ids)) // PLAIN) % n_slices
             n = [len(s) for s in sets]
             d1, d2 = zip(*found, strict=True)
-            yield record(kind=np.zeros(len(ids), np.int32), ref=ref, doc_id=ids, row=row, n=n, d1=d1, d2=d2, slice=np.full(len(ids), anywhere))
+            yield record(kind=np.zeros(len(ids), np.int32), ref=ref, doc_id=ids, row=row, n=n, d1=d1, d2=d2, slice=anywhere)
             seen, keys, holder = {}, [], []
             for i, (s, d) in enumerate(zip(sets, found, strict=True)):
                 if len(s) and seen.setdefault(d, i) == i:
@@ -238,7 +240,7 @@ def sketch_blocks(docs: DataFrame, words: int, percent: int, n_slices: int) -> D
             star = who[np.repeat(first, np.diff(np.append(first, len(key))))]
             root, own = spanning(star[who != star], who[who != star])
             if len(own):
-                yield record(kind=np.ones(len(own), np.int32), ref=first_ref + own, other=first_ref + root, slice=np.full(len(own), anywhere))
+                yield record(kind=np.ones(len(own), np.int32), ref=first_ref + own, other=first_ref + root, slice=anywhere[: len(own)])
             key, who = key[first], who[first]
             part = ((key >> np.uint64(KEY_BITS - 32)) * np.uint64(n_slices) >> np.uint64(32)).astype(np.int64)
             cut = np.flatnonzero(np.diff(part, prepend=-1))
@@ -352,14 +354,15 @@ def links(classes: list[int], joined: list[int], sides: list[int], sets: list[np
 
 
 def verify(meetings: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) from rows (meeting, class, joined, side, shingles): the rows of a meeting stand together."""
+    """Pairs (a, b) that connect what the links of each meeting connect, from rows (meeting, class, joined, side, shingles): the rows
+    of a meeting stand together."""
 
     def run(batches):
         at, rows = None, []
 
         def meet():
-            got = links(*(list(c) for c in zip(*rows, strict=True)), percent)
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in got], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            got = np.array(links(*(list(c) for c in zip(*rows, strict=True)), percent), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in spanning(got[:, 0], got[:, 1])], names=["a", "b"])
 
         for batch in batches:
             for key, c, j, side, data in zip(*(x.to_pylist() for x in batch.columns), strict=True):
@@ -453,10 +456,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         verify(meetings.withColumn("meeting", F.concat_ws(":", "family", "step", "to")).withColumn("joined", F.col("class")), percent), "jaccard-links"
     )
     large = sets.filter("step >= 0")
-    found = first
+    known = components(first)
     if large.limit(1).count():
-        found = written(first.union(second_round(large, components(first), percent)), "jaccard-links")
-    joined = components(found).select(F.col("node").alias("class"), "component")
+        later = written(second_round(large, known, percent), "jaccard-links")
+        if later.limit(1).count():
+            known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(later))
+    joined = known.select(F.col("node").alias("class"), "component")
     whole = classes.join(joined, "class", "left").select(*key, "least", "lead", F.coalesce("component", "class").alias("group"))
     first = whole.groupBy("group").agg(F.min("least").alias("component_id"), F.min("lead").alias("lead"), F.count(F.lit(1)).alias("size"))
     by_class = joined_back(whole.drop("least", "lead"), first, ["group"], F.col("size"), total).select(*key, "component_id", F.col("lead.row").alias("lead_row"))

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import common, jaccard, repeats
+from tessera.llm import components as cc
 from tessera.llm.components import components
 
 
@@ -49,6 +50,27 @@ def test_components_with_a_hub(spark, monkeypatch):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_stars_end_without_a_round(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(cc, "written", lambda df, tag: tables.append(tag) or common.written(df, tag))
+    edges = [(10 * k + i, 10 * k) for k in range(30) for i in range(1, 8)]
+    got = cc.components(spark.createDataFrame(edges + [(b, a) for a, b in edges], "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted((10 * k + i, 10 * k) for k in range(30) for i in range(8))
+    assert len(tables) == 2
+
+
+def test_meetings_give_stars(spark):
+    sets = [(1, 9 - i, 9 - i, 0, np.arange(100 + i, dtype="<u8").tobytes()) for i in range(6)]
+    meetings = spark.createDataFrame(sets, "meeting long, class long, joined long, side int, shingles binary")
+    assert sorted(map(tuple, jaccard.verify(meetings, 90).collect())) == [(4, 5 + i) for i in range(5)]
+
+
+def test_documents_of_a_block_go_to_several_slices(spark):
+    docs = spark.range(2000).coalesce(1).selectExpr("id as doc_id", "concat('a b ', id) as text")
+    rows = jaccard.sketch_blocks(docs, 3, 90, 16).where("kind = 0").groupBy("slice").count().collect()
+    assert len(rows) == 8 and max(r["count"] for r in rows) == jaccard.PLAIN
+
+
 def test_joined_back_keeps_every_row(spark, monkeypatch):
     monkeypatch.setattr(common, "HOT_KEYS", 4)
     rows = spark.createDataFrame([(i % 3 if i % 2 else 77, i) for i in range(300)] + [(100 + i, i) for i in range(20)], "k long, v long")
