@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import joined_back, set_aside, slices, tidy, written
+from tessera.llm.common import HOT_KEYS, joined_back, set_aside, slices, tidy, written
 from tessera.llm.components import components
 
 RATIO = 1.5
@@ -473,34 +473,88 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     return linked.union(rows.filter("n = 0").select("doc_id", F.lit(0).cast("long"), "doc_id", "row", F.lit(True)))
 
 
+def tokens_of(family: int, data: bytes) -> np.ndarray:
+    """The shingles of a set as tokens: equal tokens are equal shingles of a family."""
+    return mix(np.frombuffer(data, "<u8") ^ mix(np.array([family], np.int64).view(np.uint64) * M3)).view(np.int64)
+
+
 def set_tokens(sets: DataFrame) -> DataFrame:
-    """A row (class, n, token) for each of a set's n shingles; equal tokens are equal shingles of a family."""
+    """A row (class, token) for each of a set's shingles."""
 
     def run(batches):
         for batch in batches:
             for c, family, data in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                token = mix(np.frombuffer(data, "<u8") ^ mix(np.array([family], np.int64).view(np.uint64) * M3)).view(np.int64)
-                columns = [pa.array(np.full(len(token), v), pa.int64()) for v in (c, len(token))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(token)], names=["class", "n", "token"])
+                token = tokens_of(family, data)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(token), c), pa.int64()), pa.array(token)], names=["class", "token"])
+
+    return sets.select("class", "family", "shingles").mapInArrow(tidy(run), "class long, token long")
+
+
+def first_tokens(sets: DataFrame, percent: int, hot: list[tuple[int, int]]) -> DataFrame:
+    """What is known of each set's first d + 1 tokens, if tokens of ``hot`` (token, holders) come last. Rows of four kinds: 0 a token that may be
+    among them, 1 one that is, 2 a hot one that is, with one of its sets in a batch, 3 an edge (class, root) between sets of a batch that share such a one."""
+    schema = "kind int, class long, n long, token long, root long"
+    names = [c.split()[0] for c in schema.split(", ")]
+    hot = np.array(sorted(hot), np.int64).reshape(-1, 2)
+    rank = np.empty(len(hot), np.int64)
+    rank[np.lexsort((hot[:, 0], hot[:, 1]))] = np.arange(len(hot))
 
-    return sets.select("class", "family", "shingles").mapInArrow(tidy(run), "class long, n long, token long")
+    def rows(kind, classes, n=None, token=None, root=None):
+        columns = [pa.nulls(len(classes), pa.int64()) if c is None else pa.array(c, pa.int64()) for c in (classes, n, token, root)]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(classes), kind), pa.int32()), *columns], names=names)
+
+    def run(batches):
+        for batch in batches:
+            at, who = [], []
+            for c, family, data in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                token = tokens_of(family, data)
+                n = len(token)
+                place = np.searchsorted(hot[:, 0], token)
+                known = np.append(hot[:, 0], 0)[place] == token
+                known &= place < len(hot)
+                plain, first = token[~known], n * (100 - percent) // 100 + 1
+                yield rows(int(len(plain) <= first), np.full(len(plain), c), np.full(len(plain), n), plain)
+                if len(plain) < first:
+                    own = place[known]
+                    at.append(own[np.argsort(rank[own])][: first - len(plain)])
+                    who.append(np.full(len(at[-1]), c))
+            if not at:
+                continue
+            at, who = np.concatenate(at), np.concatenate(who)
+            order = np.lexsort((who, at))
+            at, who = at[order], who[order]
+            begin = np.flatnonzero(np.diff(at, prepend=-1))
+            yield rows(2, who[begin], token=hot[at[begin], 0])
+            star = np.repeat(who[begin], np.diff(np.append(begin, len(at))))
+            root, other = spanning(star[star != who], who[star != who])
+            yield rows(3, other, root=root)
+
+    return sets.select("class", "family", "shingles").mapInArrow(tidy(run), schema)
 
 
 def finer(sets: DataFrame, percent: int) -> DataFrame:
     """The families of large families: (class, family), without classes that link with none.
 
-    Of a set of n shingles, at most d = n * (100 - percent) / 100 are missing in a linked one. So if all sets' shingles are ordered by
-    the number of sets that hold them, the first that a linked pair shares is among the first d + 1 of either. Those with one
-    holder come first and are not shared: of a set with more than d of them nothing is left."""
-    tokens = written(set_tokens(sets), "jaccard-tokens")
-    total = tokens.count()
-    holders = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    shared = joined_back(tokens, holders, ["token"], F.col("holders"), total)
-    own = shared.groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "token"))).alias("own"))
-    own = own.withColumn("first", F.expr(f"cast(n * {100 - percent} div 100 + 1 - (n - size(own)) as int)")).where("first > 0")
-    first = written(own.select("class", F.explode(F.slice("own", F.lit(1), F.col("first"))).alias("t")).select("class", "t.token"), "jaccard-first")
+    Of a set of n shingles, at most d = n * (100 - percent) / 100 are missing in a linked one: so a set with more than d that no other
+    set holds links with none and goes. If all shingles of those left are in one order, the first that a linked pair shares is among the first
+    d + 1 of either. They are ordered by the number of sets that hold them, the hot ones last (more than a 10,000th of all rows, so
+    10,000 at most): a set's hot ones among its first d + 1 are known from the set alone, so they are settled by batch, without a row for
+    each holder, and the others' holders are only looked up for sets that have more than d + 1 of them."""
+    counted = written(set_tokens(sets).groupBy("token").agg(F.count(F.lit(1)).alias("holders"), F.min("class").alias("least")), "jaccard-holders")
+    total = counted.agg(F.sum("holders")).first()[0] or 0
+    hot = [tuple(r) for r in counted.where(F.col("holders") > max(1, total // HOT_KEYS)).select("token", "holders").collect()]
+    alone = counted.where("holders = 1").groupBy(F.col("least").alias("class")).agg(F.count(F.lit(1)).alias("alone"))
+    still = sets.join(alone, "class", "left").where(f"coalesce(alone, 0) <= octet_length(shingles) div 8 * {100 - percent} div 100")
+    found = written(first_tokens(still, percent, hot), "jaccard-tokens")
+
+    holders = found.where("kind < 2").groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    size = found.where("kind = 0").groupBy("class").agg(F.count(F.lit(1)).alias("plain"))
+    own = found.where("kind = 0").join(holders, "token").groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "token"))).alias("own"))
+    own = own.join(size, "class").withColumn("first", F.expr(f"cast(n * {100 - percent} div 100 + 1 - (plain - size(own)) as int)")).where("first > 0")
+    own = own.select("class", F.explode(F.slice("own", F.lit(1), F.col("first"))).alias("t")).select("class", "t.token")
+    first = written(own.union(found.where("kind in (1, 2)").select("class", "token")), "jaccard-first")
     root = first.groupBy("token").agg(F.min("class").alias("root"), F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    star = joined_back(first, root, ["token"], F.col("holders"), total)
+    star = first.join(root, "token").select("class", "root").union(found.where("kind = 3").select("class", "root"))
     return components(star, "class", "root").select(F.col("node").alias("class"), F.col("component").alias("family"))
 
 

@@ -120,6 +120,44 @@ def test_large_families_are_cut_finer(spark):
     assert J.finer(frame.where("class < 5"), 80).count() == 0
 
 
+@pytest.mark.parametrize("hot_keys", [1, 40, 10_000])
+def test_finer_keeps_every_link(spark, monkeypatch, hot_keys):
+    """Linked sets stay in one family, whichever shingles count as hot: none, some or all that are shared."""
+    monkeypatch.setattr(J, "HOT_KEYS", hot_keys)
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 2**63, 40).astype(np.uint64)
+    sets = []
+    for i in range(90):
+        if i % 3 == 0:
+            base = np.append(common[: rng.integers(0, 40)], rng.integers(0, 2**63, rng.integers(1, 60)).astype(np.uint64))
+        keep = base[rng.random(len(base)) < rng.choice([0.85, 0.95, 1])]
+        sets.append(np.unique(np.append(keep, rng.integers(0, 2**63, rng.integers(1, 6)).astype(np.uint64))))
+    rows = [(i, i % 2 if i > 80 else 0, s.tobytes()) for i, s in enumerate(sets)]
+    got = {r["class"]: r.family for r in J.finer(spark.createDataFrame(rows, "class long, family long, shingles binary"), 80).collect()}
+    linked = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j]))
+            if rows[i][1] == rows[j][1] and 100 * both >= 80 * (len(a) + len(sets[j]) - both):
+                linked += 1
+                assert got[i] == got[j]
+    assert linked > 20 and len(set(got.values())) > 10
+
+
+def test_copies_leave_no_row_for_each_shingle(spark, monkeypatch):
+    """Shingles that many near copies hold are settled by batch, and sets of shingles of their own go before."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 200).astype(np.uint64)
+    sets = [np.append(base, rng.integers(0, 2**63, 3).astype(np.uint64)) for _ in range(100)]
+    sets += [np.append(base[:60], rng.integers(0, 2**63, 140).astype(np.uint64)) for _ in range(100)]
+    rows = [(i, 0, np.unique(s).tobytes()) for i, s in enumerate(sets)]
+    made, plain = {}, J.written
+    monkeypatch.setattr(J, "written", lambda df, tag: made.setdefault(tag, plain(df, tag)))
+    got = J.finer(spark.createDataFrame(rows, "class long, family long, shingles binary").coalesce(1), 80).collect()
+    assert {r["class"]: r.family for r in got} == {i: 0 for i in range(100)}
+    assert made["jaccard-tokens"].count() < 1000 and made["jaccard-first"].count() < 1000
+
+
 def test_pools_of_a_common_passage(spark, monkeypatch):
     """Texts that share a passage of a third fill no pools of the second round."""
     monkeypatch.setattr(J, "BLOCK", 8)
