@@ -3,19 +3,20 @@
 ALS needs 32-bit ids. When the ids fit they are cast; otherwise a dense numbering is built
 by a distributed rank (``tessera.operators.prefix.dense_index``) and joined on, and mapped
 back on output. Long iterations cut their lineage through ``checkpointInterval`` into the
-cluster's checkpoint folder.
+cluster's checkpoint folder. Over ``SMALL`` ratings the fit is ``tessera.operators.als_slices``, as long as
+a task can hold a side's factors and λ isn't next to nothing.
 """
 
 from __future__ import annotations
 
-import math
+import contextlib
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import metrics
+from tessera.operators import als_slices, metrics
 from tessera.operators import ratings as R
 from tessera.operators.factors import fold_in
 from tessera.operators.prefix import dense_index
@@ -133,11 +134,24 @@ def blocks_for(rows: int, rank: int, cores: int) -> int:
     return max(few, cores) if rank >= SOLVING_RANK and rows > SMALL else few
 
 
-def fit(train: DataFrame, rank: int, max_iter: int, reg: float, seed: int = 42, **kw) -> ALSModel:
-    ensure_checkpoint_dir(train.sparkSession)
+def sizes(train: DataFrame, user: str = "user_id", item: str = "item_id") -> tuple[int, int, int]:
+    """Ratings, and about how many users and items they have."""
+    return tuple(train.agg(F.count(F.lit(1)), *[F.approx_count_distinct(c, 0.02) for c in (user, item)]).first())
+
+
+def fit(
+    train: DataFrame, rank: int, max_iter: int, reg: float, seed: int = 42, user: str = "user_id", item: str = "item_id", rating: str = "rating", **kw
+) -> ALSModel:
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    names = {"user": user, "item": item, "rating": rating}
     if "blocks" not in kw:
-        kw["blocks"] = blocks_for(train.count(), rank, train.sparkSession.sparkContext.defaultParallelism)
-    return estimator(rank, max_iter, reg, seed, **kw).fit(train)
+        rows, users, items = sizes(train, user, item)
+        if rows > SMALL and als_slices.fits(users, items, rank, reg):
+            with als_slices.sliced(train, rows, **names) as slices:
+                return als_slices.Course(slices, estimator(rank, max_iter, reg, seed, **names, **kw)).to(max_iter)
+        kw["blocks"] = blocks_for(rows, rank, spark.sparkContext.defaultParallelism)
+    return estimator(rank, max_iter, reg, seed, **names, **kw).fit(train)
 
 
 def evaluate_mse(model: ALSModel, test: DataFrame, rating: str = "rating") -> DataFrame:
@@ -179,29 +193,47 @@ def grid_report(
     fitted at once: a fit is a chain of short stages that leaves most of a cluster idle.
     """
     spark: SparkSession = train.sparkSession
-    with persisted(train, test) as (train, test):
-        blocks = block_count(train.count())  # fills the cache once, before several fits would at once
+    ensure_checkpoint_dir(spark)
+    with persisted(train, test) as (train, test), contextlib.ExitStack() as held:
+        n, users, items = sizes(train)  # fills the cache once, before several fits would at once
         test.count()
-
-        def one(config: tuple[int, int, float]) -> tuple:
-            rank, iters, reg = config
-
-            def _fit():
-                return fit(train, rank, iters, reg, seed, blocks=blocks)
-
-            if model_dir:
-                path = f"{model_dir.rstrip('/')}/{model_key(rank, iters, reg, normalization, seed, data)}"
-                model = fit_or_load(path, _fit, ALSModel.load, refit)
-            else:
-                model = _fit()
-            m = evaluate_mse(model, test).first()
-            del model
-            freed(spark)
-            return rank, iters, float(reg), m["mse"], m["n"], param_label(rank, iters, reg)
-
-        rows = pooled(spark, one, configs, parallelism)
+        slices = None
+        if n > SMALL and any(als_slices.fits(users, items, rank, reg) for rank, _, reg in configs):
+            slices = held.enter_context(als_slices.sliced(train, n))
+        blocks = block_count(n)
+        # A fit on slices passes through those of fewer iterations; Spark's ALS can't be stopped and go on.
+        on_slices = [c for c in dict.fromkeys(configs) if slices and als_slices.fits(users, items, c[0], c[2])]
+        fits = [[c] for c in dict.fromkeys(configs) if c not in on_slices]
+        for rank, reg in dict.fromkeys((rank, reg) for rank, _, reg in on_slices):
+            fits.append([(rank, i, reg) for i in sorted(i for r, i, v in on_slices if (r, v) == (rank, reg))])
+        if len(on_slices) == len(set(configs)):
+            train.unpersist()  # the slices hold it
+
+        def one(of: list[tuple[int, int, float]]) -> list[tuple]:
+            rank, most, reg = of[-1]
+            course = als_slices.Course(slices, estimator(rank, most, reg, seed)) if of[-1] in on_slices else None
+            out = []
+            for rank, iters, reg in of:
+
+                def _fit():
+                    return course.to(iters) if course else fit(train, rank, iters, reg, seed, blocks=blocks)
+
+                if model_dir:
+                    path = f"{model_dir.rstrip('/')}/{model_key(rank, iters, reg, normalization, seed, data)}"
+                    model = fit_or_load(path, _fit, ALSModel.load, refit)
+                else:
+                    model = _fit()
+                m = evaluate_mse(model, test).first()
+                del model
+                freed(spark)
+                out.append((rank, iters, float(reg), m["mse"], m["n"], param_label(rank, iters, reg)))
+            if course:
+                course.drop()
+            return out
+
+        found = {c: row for of, rows in zip(fits, pooled(spark, one, fits, parallelism), strict=True) for c, row in zip(of, rows, strict=True)}
     schema = "rank int, iteration int, lambda double, mse double, n long, label string"
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame([found[c] for c in configs], schema)
 
 
 def report_table(report: DataFrame) -> DataFrame:

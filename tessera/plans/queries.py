@@ -443,8 +443,8 @@ def als_fit(spark, d):
     ensure_checkpoint_dir(spark)
     with released(spark), persisted(_als_norm(spark, d)) as (norm,):
         ids = als.IdMap(norm)
-        train, _ = _als_split(ids.to_int(norm))
-        model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
+        with persisted(_als_split(ids.to_int(norm))[0]) as (train,):  # the split hashes each row: once
+            model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
         return ids.user_from_int(model.userFactors, "id").checkpoint(eager=True)
 
 
@@ -452,7 +452,8 @@ def als_fit(spark, d):
 def als_mse(spark, d):
     with released(spark), persisted(_als_norm(spark, d)) as (norm,):
         train, test = _als_split(als.IdMap(norm).to_int(norm))
-        model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
+        with persisted(train) as (train,):
+            model = als.fit(train, *ALS_CONFIG, seed=ALS_SEED)
         row = als.evaluate_mse(model, test).first()
     return spark.createDataFrame([(row["mse"], row["n"])], "mse double, n long")
 
