@@ -226,7 +226,7 @@ def solved(rows: Rows, other: np.ndarray, reg: float) -> np.ndarray:
     step = max(64, SUMS // (k * k))
     for lo in range(short, len(out), step):
         counts = rows.counts[lo : lo + step]
-        a, b = np.zeros((len(counts), k, k)), np.zeros((len(counts), k))
+        a, b = np.empty((len(counts), k, k)), np.empty((len(counts), k))
         runs = np.flatnonzero(np.r_[True, counts[1:] != counts[:-1], True])
         for i, j in zip(runs[:-1], runs[1:], strict=True):
             n = int(counts[i])
@@ -235,8 +235,8 @@ def solved(rows: Rows, other: np.ndarray, reg: float) -> np.ndarray:
                 first, last = ends[lo + s] - n, ends[lo + e - 1]
                 for c in range(first, last, GATHERED):  # more than one only for a row that is longer by itself
                     v, vt, r = gathered(c, min(last, c + GATHERED), e - s)
-                    a[s:e] += vt @ v
-                    b[s:e] += (vt @ r[:, :, None])[:, :, 0]
+                    sums, sides = vt @ v, (vt @ r[:, :, None])[:, :, 0]
+                    a[s:e], b[s:e] = (sums, sides) if c == first else (a[s:e] + sums, b[s:e] + sides)
         out[lo : lo + step] = solution(diagonal(a, (reg * counts)[:, None]), b)
     return out
 
